@@ -15,6 +15,7 @@ import html as html_lib
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -174,9 +175,7 @@ def extract(pages: DataFrame, html: str = "html", into: str = "text", **limits:
     share_code(pages.sparkSession)
 
     @F.pandas_udf("string")
-    def text(column: Iterator) -> Iterator:
-        import pandas as pd
-
+    def text(column: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in column:
             yield pd.Series([main_text(x, **limits) for x in part], index=part.index, dtype="object")
 
