@@ -119,7 +119,7 @@ class Encoder:
         whole = stop == len(text) or text[stop] == " " and text[stop - 1] != " "
         out: dict[State, float] = {}
         for (end, piece), (value, _) in best.items():
-            if end >= stop and end - max(1, len(piece)) < stop or end == stop:
+            if end >= stop:
                 key = (0, "") if whole and end == stop else (end - stop, piece)
                 out[key] = max(value, out.get(key, -np.inf))
         return out
