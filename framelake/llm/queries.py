@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from framelake.llm.fingerprints import op6_fingerprints
 from framelake.llm.html_extract import op1_html_extraction
 from framelake.llm.quality import op2_quality_rules
 from framelake.llm.sentencepiece_scan import op3_sentencepiece
 from framelake.llm.token_counts import op8_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_quality_rules, op3_sentencepiece, op8_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_quality_rules, op3_sentencepiece, op6_fingerprints, op8_token_counts)}
 SQL: dict[str, str] = {}
