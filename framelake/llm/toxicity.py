@@ -33,6 +33,8 @@ FIT_TOXIC, FIT_CLEAN = 2000, 4000
 #: A term or stem must newly cover so many toxic documents of the sample, such a share of them, and be so many times likelier in them.
 LEAST_COVER, LEAST_SHARE, LEAST_RATIO = 6, 0.01, 20.0
 MOST_TERMS = 200
+#: A stem of whose documents one word has a greater share is no stem.
+MOST_OF_STEM = 0.6
 LEAST_TERM, STEMS = 4, (4, 5, 6)
 #: Edits by the length of a term.
 EDITS = ((9, 2), (5, 1), (0, 0))
@@ -242,6 +244,11 @@ def mine(texts: list[str], toxic: list[bool]) -> tuple[list[str], list[str], lis
             good.update(keys)
     toxic_n = max(1, sum(toxic))
     least = max(LEAST_COVER, LEAST_SHARE * toxic_n)
+    for (w, is_stem), v in [*bad.items()]:
+        if not is_stem:
+            for n in STEMS:
+                if len(w) > n and len(v) > MOST_OF_STEM * len(bad[w[:n], True]):
+                    bad[w[:n], True] = set()  # that stem is but this word
     usable = {k: v for k, v in bad.items() if len(v) >= least and len(v) / toxic_n >= LEAST_RATIO * (good[k] + 0.5) / clean_n}
     chosen: list[tuple[str, bool]] = []
     covered: set[int] = set()
