@@ -26,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framelake.llm.common import slices, table
 from framelake.llm.pieces import Cache, Model, default_path, load, units
@@ -232,7 +233,7 @@ def encode(documents: DataFrame, text: str = "text", into: str = "ids", path: st
     share_code(documents.sparkSession)
     path = path or default_path()
     keep = [c for c in documents.columns if c != into]
-    schema = documents.select(*keep).schema.add(into, "array<int>")
+    schema = T.StructType([*documents.select(*keep).schema.fields, T.StructField(into, T.ArrayType(T.IntegerType()))])
     at = keep.index(text)
 
     def at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
