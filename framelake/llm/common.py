@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Words are runs of anything but ASCII white space.
@@ -37,7 +38,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20)
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = total = 0
         for i, n in enumerate(sizes):
             if i > start and total + n > most:
