@@ -9,8 +9,9 @@ from framelake.llm.mixing import op9_mixing
 from framelake.llm.near_dedup import op5_near_dedup
 from framelake.llm.quality import op2_quality_rules
 from framelake.llm.sentencepiece_scan import op3_sentencepiece
+from framelake.llm.suffix_dedup import op4_suffix_dedup
 from framelake.llm.token_counts import op8_token_counts
 from framelake.llm.toxicity import op10_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_quality_rules, op3_sentencepiece, op5_near_dedup, op6_fingerprints, op7_language_id, op8_token_counts, op9_mixing, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_quality_rules, op3_sentencepiece, op4_suffix_dedup, op5_near_dedup, op6_fingerprints, op7_language_id, op8_token_counts, op9_mixing, op10_toxicity)}
 SQL: dict[str, str] = {}
