@@ -46,3 +46,16 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20)
                 start, total = i, 0
             total += n
         yield batch.slice(start)
+
+
+def groups(texts: list[str | None], most: int = 8 << 20) -> Iterator[list[str | None]]:
+    """Cut a list of texts so that each part has about ``most`` characters; a longer text stands alone."""
+    start = total = 0
+    for i, t in enumerate(texts):
+        n = len(t) if t else 0
+        if i > start and total + n > most:
+            yield texts[start:i]
+            start, total = i, 0
+        total += n
+    if start < len(texts):
+        yield texts[start:]

@@ -9,9 +9,13 @@ spaces alone have scores out of order; they are merged step by step.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 SPACE = "▁"
+ONE = (1,)
+#: Units of so many characters at most are kept in dictionaries.
+SHORT = 64
 UNIT = re.compile(" +[^ ]*")
 
 
@@ -26,11 +30,22 @@ class Cache(dict):
         if len(self) >= self.most:
             self.clear()
         value = self.make(key)
-        if len(key) <= 64:
+        if len(key) <= SHORT:
             self[key] = value
         return value
 
 
+def learn(cache: Cache, batch: list[list[str] | None], model: Model, value) -> None:
+    """Puts what a batch's words lack into ``cache``, sorted so that they share their prefixes' work."""
+    new = set().union(*(x for x in batch if x is not None)).difference(cache)
+    if len(cache) + len(new) > cache.most:
+        cache.clear()
+        new = set().union(*(x for x in batch if x is not None))
+    units = sorted(word if word[:1] == "\n" else " " + word for word in new if len(word) < SHORT)
+    for unit, tokens, last in model.prefixes(units):
+        cache[unit if unit[0] == "\n" else unit[1:]] = value(unit, tokens, last)
+
+
 class Model:
     """Pieces of a model file; ``kind`` bpe follows merges, unigram the best sum of scores."""
 
@@ -52,9 +67,23 @@ class Model:
                 self.id[piece], self.score[piece] = i, model.get_score(i)
                 self.surface.append(piece.encode())
         self.longest = max(map(len, self.id))
-        self.pair = Cache(lambda ab: self.merge(ab[0] + ab[1]) == [*ab], 2_000_000)
-        self.alone = Cache(lambda a: self.merge(a) == [a])
+        self.pair = Cache(lambda ab: self.stand(*ab) if "  " not in ab[0] + ab[1] else self.merge(ab[0] + ab[1]) == [*ab], 2_000_000)
+        self.alone = Cache(lambda a: len(a) == 1 or self.merge(a) == [a])
+        # when a piece is made: single characters are there from the start, the others come by falling score
+        made = sorted((p for p in self.id if len(p) > 1), key=lambda p: -self.score[p])
+        self.order = {p: i for i, p in enumerate(made, 1)}
+        self.halves = Cache(self._halves, 100_000)
         self.worst = min(self.score.values())
+        # by the last four characters (three, two if no longer piece ends so) the lengths of pieces that may end there, longest first
+        self.lengths: list[dict[str, tuple[int, ...]]] = [{}, {}, {}]
+        for k in (2, 3, 4):
+            found: dict[str, set[int]] = {}
+            for piece in self.id:
+                if len(piece) >= k:
+                    found.setdefault(piece[-k:], {1}).add(len(piece))
+            self.lengths[k - 2] = {end: tuple(sorted(v | {n for n in range(2, k) if end[-n:] in self.id}, reverse=True)) for end, v in found.items()}
+        #: Whether a line end is in no piece of two characters or more, so that what follows it starts anew.
+        self.lines_part = not any("\n" in piece for piece in self.id)
 
     def has(self, piece: str) -> bool:
         """Single characters always stand, as bytes if need be."""
@@ -84,28 +113,88 @@ class Model:
             return True
         return self.alone[piece] if before is None else self.pair[before, piece]
 
-    def last_pieces(self, unit: str) -> list[str]:
-        """For each prefix of a unit without a run of spaces, the last piece of its encoding."""
-        last: list[str] = []
-        known = self.id
-        for end in range(1, len(unit) + 1):
-            for n in range(min(self.longest, end), 0, -1):
-                piece = unit[end - n : end]
-                if (n == 1 or piece in known) and self.follows(last[end - n - 1] if end > n else None, piece):
-                    last.append(piece)
-                    break
+    def _halves(self, piece: str) -> tuple[str, str]:
+        """The two pieces that the last merge joins to ``piece``."""
+        if len(piece) == 1:
+            return piece, piece
+        parts, score = list(piece), self.score
+        while len(parts) > 2:
+            ranked = [(-score[x + y], i) for i, (x, y) in enumerate(zip(parts, parts[1:], strict=False)) if x + y in score]
+            if not ranked:
+                break
+            i = min(ranked)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return parts[0], parts[-1]
+
+    def stand(self, a: str, b: str) -> bool:
+        """Whether ``a`` and ``b``, each its own encoding, stay two pieces side by side.
+
+        They don't if, at any point of their making, the pieces at the border would have joined before the next merge on either side. The
+        making is run backwards: of the two border pieces the later one is taken apart.
+        """
+        order, limit = self.order, 1 << 30
+        while True:
+            if order.get(a + b, 1 << 30) < limit:
+                return False
+            x, y = order.get(a, 0), order.get(b, 0)
+            if not x and not y:
+                return True
+            if x > y:
+                limit, a = x, self.halves[a][1]
             else:
-                raise ValueError(f"no encoding of {unit[:end]!r}")
-        return last
+                limit, b = y + 1, self.halves[b][0]
 
-    def runs(self, unit: str) -> list[list[str]]:
-        """For each prefix of a unit that starts with a run of spaces, its encoding's pieces.
+    def prefixes(self, units: Iterable[str]) -> Iterator[tuple[str, list[int], list[int]]]:
+        """For each unit in order (tokens, length of the last piece) of every prefix, from the empty one on.
 
-        The last space joins the word if it can; those before it are a run of their own, merged from the left.
+        The lists go on being used: prefixes that a unit shares with the one before are not computed again, so units
+        should come sorted.
         """
-        return [self.merge_run(unit[:end]) for end in range(1, len(unit) + 1)]
+        two, three, four = self.lengths
+        ids, pair, alone, size = self.id, self.pair, self.alone, self.size
+        tokens, last, before = [0], [0], ""
+        for unit in units:
+            shared = 0
+            for shared, (x, y) in enumerate(zip(unit, before, strict=False)):  # noqa: B007
+                if x != y:
+                    break
+            else:
+                shared = min(len(unit), len(before))
+            del tokens[shared + 1 :], last[shared + 1 :]
+            before = unit
+            for end in range(shared + 1, len(unit) + 1):
+                if end > 3:
+                    lengths = four.get(unit[end - 4 : end]) or three.get(unit[end - 3 : end]) or two.get(unit[end - 2 : end]) or ONE
+                else:
+                    lengths = range(end, 0, -1)
+                for n in lengths:
+                    at = end - n
+                    if at < 0:
+                        continue
+                    piece = unit[at:end]
+                    if n > 1 and piece not in ids:
+                        continue
+                    if pair[unit[at - last[at] : at], piece] if at else alone[piece]:
+                        break
+                else:
+                    raise ValueError(f"no encoding of {unit[:end]!r}")
+                tokens.append(tokens[at] + (1 if n > 1 else size(piece)))
+                last.append(n)
+            yield unit, tokens, last
+
+    def _cut(self, unit: str, last: list[int]) -> list[str]:
+        out, end = [], len(unit)
+        while end:
+            n = last[end]
+            out.append(unit[end - n : end])
+            end -= n
+        return out[::-1]
+
+    def size(self, piece: str) -> int:
+        return 1 if piece in self.id else len(piece.encode("utf-8", "replace"))
 
     def merge_run(self, unit: str) -> list[str]:
+        """Pieces of a unit that starts with a run of spaces. The last joins the word if it can, those before it are merged by themselves."""
         n = len(unit) - len(unit.lstrip(" "))
         if n == len(unit):
             return self.blank(n)
@@ -123,11 +212,7 @@ class Model:
         if self.kind == "bpe" and unit.startswith("  "):
             return self.merge_run(unit)
         if self.kind == "bpe":
-            last, out, end = self.last_pieces(unit), [], len(unit)
-            while end:
-                out.append(last[end - 1])
-                end -= len(out[-1])
-            return out[::-1]
+            return next(self._cut(unit, last) for _, _, last in self.prefixes([unit]))
         best: list[tuple[float, str]] = [(0.0, "")]
         for end in range(1, len(unit) + 1):
             best.append(max((best[end - n][0] + self.score.get(unit[end - n : end], self.worst - 10), unit[end - n : end]) for n in range(1, min(self.longest, end) + 1) if self.has(unit[end - n : end])))
@@ -143,6 +228,13 @@ def units(text: str) -> list[str]:
     return UNIT.findall(" " + text.replace(SPACE, " ")) if text else []
 
 
+def words(text: str) -> list[str] | None:
+    """A text's units without their one space, those after a line end beginning with it; None if there are runs of spaces."""
+    if "  " in text or " \n" in text or text[0] == " " or text[-1] == " " or text[0] == "\n":
+        return None
+    return text.replace("\n", " \n").split(" ")
+
+
 @lru_cache(4)
 def load(path: str, kind: str = "bpe") -> Model:
     return Model(path, kind)

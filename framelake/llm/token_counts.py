@@ -18,8 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm.common import table
-from framelake.llm.pieces import Cache, Model, default_path, load, units
+from framelake.llm.common import groups, table
+from framelake.llm.pieces import Cache, Model, default_path, learn, load, units, words
 from framelake.session import share_code
 
 
@@ -28,33 +28,31 @@ class PrefixCounts:
 
     def __init__(self, model: Model):
         self.model = model
-        self.unit = Cache(self._prefixes)
-        self.total = Cache(lambda word: self.unit[" " + word][-1], 1_000_000)
+        self.unit = Cache(self._prefixes, 100_000)
+        self.total = Cache(lambda word: self._tokens(word if word[:1] == "\n" else " " + word), 1_000_000)
 
     def _prefixes(self, unit: str) -> tuple[int, ...]:
         """Tokens of each prefix of a unit, from one character on."""
         model = self.model
-        size = lambda piece: len(model.ids(piece))
         if model.kind != "bpe" or unit.startswith("  "):
-            return tuple(sum(map(size, model.pieces_of(unit[:end]))) for end in range(1, len(unit) + 1))
-        counts = [0]
-        for end, piece in enumerate(model.last_pieces(unit), 1):
-            counts.append(counts[end - len(piece)] + size(piece))
-        return tuple(counts[1:])
+            return tuple(sum(map(model.size, model.pieces_of(unit[:end]))) for end in range(1, len(unit) + 1))
+        return next(tuple(tokens[1:]) for _, tokens, _ in model.prefixes([unit]))
+
+    def _tokens(self, unit: str) -> int:
+        return sum(map(self.model.size, self.model.pieces_of(unit)))
+
+    def count_all(self, texts: list[str | None]) -> list[int]:
+        """Tokens of texts. The words of all are looked at together."""
+        texts = [(t or "").replace("▁", " ") for t in texts]
+        fast = self.model.lines_part and self.model.kind == "bpe"
+        parts = [words(t) if fast and t else None for t in texts]
+        learn(self.total, parts, self.model, lambda _unit, tokens, _last: tokens[-1])
+        total = self.total.__getitem__
+        return [sum(map(self._tokens, units(t))) if p is None else sum(map(total, p)) for t, p in zip(texts, parts, strict=True)]
 
     def count(self, text: str | None) -> int:
         """Tokens of a text."""
-        if not text:
-            return 0
-        text = text.replace("▁", " ")
-        if "  " in text or text[0] == " " or text[-1] == " ":
-            return sum(self._last(u) for u in units(text))
-        return sum(map(self.total.__getitem__, text.split(" ")))
-
-    def _last(self, unit: str) -> int:
-        if unit.startswith("  "):
-            return sum(len(self.model.ids(p)) for p in self.model.merge_run(unit)) if self.model.kind == "bpe" else self.unit[unit][-1]
-        return self.total[unit[1:]] if len(unit) > 1 else self.unit[unit][-1]
+        return self.count_all([text])[0]
 
     def prefixes(self, text: str) -> list[int]:
         """Tokens of the text's first n characters, for n from 0 to all."""
@@ -93,9 +91,9 @@ def with_counts(documents: DataFrame, text: str = "text", into: str = "n_tokens"
 
     @F.pandas_udf("long")
     def tokens(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        count = counter(path).count
+        count = counter(path).count_all
         for part in parts:
-            yield pd.Series([count(x) for x in part], index=part.index, dtype="int64")
+            yield pd.Series([n for some in groups(part.tolist()) for n in count(some)], index=part.index, dtype="int64")
 
     @F.pandas_udf("long")
     def most(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
