@@ -218,10 +218,10 @@ def pieces(h: np.ndarray) -> Iterator[tuple[int, int]]:
             start, k = borders[i], i
 
 
-def spans(documents: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(rows, found): the documents' (q_key, q_t, q_text), and (q_key, q_t, spans) of those with removed bytes."""
+def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(rows, found): the documents' (q_k, q_t, q_key, q_text, kept columns), and (q_k, q_t, q_spans) of those with removed bytes."""
     share_code(documents.sparkSession)
-    rows = documents.select(F.col(key).alias("q_key"), F.coalesce(F.col(text), F.lit("")).alias("q_text"))
+    rows = documents.select(F.col(key).alias("q_key"), F.coalesce(F.col(text), F.lit("")).alias("q_text"), *keep)
     rows = rows.withColumn("q_t", F.xxhash64("q_text"))
     kind = rows.schema["q_key"].dataType
     schema = T.StructType([T.StructField("h", T.LongType()), T.StructField("c", T.LongType()), T.StructField("q_key", kind), T.StructField("q_t", T.LongType()), T.StructField("pos", T.LongType())])
@@ -265,7 +265,7 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text") -> tupl
     wanted = wanted.groupBy("q_key", "q_t").agg(F.collect_list(F.struct("h", "pos", "repeated", "contexts")).alias("w"))
     # by key and text's hash: rows with a null key meet too
     keyed = [F.coalesce(F.xxhash64("q_key"), F.lit(0)).alias("q_k"), "q_t"]
-    texts = rows.select(*keyed, "q_key", "q_text")
+    texts = rows.select(*keyed, "q_key", "q_text", *keep)
     need = wanted.select(*keyed, "w")
     contexts_schema = "h long, q_key " + kind.simpleString() + ", q_t long, pos long, repeated boolean, contexts long, q_left int, q_context binary"
 
@@ -362,11 +362,13 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text") -> tupl
     return texts, lists.select(*keyed, "q_spans")
 
 
-def cleaned(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(q_key, q_text, q_bytes, q_spans, q_kept): each row's text, its bytes, the removed runs [a, b) and the bytes kept."""
-    texts, found = spans(documents, key, text)
-    joined = texts.join(found, ["q_k", "q_t"], "left").select("q_key", "q_text", "q_spans")
-    kind = joined.schema["q_key"].dataType
+def cleaned(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(q_key, ``keep``, q_bytes, q_spans, q_kept): each row's key, kept columns, bytes in its text, removed runs [a, b) and the bytes left."""
+    texts, found = spans(documents, key, text, keep)
+    joined = texts.join(found, ["q_k", "q_t"], "left").select("q_key", *keep, "q_text", "q_spans")
+    runs = T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
+    carried = ["q_key", *keep]
+    schema = T.StructType([*joined.select(*carried).schema.fields, T.StructField("q_bytes", T.LongType()), T.StructField("q_spans", runs), T.StructField("q_kept", T.BinaryType())])
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "q_text"):
@@ -379,11 +381,11 @@ def cleaned(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                 edges = [0, *(e for run in gone for e in run), len(data)]
                 kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)) if gone else data)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("q_key"), batch.column("q_text"), pa.array(size, pa.int64()), pa.array(runs, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), pa.array(kept, pa.binary())],
-                names=["q_key", "q_text", "q_bytes", "q_spans", "q_kept"],
+                [*(batch.column(c) for c in carried), pa.array(size, pa.int64()), pa.array(runs, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), pa.array(kept, pa.binary())],
+                names=schema.names,
             )
 
-    return joined.mapInArrow(remove, f"q_key {kind.simpleString()}, q_text string, q_bytes long, q_spans array<struct<a:long,b:long>>, q_kept binary")
+    return joined.mapInArrow(remove, schema)
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
