@@ -15,17 +15,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm.common import SPACE, table
+from framelake.llm.common import SPACE, checkpointed, table
 
-#: Character classes as (name, characters that are not of it); the rest is "other".
-CLASSES = ("lower", "upper", "digit", "space", "mark", "symbol", "accent")
+#: Character classes in order; a character is of the first class that has it, or an accented letter or the like, or none of these.
 SYMBOLS = "#*$%&|<>"
+CLASSES = {
+    "lower": "abcdefghijklmnopqrstuvwxyz",
+    "space": " \t\n\x0b\x0c\r",
+    "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "mark": ".,;:!?'\"-()",
+    "symbol": SYMBOLS,
+    "digit": "0123456789",
+    "sign": "+=@/\\_~^`{}[]",
+}
+N_CLASSES = len(CLASSES) + 2
 #: Function words whose shares make the second histogram, for each language; the rest of a text's words is one more bin.
 COMMON_WORDS = {
-    "en": "the of and to in a is that for it as was with be on".split(),
-    "de": "der die und in den von zu das mit sich des auf für ist im".split(),
-    "fr": "de la le et les des en un du une que est pour qui dans".split(),
-    "es": "de la que el en y a los se del las un por con no".split(),
+    "en": "the of and to in is that for it with".split(),
+    "de": "der die und in den von zu das mit ist".split(),
+    "fr": "de la le et les des en un du que".split(),
+    "es": "de la que el en y los se del por".split(),
 }
 #: Distances over which a document is held to be unlike every language.
 MOST_CHAR_DISTANCE, MOST_WORD_DISTANCE = 0.3, 0.6
@@ -67,16 +76,20 @@ def repeated_words(words: Column, hashes: Column) -> Column:
     return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(F.get(bound, 0)).cast("long")
 
 
+def bind(value: Column, f) -> Column:
+    """``f`` of a value that is computed once, however often ``f`` uses it and inside whatever lambda."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def _class_counts(text: Column) -> list[Column]:
-    """Characters of each class of CLASSES, and of none."""
-    n = lambda t: F.length(t).cast("double")
+    """Characters of each class of CLASSES, of other multi-byte characters, and of none."""
     left, out = text, []
-    for chars in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t\n\x0b\x0c\r", ".,;:!?'\"-()", SYMBOLS + "+=@/\\_~^`{}[]"):
+    for chars in CLASSES.values():
         rest = F.translate(left, chars, "")
-        out.append(n(left) - n(rest))
+        out.append(F.length(left) - F.length(rest))
         left = rest
-    accents = F.octet_length(left).cast("double") - n(left)
-    return [*out, F.least(accents, n(left)), n(left) - F.least(accents, n(left))]
+    accents = F.least(F.octet_length(left) - F.length(left), F.length(left))
+    return [*out, accents, F.length(left) - accents]
 
 
 def _common(words: Column) -> Column:
@@ -89,71 +102,67 @@ def _common(words: Column) -> Column:
 
 def _word_counts(common: Column) -> list[Column]:
     """How often each word of VOCABULARY stands in a string of ``_common``."""
-    return [(F.length(common) - F.length(F.replace(common, F.lit(f" {w} "), F.lit("")))) / F.lit(float(len(w) + 2)) for w in VOCABULARY]
+    return [((F.length(common) - F.length(F.replace(common, F.lit(f" {w} "), F.lit("")))) / F.lit(len(w) + 2)).cast("int") for w in VOCABULARY]
 
 
 def statistics(documents: DataFrame, text: str = "text") -> DataFrame:
-    """Adds the base counts, ``q_chars`` (character classes) and ``q_words`` (VOCABULARY)."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    out = documents.withColumn("q_text", t).withColumn("q_list", words_of(F.col(text)))
-    out = out.withColumn("q_hashes", window_hashes(F.col("q_list")))
-    lines = F.filter(F.split(F.col("q_text"), "\n"), lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0)
-    out = out.withColumn("q_lines", lines)
-    out = out.withColumn("q_common", _common(F.col("q_list")))
-    text_col = F.col("q_text")
+    """Adds the base counts, ``q_chars`` (characters by class) and ``q_words`` (counts of VOCABULARY's words)."""
+    # each select computes what later ones use more than once
+    out = documents.select(*documents.columns, F.coalesce(F.col(text), F.lit("")).alias("q_text"), words_of(F.col(text)).alias("q_list"))
+    lines = F.filter(F.split("q_text", "\n"), lambda x: F.length(F.trim(x, F.lit(" \t\x0b\x0c\r"))) > 0)
+    out = out.select(*documents.columns, "q_text", "q_list", window_hashes(F.col("q_list")).alias("q_hashes"), lines.alias("q_lines"), _common(F.col("q_list")).alias("q_common"), F.array(*_class_counts(F.col("q_text"))).alias("q_chars"))
+    at = {name: i for i, name in enumerate(CLASSES)}
     return out.select(
         *documents.columns,
         F.size("q_list").cast("long").alias("n_words"),
-        F.length(F.translate(text_col, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
-        (F.length(text_col) - F.length(F.translate(text_col, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        (F.length("q_text") - F.get("q_chars", F.lit(at["space"]))).cast("long").alias("word_chars"),
+        F.get("q_chars", F.lit(at["symbol"])).cast("long").alias("n_symbols"),
         (F.size("q_lines") - F.size(F.array_distinct("q_lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("q_list"), F.col("q_hashes")).alias("n_repeat_words"),
-        F.array(*_class_counts(text_col)).alias("q_chars"),
+        "q_chars",
         F.array(*_word_counts(F.col("q_common"))).alias("q_words"),
     )
 
 
-def _with_rest(counts: Column, total: Column) -> Column:
-    return F.concat(counts, F.array(F.greatest(total - F.aggregate(counts, F.lit(0.0), lambda a, x: a + x), F.lit(0.0))))
+def shares(counts: Column, total: Column | None = None) -> Column:
+    """A histogram of sum 1; with ``total``, one more bin has what is left of it. Empty histograms are all null."""
+    add = lambda h: F.aggregate(h, F.lit(0.0), lambda a, x: a + x)
+    numbers = F.transform(counts, lambda x: x.cast("double"))
+    if total is not None:
+        numbers = bind(numbers, lambda h: F.concat(h, F.array(F.greatest(total.cast("double") - add(h), F.lit(0.0)))))
+    return bind(numbers, lambda h: bind(add(h), lambda t: F.transform(h, lambda x: F.when(t > 0, x / t))))
 
 
 def distance(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance of two histograms of equal length; null if either is empty."""
-    total = lambda h: F.aggregate(h, F.lit(0.0), lambda a, x: a + x)
-    part = lambda a, b: F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(F.lit(0.0))
-    terms = F.zip_with(p, q, lambda a, b: part(a / total(p), b / total(q)) + part(b / total(q), a / total(p)))
-    return F.when((total(p) > 0) & (total(q) > 0), F.sqrt(F.greatest(F.lit(0.0), total(terms) / 2)))
-
-
-def references(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """One row with ``refs``, an array of (lang, chars, words): a language's summed histograms."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    found = documents.select(F.col(lang).alias("lang"), t.alias("t")).where(F.col("lang").isNotNull())
-    found = found.select("lang", F.array(*_class_counts(F.col("t"))).alias("c"), words_of(F.col("t")).alias("w")).withColumn("k", _common(F.col("w")))
-    found = found.select("lang", "c", F.size("w").cast("double").alias("n"), F.array(*_word_counts(F.col("k"))).alias("k"))
-    chars, words = len(CLASSES) + 1, len(VOCABULARY)
-    one = found.groupBy("lang").agg(F.sum("n").alias("total"), *(F.sum(F.get("c", F.lit(i))).alias(f"c{i}") for i in range(chars)), *(F.sum(F.get("k", F.lit(j))).alias(f"w{j}") for j in range(words)))
-    rows = one.select("lang", "total", F.array(*(F.col(f"c{i}") for i in range(chars))).alias("chars"), _with_rest(F.array(*(F.col(f"w{j}") for j in range(words))), F.col("total")).alias("words"))
+    """Jensen-Shannon distance of two histograms of sum 1 and equal length; null if either is empty."""
+    part = lambda a, b: F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(a)
+    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(F.zip_with(p, q, lambda a, b: part(a, b) + part(b, a)), F.lit(0.0), lambda a, x: a + x) / 2))
+
+
+def references(found: DataFrame, lang: str = "lang") -> DataFrame:
+    """From ``statistics`` one row with ``refs``, an array of (lang, chars, words): histograms summed over a language's documents."""
+    sums = lambda c, n: [F.sum(F.get(c, F.lit(i)).cast("long")).alias(f"{c}{i}") for i in range(n)]
+    one = found.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).agg(F.sum("n_words").alias("total"), *sums("q_chars", N_CLASSES), *sums("q_words", len(VOCABULARY)))
+    array = lambda c, n: F.array(*(F.col(f"{c}{i}") for i in range(n)))
+    rows = one.select("lang", "total", shares(array("q_chars", N_CLASSES)).alias("chars"), shares(array("q_words", len(VOCABULARY)), F.col("total")).alias("words"))
     top = rows.orderBy(F.desc("total"), "lang").limit(MOST_LANGUAGES)
     return top.agg(F.array_sort(F.collect_list(F.struct("lang", "chars", "words"))).alias("refs"))
 
 
-def judge(documents: DataFrame, refs: DataFrame, text: str = "text") -> DataFrame:
-    """``statistics`` with the distances to the nearest language, base_failed and kept."""
-    found = statistics(documents, text).crossJoin(F.broadcast(refs))  # one row of bounded size
-    n = F.col("n_words").cast("double")
-    found = found.withColumn("q_all", _with_rest(F.col("q_words"), n))
-    nearest = lambda f: F.array_min(F.transform("refs", f))
-    found = found.withColumn("char_distance", F.coalesce(nearest(lambda r: distance(F.col("q_chars"), r["chars"])), F.lit(0.0)))
-    found = found.withColumn("word_distance", F.coalesce(nearest(lambda r: distance(F.col("q_all"), r["words"])), F.lit(0.0)))
-    found = found.withColumn("base_failed", (F.col("n_words") < LEAST_BASE_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
+def judge(found: DataFrame, refs: DataFrame) -> DataFrame:
+    """From ``statistics`` the distances to the nearest language, base_failed and kept."""
+    out = found.crossJoin(F.broadcast(refs))  # one row of bounded size
+    nearest = lambda own, field: F.coalesce(bind(own, lambda h: F.array_min(F.transform("refs", lambda r: distance(h, r[field])))), F.lit(0.0))
+    out = out.withColumn("char_distance", nearest(shares(F.col("q_chars")), "chars"))
+    out = out.withColumn("word_distance", nearest(shares(F.col("q_words"), F.col("n_words")), "words"))
+    out = out.withColumn("base_failed", (F.col("n_words") < LEAST_BASE_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
     short = (F.col("word_chars") < LEAST_CHARS) | (F.col("n_words") < LEAST_WORDS)
     near = (F.col("char_distance") <= MOST_CHAR_DISTANCE) & (F.col("word_distance") <= MOST_WORD_DISTANCE)
-    return found.withColumn("kept", ~F.col("base_failed") & (short | near)).drop("refs", "q_chars", "q_words", "q_all")
+    return out.withColumn("kept", ~F.col("base_failed") & (short | near)).drop("refs", "q_chars", "q_words")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base counts and verdict for every document."""
-    documents = table(spark, sf_dir, "documents")
-    judged = judge(documents.select("doc_id", "text"), references(documents))
+    """Base counts and verdict for every document. Counts are written once; references and verdicts read them."""
+    found = checkpointed(statistics(table(spark, sf_dir, "documents").select("doc_id", "lang", "text")).drop("text"))
+    judged = judge(found, references(found))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("char_distance", 4).alias("char_distance"), F.round("word_distance", 4).alias("word_distance"))
