@@ -7,14 +7,14 @@ that ends the processes early. Two texts have equal registers with the probabili
 weighted shingles. Bands of registers are buckets. Pairs are verified on the shingles themselves: two documents are
 linked if the probability Jaccard similarity or the plain Jaccard similarity of their shingles is SIMILAR or more.
 
-Copies (equal words) are one text from the start, so a group of copies never meets itself. In a bucket every text is
+Copies (equal texts) are one text from the start, so a group of copies never meets itself. In a bucket every text is
 first held against one hub, the text with the least hash for that band, and links make components. Then every text is
 held against all texts of its bucket that are in other components than its own, which leaves out no pair that shares
 a bucket; texts of the bucket's largest component are only looked up, not held against each other. That is repeated
 until nothing new is linked, so groups are found whole while large dense groups cost a linear number of pairs. A
 sketch of two 64-bit words, a bit for each register, drops pairs that are far from similar before texts are fetched.
 
-Documents without words (null, empty, blank) have no shingles; each is a class of its own. A class is named by its
+Documents without words (null, empty, blank) have no shingles; each is a class of its own, as are rows without a key. A class is named by its
 least key. Rows that share a key count as one document: its texts' classes are joined.
 """
 
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelake.llm.common import SPACE, checkpointed, slices, table
+from framelake.llm.common import WORD, checkpointed, slices, table
 from framelake.session import share_code
 
 WORDS, SIMILAR = 5, 0.8
@@ -155,7 +155,7 @@ def sketch(batch: list[str | None]) -> list[tuple[int, ...] | None]:
     halves = []
     for part in (bits[:, :60], bits[:, 60:]):
         halves.append((part << np.arange(60, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).astype(np.int64))
-    buckets = np.zeros((len(some), BANDS), np.uint64)
+    buckets = np.tile(mix(np.arange(1, BANDS + 1, dtype=np.uint64)), (len(some), 1))
     with np.errstate(over="ignore"):
         for r in range(ROWS):
             buckets = mix(buckets * U(0x100000001B3) + found[:, r::ROWS][:, :BANDS] + U(r + 1))
@@ -247,40 +247,44 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return full.mapInArrow(check, "a long, b long")
 
 
-def links(texts: DataFrame) -> DataFrame:
-    """(id, root) of all linked texts of (id, text): ids are distinct and texts have words."""
+def sketches(texts: DataFrame) -> DataFrame:
+    """(id, s0, s1, keys) for the distinct ids of (id, text) with words; keys hold a bucket for each band."""
     share_code(texts.sparkSession)
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("s0", T.LongType()), T.StructField("s1", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("s0", T.LongType()), T.StructField("s1", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
 
-    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
             found = [(i, *x) for i, x in zip(batch.column("id").to_pylist(), sketch(batch.column("text").to_pylist()), strict=True) if x is not None]
             if found:
                 rows = np.array(found, np.int64)
-                bands = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * BANDS), pa.array(rows[:, 3:].ravel()))
-                yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(rows[:, k])) for k in range(3)), bands], names=schema.names)
+                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * BANDS), pa.array(rows[:, 3:].ravel()))
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(rows[:, k])) for k in range(3)), keys], names=schema.names)
 
-    found = texts.select("id", "text").mapInArrow(sketches, schema)
-    rows = found.select("id", "s0", "s1", F.posexplode("bands").alias("band", "key"))
+    found = texts.select("id", "text").mapInArrow(run, schema)
+    return checkpointed(found.groupBy("id").agg(*(F.first(c).alias(c) for c in ("s0", "s1", "keys"))))
+
+
+def links(found: DataFrame, texts_of) -> DataFrame:
+    """(id, root) of all linked texts, from ``sketches``; ``texts_of(ids)`` fetches (id, text)."""
+    sketched = found.select("id", "s0", "s1")
+    dealt = found.select("id", F.explode("keys").alias("key"))
     # buckets of one text lead nowhere: counted with partial sums and dropped
-    rows = checkpointed(rows)
-    shared = rows.groupBy("band", "key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("id", "band").alias("h"), "id", "s0", "s1")).alias("hub")).where("n > 1")
-    shared = checkpointed(shared.select("band", "key", "hub"))
-    rows = checkpointed(rows.join(shared.select("band", "key"), ["band", "key"]))
-    hubbed = rows.join(shared, ["band", "key"])
-    stars = hubbed.where((F.col("id") != F.col("hub.id")) & _near(F.col("s0"), F.col("s1"), F.col("hub.s0"), F.col("hub.s1")))
-    pairs = stars.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
-    edges = checkpointed(verify(pairs, texts))
-    tried = checkpointed(pairs)
+    shared = dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    rows = checkpointed(dealt.join(shared, "key").join(sketched, "id"))
+    texts = checkpointed(texts_of(rows.select("id").distinct()))
+    hubs = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("h"), "id", "s0", "s1")).alias("hub"))
+    stars = rows.join(hubs, "key").where((F.col("id") != F.col("hub.id")) & _near(F.col("s0"), F.col("s1"), F.col("hub.s0"), F.col("hub.s1")))
+    tried = checkpointed(stars.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct())
+    edges = checkpointed(verify(tried, texts))
     while True:
         roots = components(edges)
         known = rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
         # in each bucket the largest component; buckets of one component are done
-        sizes = known.groupBy("band", "key", "root").agg(F.count("*").alias("n"))
-        largest = sizes.groupBy("band", "key").agg(F.max(F.struct("n", F.col("root").alias("top"))).alias("x"), F.count("*").alias("components")).where("components > 1").select("band", "key", F.col("x.top").alias("top"))
-        mixed = checkpointed(known.join(largest, ["band", "key"]))
-        few = mixed.where("root <> top").select("band", "key", F.col("id").alias("i"), F.col("s0").alias("t0"), F.col("s1").alias("t1"), F.col("root").alias("r"))
-        cross = few.join(mixed, ["band", "key"]).where((F.col("r") != F.col("root")) & _near(F.col("s0"), F.col("s1"), F.col("t0"), F.col("t1")) & ((F.col("root") == F.col("top")) | (F.col("i") < F.col("id"))))
+        sizes = known.groupBy("key", "root").agg(F.count("*").alias("n"))
+        largest = sizes.groupBy("key").agg(F.max(F.struct("n", F.col("root").alias("top"))).alias("x"), F.count("*").alias("components")).where("components > 1").select("key", F.col("x.top").alias("top"))
+        mixed = checkpointed(known.join(largest, "key"))
+        few = mixed.where("root <> top").select("key", F.col("id").alias("i"), F.col("s0").alias("t0"), F.col("s1").alias("t1"), F.col("root").alias("r"))
+        cross = few.join(mixed, "key").where((F.col("r") != F.col("root")) & _near(F.col("s0"), F.col("s1"), F.col("t0"), F.col("t1")) & ((F.col("root") == F.col("top")) | (F.col("i") < F.col("id"))))
         new = cross.select(F.least("i", "id").alias("a"), F.greatest("i", "id").alias("b")).distinct()
         new = checkpointed(new.join(tried, ["a", "b"], "left_anti"))
         if new.limit(1).count() == 0:
@@ -294,19 +298,19 @@ def links(texts: DataFrame) -> DataFrame:
 
 def classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, class_id, class_size): one row for each key, null among them."""
-    t = F.trim(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), SPACE, " "))
-    rows = documents.select(F.col(key).alias("k"), t.alias("text")).withColumn("d", F.sha2("text", 256))
-    ids = checkpointed(rows.where("text <> ''").select("k", "d").distinct())
-    # one text of each group of copies goes on; the group's least key stands for it
-    groups = checkpointed(ids.groupBy("d").agg(F.min("k").alias("rep")))
-    numbered = checkpointed(groups.select("d", "rep", F.xxhash64("d").alias("id")))
-    texts = rows.where("text <> ''").join(numbered.where("rep is not null").select("d", "id", F.col("rep").alias("k")), ["d", "k"]).select("id", "text").dropDuplicates(["id"])
-    texts = checkpointed(texts)
-    roots = links(texts)
-    named = numbered.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    least = named.groupBy("root").agg(F.min("rep").alias("class_id"))
-    by_text = named.join(least, "root").select("d", "class_id")
-    found = ids.join(by_text, "d").groupBy("k").agg(F.min("class_id").alias("class_id"))
+    # a text's number is a 64-bit hash: of n texts about n * n / 2**65 pairs share one by chance
+    rows = documents.select(F.col(key).alias("k"), F.col(text).alias("text")).where(F.col("text").rlike(WORD)).withColumn("id", F.xxhash64("text"))
+    ids = checkpointed(rows.select("k", "id").distinct())
+    # the least key of a group of copies stands for it
+    reps = ids.where("k is not null").groupBy("id").agg(F.min("k").alias("k"))
+
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        return rows.select("k", "id", "text").join(reps.join(wanted, "id"), ["k", "id"]).select("id", "text").dropDuplicates(["id"])
+
+    roots = links(sketches(rows.select("id", "text")), texts_of)
+    named = reps.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    by_text = named.join(named.groupBy("root").agg(F.min("k").alias("class_id")), "root").select("id", "class_id")
+    found = ids.where("k is not null").join(by_text, "id").groupBy("k").agg(F.min("class_id").alias("class_id"))
     everyone = documents.select(F.col(key).alias("k")).distinct()
     out = everyone.join(found, "k", "left").withColumn("class_id", F.coalesce("class_id", "k"))
     sizes = out.groupBy("class_id").agg(F.count("*").alias("class_size"))
