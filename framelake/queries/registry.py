@@ -49,7 +49,7 @@ def trajectory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The same in SQL, as the first of a query's common table expressions.
 T = """WITH t AS (
-  SELECT user_id AS session, row_number() OVER (PARTITION BY user_id ORDER BY ts) - 1 AS frame_idx, epoch_ms(ts) AS ts_ms, value AS x,
+  SELECT user_id AS session, row_number() OVER (PARTITION BY user_id ORDER BY ts) - 1 AS frame_idx, epoch_us(ts) // 1000 AS ts_ms, value AS x,
     CAST(json_extract(props, '$.k') AS DOUBLE) AS y, CASE WHEN value >= 360 THEN value - 360 ELSE value END AS angle, event_type AS state
   FROM events)"""
 
