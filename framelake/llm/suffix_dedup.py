@@ -12,9 +12,12 @@ neighbours; only at the ends of runs new neighbours meet, and for these the end
 column streams the matching statistics: how far a row's text at that column agrees with its nearest others. Where
 that is LENGTH bytes or more, the window is marked. All of this compares bytes, not hashes.
 
-An anchor with more than ``MOST_CONTEXTS`` different contexts (a passage set in many texts) has no index; its windows
-are counted by two 64-bit hashes each, with partial sums, however many they are.
+An anchor with more than ``MOST_CONTEXTS`` different contexts (a passage set in many texts) has no index in one task.
+How far each context agrees with any other to the left and to the right is found by counting hashes of growing
+extents; only windows between those bounds can be repeated. These are counted by two 64-bit hashes each, with partial
+sums, however many they are.
 
+Rows are told apart by a 64-bit hash of key and text: among n rows about n * n / 2**65 pairs share one by chance.
 Documents with equal texts have equal results. Null texts are empty. A text of under LENGTH bytes loses nothing.
 """
 
@@ -35,9 +38,11 @@ LENGTH, GRAM = 400, 64
 REACH = LENGTH - GRAM  # bytes of context to either side
 GRAMS = REACH + 1  # grams of a window
 WIDTH = 2 * REACH + GRAM
-MOST_CONTEXTS = 256
-#: Rows of contexts that are indexed together, and bytes hashed together.
-TOGETHER, PIECE = 8192, 8 << 20
+MOST_CONTEXTS = 512
+#: Rows of contexts that are indexed together, bytes hashed together (they fit a core's cache) and in one piece of a long text.
+TOGETHER, CACHED, PIECE = 8192, 256 << 10, 8 << 20
+#: Bytes between the extents by which hot anchors' windows are sifted.
+GRID = 28
 
 U = np.uint64
 BYTES = np.random.default_rng(2718).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -114,7 +119,7 @@ def document_anchors(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.n
             at = sorted(found)
             yield i, np.array(at), np.array([found[p] for p in at], np.uint64)
             continue
-        if total + len(t) > PIECE and small:
+        if total + len(t) > CACHED and small:
             yield from together(small)
             small, total = [], 0
         small.append(i)
@@ -218,18 +223,34 @@ def pieces(h: np.ndarray) -> Iterator[tuple[int, int]]:
             start, k = borders[i], i
 
 
+def extents(data: bytes, left: int) -> list[tuple[int, int]]:
+    """(level, hash) of a context's extents: level k > 0 goes k * GRID bytes to the left of the anchor, k < 0 to the right."""
+    import xxhash
+
+    right = len(data) - left - GRAM
+    out = [(k, xxhash.xxh3_64_intdigest(data[left - k * GRID : left + GRAM], k)) for k in range(1, left // GRID + 1)]
+    return out + [(-k, xxhash.xxh3_64_intdigest(data[left : left + GRAM + k * GRID], k + 64)) for k in range(1, right // GRID + 1)]
+
+
 def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """(rows, found): the documents' (q_k, q_t, q_key, q_text, kept columns), and (q_k, q_t, q_spans) of those with removed bytes."""
+    """(rows, found): the documents' (q_row, q_key, q_text, kept columns), and (q_row, q_spans) of those with removed bytes."""
     share_code(documents.sparkSession)
     rows = documents.select(F.col(key).alias("q_key"), F.coalesce(F.col(text), F.lit("")).alias("q_text"), *keep)
-    rows = rows.withColumn("q_t", F.xxhash64("q_text"))
-    kind = rows.schema["q_key"].dataType
-    schema = T.StructType([T.StructField("h", T.LongType()), T.StructField("c", T.LongType()), T.StructField("q_key", kind), T.StructField("q_t", T.LongType()), T.StructField("pos", T.LongType())])
+    rows = rows.withColumn("q_row", F.xxhash64("q_key", "q_text"))
+    long = rows.where(F.octet_length("q_text") >= LENGTH)
+    signed = lambda x: pa.array(np.asarray(x, np.uint64).view(np.int64))
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "q_text", 1 << 20):
+            found = [h for _, _, h in document_anchors([t.encode("utf-8", "replace") for t in batch.column("q_text").to_pylist()])]
+            if found:
+                yield pa.RecordBatch.from_arrays([signed(np.concatenate(found))], names=["h"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in slices(batches, "q_text"):
+        digest = xxhash.xxh3_64_intdigest
+        for batch in slices(batches, "q_text", 1 << 20):
             texts = [t.encode("utf-8", "replace") for t in batch.column("q_text").to_pylist()]
             take, hs, cs, ps = [], [], [], []
             for i, pos, h in document_anchors(texts):
@@ -238,54 +259,41 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: t
                 ps.append(pos)
                 t = texts[i]
                 # where a document cuts a context off is part of it
-                cs += [xxhash.xxh3_64_intdigest(t[max(0, p - REACH) : p + GRAM + REACH], min(p, REACH)) for p in pos.tolist()]
+                cs += [digest(t[max(0, p - REACH) : p + GRAM + REACH], min(p, REACH)) for p in pos.tolist()]
             if take:
-                at = pa.array(np.concatenate(take))
-                signed = lambda x: pa.array(np.asarray(x, np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([signed(np.concatenate(hs)), signed(cs), batch.column("q_key").take(at), batch.column("q_t").take(at), pa.array(np.concatenate(ps).astype(np.int64))], schema=pa.schema([(f, t) for f, t in zip(schema.names, (pa.int64(), pa.int64(), batch.column("q_key").type, pa.int64(), pa.int64()), strict=True)]))
-
-    whole = rows.where(F.octet_length("q_text") >= LENGTH)
-    # copies lose everything; their second hash makes 128 bits
-    digests = whole.select("q_key", "q_t", F.xxhash64(F.lit(7), "q_text").alias("t2"), F.octet_length("q_text").cast("long").alias("n"))
-    copied = digests.groupBy("q_t", "t2").agg(F.count("*").alias("copies")).where("copies > 1")
-    copies = digests.join(copied.select("q_t", "t2"), ["q_t", "t2"]).select("q_key", "q_t", F.lit(0).cast("long").alias("a"), F.col("n").alias("b"))
-
-    found = checkpointed(whole.select("q_key", "q_t", "q_text").mapInArrow(scan, schema))
-    often = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    found = checkpointed(found.join(often, "h"))
-    # occurrences that differ are told by text and position: copies of a text are one
-    occurrence = F.struct("q_t", "pos", "q_key")
-    by_context = found.groupBy("h", "c").agg(F.min(occurrence).alias("first"), F.min(F.struct("q_t", "pos")).alias("low"), F.max(F.struct("q_t", "pos")).alias("high"))
-    by_context = checkpointed(by_context.select("h", "c", "first", (F.col("low") != F.col("high")).alias("repeated")))
-    equal = found.join(by_context.where("repeated").select("h", "c"), ["h", "c"])
-    equal = equal.select("q_key", "q_t", F.greatest(F.col("pos") - REACH, F.lit(0)).alias("a"), (F.col("pos") + GRAM + REACH).alias("b"))
-
-    different = by_context.groupBy("h").agg(F.count("*").alias("contexts"), F.min("repeated").alias("all_repeated")).where("contexts > 1 and not all_repeated")
-    wanted = by_context.join(different.select("h", "contexts"), "h").select("h", "repeated", "contexts", F.col("first.q_key").alias("q_key"), F.col("first.q_t").alias("q_t"), F.col("first.pos").alias("pos"))
-    wanted = wanted.groupBy("q_key", "q_t").agg(F.collect_list(F.struct("h", "pos", "repeated", "contexts")).alias("w"))
-    # by key and text's hash: rows with a null key meet too
-    keyed = [F.coalesce(F.xxhash64("q_key"), F.lit(0)).alias("q_k"), "q_t"]
-    texts = rows.select(*keyed, "q_key", "q_text", *keep)
-    need = wanted.select(*keyed, "w")
-    contexts_schema = "h long, q_key " + kind.simpleString() + ", q_t long, pos long, repeated boolean, contexts long, q_left int, q_context binary"
+                yield pa.RecordBatch.from_arrays([signed(np.concatenate(hs)), signed(cs), batch.column("q_row").take(pa.array(np.concatenate(take))), pa.array(np.concatenate(ps).astype(np.int64))], names=["h", "c", "q_row", "pos"])
+
+    # most anchors stand once; their contexts are never looked at
+    often = checkpointed(long.select("q_text").mapInArrow(hashes, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
+    found = checkpointed(long.select("q_row", "q_text").mapInArrow(scan, "h long, c long, q_row long, pos long").join(often, "h"))
+    by_context = found.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("q_row", "pos")).alias("first"))
+    by_context = checkpointed(by_context.select("h", "c", "n", "first.q_row", "first.pos"))
+    equal = found.join(by_context.where("n > 1").select("h", "c"), ["h", "c"])
+    equal = equal.select("q_row", F.greatest(F.col("pos") - REACH, F.lit(0)).alias("a"), (F.col("pos") + GRAM + REACH).alias("b"))
+
+    different = by_context.groupBy("h").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).where("contexts > 1 and least = 1").select("h", "contexts")
+    wanted = by_context.join(different, "h").select("h", (F.col("n") > 1).alias("repeated"), "contexts", "q_row", "pos")
+    wanted = wanted.groupBy("q_row").agg(F.collect_list(F.struct("h", "pos", "repeated", "contexts")).alias("w"))
+    texts = rows.select("q_row", "q_key", "q_text", *keep)
+    context_schema = "h long, q_row long, pos long, repeated boolean, contexts long, q_left int, q_context binary"
+    names = [x.split(" ")[0] for x in context_schema.split(", ")]
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split(" ")[0] for x in contexts_schema.split(", ")]
         for batch in slices(batches, "q_text", 1 << 20):
-            out: list[list] = [[] for _ in range(8)]
-            at: list[int] = []
-            for i, (t, w, hash_) in enumerate(zip(batch.column("q_text").to_pylist(), batch.column("w").to_pylist(), batch.column("q_t").to_pylist(), strict=True)):
+            out: list[list] = [[] for _ in kinds]
+            seen = set()  # rows with equal keys and texts have equal contexts: one will do
+            for row, t, w in zip(*(batch.column(c).to_pylist() for c in ("q_row", "q_text", "w")), strict=True):
+                if row in seen:
+                    continue
+                seen.add(row)
                 data = t.encode("utf-8", "replace")
                 for x in w:
-                    at.append(i)
-                    for column, value in zip(out[2:], (hash_, x["pos"], x["repeated"], x["contexts"], min(x["pos"], REACH), context(data, x["pos"])), strict=True):
+                    for column, value in zip(out, (x["h"], row, x["pos"], x["repeated"], x["contexts"], min(x["pos"], REACH), context(data, x["pos"])), strict=True):
                         column.append(value)
-                    out[0].append(x["h"])
-            arrays = [pa.array(out[0], pa.int64()), batch.column("q_key").take(pa.array(at, pa.int64())), *(pa.array(v, t) for v, t in zip(out[2:], (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.binary()), strict=True))]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], names=names)
 
-    contexts = texts.join(need, ["q_k", "q_t"]).select("q_key", "q_t", "q_text", "w").mapInArrow(cut, contexts_schema)
-    out_schema = f"q_key {kind.simpleString()}, q_t long, a long, b long"
+    contexts = texts.select("q_row", "q_key", "q_text", *keep).join(wanted, "q_row").select("q_row", "q_text", "w").mapInArrow(cut, context_schema)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
@@ -300,18 +308,10 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: t
             for i, x in enumerate(data):
                 m[i, begin[i] : begin[i] + lengths[i]] = np.frombuffer(x, np.uint8)
             marks = matching_windows(h, m, begin, begin + lengths)
-            repeated, pos = t.column("repeated").to_pylist(), t.column("pos").to_pylist()
-            at, a, b = [], [], []
-            for i in np.flatnonzero(marks.any(axis=1)).tolist():
-                if not repeated[i]:
-                    for x, y in _runs(marks[i]):
-                        at.append(i)
-                        a.append(pos[i] - REACH + x)
-                        b.append(pos[i] - REACH + y - 1 + LENGTH)
-            if at:
-                some = t.select(["q_key", "q_t"]).take(pa.array(at, pa.int64()))
-                for part in pa.table([*some.columns, pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["q_key", "q_t", "a", "b"]).to_batches():
-                    yield part
+            repeated, pos, row = (t.column(c).to_pylist() for c in ("repeated", "pos", "q_row"))
+            out = [(row[i], pos[i] - REACH + x, pos[i] - REACH + y - 1 + LENGTH) for i in np.flatnonzero(marks.any(axis=1)).tolist() if not repeated[i] for x, y in _runs(marks[i])]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*out, strict=True)], names=["q_row", "a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -330,42 +330,55 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: t
             for a, b in pieces(t.column("h").to_numpy()):
                 yield from run(t.slice(a, b - a))
 
-    few = contexts.where(F.col("contexts") <= MOST_CONTEXTS).repartition("h").sortWithinPartitions("h").mapInArrow(index, out_schema)
+    few = contexts.where(F.col("contexts") <= MOST_CONTEXTS).repartition("h").sortWithinPartitions("h").mapInArrow(index, "q_row long, a long, b long")
+
+    hot = checkpointed(contexts.where(F.col("contexts") > MOST_CONTEXTS))
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [(h, row, pos, k, e) for h, row, pos, left, x in zip(*(batch.column(c).to_pylist() for c in ("h", "q_row", "pos", "q_left", "q_context")), strict=True) for k, e in extents(x, left)]
+            if out:
+                h, row, pos, k, e = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(row, pa.int64()), pa.array(pos, pa.int64()), pa.array(k, pa.int32()), signed(e)], names=["h", "q_row", "pos", "k", "e"])
+
+    extended = hot.mapInArrow(reach, "h long, q_row long, pos long, k int, e long")
+    shared = extended.groupBy("h", "k", "e").agg(F.count("*").alias("n")).where("n > 1").select("h", "k", "e")
+    bounds = extended.join(shared, ["h", "k", "e"]).groupBy("h", "q_row", "pos").agg(F.max("k").alias("to_left"), F.min("k").alias("to_right"))
+    sifted = hot.join(bounds, ["h", "q_row", "pos"]).withColumns({"to_left": (F.greatest("to_left", F.lit(0)) + 1) * GRID - 1, "to_right": (F.greatest(-F.col("to_right"), F.lit(0)) + 1) * GRID - 1})
+    sifted = checkpointed(sifted.where(F.col("to_left") + F.col("to_right") >= REACH))
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                part = batch.slice(start, 64)
-                at, l_, w = [], [], []
-                for i, (x, left) in enumerate(zip(part.column("q_context").to_pylist(), part.column("q_left").to_pylist(), strict=True)):
-                    if len(x) >= LENGTH:
-                        found = window_hashes(np.frombuffer(x, np.uint8))
-                        at.append(np.full(len(found), i))
-                        l_.append(left - np.arange(len(found)))
-                        w.append(found)
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                at, first, w = [], [], []
+                for i, (x, left, pos, to_left, to_right) in enumerate(zip(*(part.column(c).to_pylist() for c in ("q_context", "q_left", "pos", "to_left", "to_right")), strict=True)):
+                    # windows begin so many bytes left of the anchor
+                    low, high = max(REACH - to_right, left + LENGTH - len(x), 0), min(to_left, left, REACH)
+                    if low > high:
+                        continue
+                    begin = left - high
+                    found = window_hashes(np.frombuffer(x, np.uint8)[begin : left - low + LENGTH])
+                    at.append(np.full(len(found), i))
+                    first.append(pos - left + begin + np.arange(len(found)))
+                    w.append(found)
                 if at:
                     at, w = pa.array(np.concatenate(at)), np.concatenate(w)
-                    offset = np.concatenate(l_)
-                    pos = part.column("pos").take(at).to_numpy()
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column("h").take(at), pa.array(offset.astype(np.int32)), pa.array(w[:, 0].copy()), pa.array(w[:, 1].copy()), part.column("q_key").take(at), part.column("q_t").take(at), part.column("repeated").take(at), pa.array(pos - offset)],
-                        names=["h", "l", "w1", "w2", "q_key", "q_t", "repeated", "a"],
-                    )
+                    yield pa.RecordBatch.from_arrays([pa.array(w[:, 0].copy()), pa.array(w[:, 1].copy()), part.column("q_row").take(at), part.column("repeated").take(at), pa.array(np.concatenate(first).astype(np.int64))], names=["w1", "w2", "q_row", "repeated", "a"])
 
-    windows = contexts.where(F.col("contexts") > MOST_CONTEXTS).mapInArrow(expand, f"h long, l int, w1 long, w2 long, q_key {kind.simpleString()}, q_t long, repeated boolean, a long")
-    names = ["h", "l", "w1", "w2"]
-    twice = windows.groupBy(*names).agg(F.count("*").alias("n")).where("n > 1").select(*names)
-    many = windows.where("not repeated").join(twice, names).select("q_key", "q_t", "a", (F.col("a") + LENGTH).alias("b"))
+    windows = sifted.mapInArrow(expand, "w1 long, w2 long, q_row long, repeated boolean, a long")
+    # one window may be reached from the anchors of both its ends: a place counts once
+    twice = windows.groupBy("w1", "w2").agg(F.min(F.struct("q_row", "a")).alias("low"), F.max(F.struct("q_row", "a")).alias("high")).where("low <> high").select("w1", "w2")
+    many = windows.where("not repeated").join(twice, ["w1", "w2"]).select("q_row", "a", (F.col("a") + LENGTH).alias("b"))
 
-    parts = copies.unionByName(equal).unionByName(few).unionByName(many)
-    lists = parts.groupBy("q_key", "q_t").agg(F.collect_list(F.struct("a", "b")).alias("q_spans"))
-    return texts, lists.select(*keyed, "q_spans")
+    parts = equal.unionByName(few).unionByName(many)
+    return texts, parts.groupBy("q_row").agg(F.collect_list(F.struct("a", "b")).alias("q_spans"))
 
 
 def cleaned(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(q_key, ``keep``, q_bytes, q_spans, q_kept): each row's key, kept columns, bytes in its text, removed runs [a, b) and the bytes left."""
     texts, found = spans(documents, key, text, keep)
-    joined = texts.join(found, ["q_k", "q_t"], "left").select("q_key", *keep, "q_text", "q_spans")
+    joined = texts.join(found, "q_row", "left").select("q_key", *keep, "q_text", "q_spans")
     runs = T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
     carried = ["q_key", *keep]
     schema = T.StructType([*joined.select(*carried).schema.fields, T.StructField("q_bytes", T.LongType()), T.StructField("q_spans", runs), T.StructField("q_kept", T.BinaryType())])
