@@ -129,7 +129,7 @@ def jumping_frames(keypoints: DataFrame, window: int = 4, threshold: float = 10.
     parts = BODY_PARTS[:-1] if corrected else BODY_PARTS[:-2]
     keys = [*keyed(by), "part"]
     w = in_order(keys, order).rowsBetween(1 - window, 0)
-    rows = keypoints.where(F.col("part").isin(parts))
+    rows = keypoints.where(F.col("part").isin(parts)).withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("x", "y")})
     rows = rows.withColumns({f"q_{c}": F.percentile(c, F.lit(0.5)).over(w) for c in ("x", "y")})
     far = rows.select(*keys, order, distance(F.col("x"), F.col("y"), F.col("q_x"), F.col("q_y")).alias("d"))
     return mark_outliers(far, ["d"], threshold, by=keys).where("outlier").select(*keyed(by), order).distinct()

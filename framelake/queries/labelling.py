@@ -21,7 +21,7 @@ def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = k.groupBy("session", "frame_idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", point.alias("p")))), lambda z: z["p"]).alias("ps"), F.first("cx").alias("cx"), F.first("cy").alias("cy"))
     x, y = F.round(F.col("cx") + 50, 3), F.round(F.col("cy") + 50, 3)
     corner = lambda a, b: F.array(x + a, y + b)
-    polygon = F.struct(F.lit("polygonlabels").alias("type"), F.lit(200).alias("original_width"), F.lit(200).alias("original_height"), F.struct(F.array(corner(-5, -5), corner(5, -5), corner(5, 5), corner(-5, 5)).alias("points"), F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"), F.lit(None).cast("array<string>").alias("keypointlabels"), F.array(F.lit("animal")).alias("polygonlabels")).alias("value"))
+    polygon = F.struct(F.lit("polygonlabels").alias("type"), F.lit(200).alias("original_width"), F.lit(200).alias("original_height"), F.struct(F.array(corner(-5.00005, -5.00005), corner(5.00005, -5.00005), corner(5.00005, 5.00005), corner(-5.00005, 5.00005)).alias("points"), F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"), F.lit(None).cast("array<string>").alias("keypointlabels"), F.array(F.lit("animal")).alias("polygonlabels")).alias("value"))
     results = F.array(F.struct(F.concat(F.array(polygon), F.col("ps")).alias("result")))
     odd = F.col("frame_idx") % 2 == 1
     body = F.struct((F.col("session") * 100000 + F.col("frame_idx")).alias("id"), F.struct(F.format_string("/data/s%d/ab12-frame_%d.png", F.col("session"), F.col("frame_idx")).alias("image")).alias("data"), F.when(~odd, results).alias("annotations"), F.when(odd, results).alias("completions"))
@@ -34,7 +34,7 @@ def annotation_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(annotations.keypoints(parsed).join(parsed.select("id", "path"), "id"), "x", "y")
 
 
-@query(POINTS + ", c AS (SELECT DISTINCT session, frame_idx, cx, cy FROM k) SELECT session * 100000 + frame_idx AS id, round((round(cx + 50, 3) - 5) * 2, 6) + 0.0 AS x0, round((round(cy + 50, 3) + 5) * 2, 6) + 0.0 AS y1 FROM c")
+@query(POINTS + ", c AS (SELECT DISTINCT session, frame_idx, cx, cy FROM k) SELECT session * 100000 + frame_idx AS id, round((round(cx + 50, 3) - 5.00005) * 2, 6) + 0.0 AS x0, round((round(cy + 50, 3) + 5.00005) * 2, 6) + 0.0 AS y1 FROM c")
 def annotation_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = annotations.polygons(annotations.parse(tasks(spark, sf_dir)))
     b = p.withColumn("b", annotations.box(F.col("vertices")))
@@ -42,7 +42,7 @@ def annotation_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(POINTS + """, c AS (SELECT session * 100000 + frame_idx AS id, round(cx + 50, 3) AS cx, round(cy + 50, 3) AS cy, round(x + 50, 3) AS x, round(y + 50, 3) AS y, ord FROM k)
-SELECT id, ord + 0 AS point, x > cx - 5 AND x <= cx + 5 AND y > cy - 5 AND y <= cy + 5 AS inside FROM c""")
+SELECT id, ord + 0 AS point, x > cx - 5.00005 AND x <= cx + 5.00005 AND y > cy - 5.00005 AND y <= cy + 5.00005 AS inside FROM c""")
 def annotation_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = annotations.parse(tasks(spark, sf_dir))
     owner = keypoints.polygon_owner(annotations.keypoints(parsed).select("id", "point", "x", "y"), annotations.polygons(parsed), "id")
