@@ -136,7 +136,8 @@ def shares(counts: Column, total: Column | None = None) -> Column:
 def distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance of two histograms of sum 1 and equal length; null if either is empty."""
     part = lambda a, b: F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(a)
-    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(F.zip_with(p, q, lambda a, b: part(a, b) + part(b, a)), F.lit(0.0), lambda a, x: a + x) / 2))
+    divergence = F.aggregate(F.zip_with(p, q, lambda a, b: part(a, b) + part(b, a)), F.lit(0.0), lambda a, x: a + x) / 2
+    return bind(divergence, lambda d: F.when(d < 0, F.lit(0.0)).otherwise(F.sqrt(d)))
 
 
 def references(found: DataFrame, lang: str = "lang") -> DataFrame:
