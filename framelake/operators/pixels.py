@@ -155,3 +155,93 @@ def block_mean(pixels: Column, width: int, height: int, size: int) -> Column:
         return F.aggregate(lines, F.lit(0.0), lambda a, v: a + v) / (size * size)
 
     return F.transform(cells, mean)
+
+
+def _columns(frames: DataFrame, f, columns: list[str], schema: str) -> DataFrame:
+    """Adds columns that a numpy function makes of a row's values, in Arrow batches; ``schema`` is theirs as a struct."""
+    share_code(frames.sparkSession)
+
+    @F.pandas_udf(schema)
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = [f(*values) for values in part.itertuples(index=False, name=None)]
+            yield pd.DataFrame(rows, index=part.index, columns=names)
+
+    names = [x.split(" ")[0].strip("`") for x in schema.split(", ")]
+    return frames.withColumn("q_out", run(F.struct(*columns))).select(*(c for c in frames.columns if c not in names), "q_out.*")
+
+
+def cropped_and_turned(frames: DataFrame, pixels: str, into: str, width: int, size: tuple[int, int] = (80, 80), cx: str = "cx", cy: str = "cy", angle: str = "angle") -> DataFrame:
+    """A window about each frame's centre, turned by its angle; all 0 where the centre or angle is missing."""
+
+    def f(px, x, y, a):
+        ok = all(v is not None and np.isfinite(v) for v in (x, y, a))
+        return (kernels.crop_and_rotate(np.asarray(px, float).reshape(-1, width), x, y, a, size).ravel() if ok else np.zeros(size[0] * size[1]),)
+
+    return _columns(frames, f, [pixels, cx, cy, angle], f"{into} array<double>")
+
+
+def uncropped(frames: DataFrame, pixels: str, into: str, size: tuple[int, int], shape: tuple[int, int], cx: str = "cx", cy: str = "cy", angle: str = "angle") -> DataFrame:
+    """Turned windows back at their places in frames of a shape."""
+
+    def f(px, x, y, a):
+        ok = all(v is not None and np.isfinite(v) for v in (x, y, a))
+        return (kernels.uncrop(np.asarray(px, float).reshape(size), x, y, a, shape).ravel() if ok else np.zeros(shape[0] * shape[1]),)
+
+    return _columns(frames, f, [pixels, cx, cy, angle], f"{into} array<double>")
+
+
+def cleaned(frames: DataFrame, pixels: str, into: str, width: int, blur: tuple[int, ...] = (3,), open_size: int = 9, erode: int = 0, temporal: int = 0, by: str = "session", order: str = "frame_idx") -> DataFrame:
+    """Erosion, median blurs and opening of each frame, then a median over neighbouring frames of each pixel."""
+
+    def f(im: np.ndarray) -> np.ndarray:
+        out = kernels.erode(im, kernels.rectangle(erode)) if erode else im
+        for size in blur:
+            out = kernels.median_blur(out, size)
+        return kernels.opening(out, kernels.ellipse(open_size)) if open_size else out
+
+    out = kernel(frames, f, pixels, into, width)
+    if not temporal:
+        return out
+    from framelake.operators.temporal import in_order
+
+    half = temporal // 2
+    around = F.collect_list(F.col(into)).over(in_order(by, order).rowsBetween(-half, half))
+    out = out.withColumn("q_w", around)
+    # beyond the ends frames count as 0
+    zeros = F.lit(temporal) - F.size("q_w")
+    places = F.sequence(F.lit(0), F.size(into) - 1)
+    median = F.transform(places, lambda i: F.get(F.array_sort(F.concat(F.transform("q_w", lambda w: F.get(w, i)), F.array_repeat(F.lit(0.0), zeros))), F.lit(half)))
+    return out.withColumn(into, median).drop("q_w")
+
+
+def shape_features(frames: DataFrame, pixels: str, width: int, low: float, high: float = float("inf")) -> DataFrame:
+    """Of each frame's largest component of pixels in (low, high): contour, and centroid, orientation and axes of the area inside it; null without one."""
+
+    out = _contours(frames, pixels, width, low, high)
+    m = contour_moments(F.col("contour"))
+    out = out.withColumns({f"q_{k}": v for k, v in m.items()})
+    c = F.col
+    has = c("q_m00") > 0
+    out = out.withColumns({"cx": F.when(has, c("q_m10") / c("q_m00")), "cy": F.when(has, c("q_m01") / c("q_m00"))})
+    u20, u02, u11 = c("q_m20") - c("cx") * c("q_m10"), c("q_m02") - c("cy") * c("q_m01"), c("q_m11") - c("cx") * c("q_m01")
+    num, den = 2 * u11, u20 - u02
+    common = F.sqrt(num * num + den * den)
+    axis = lambda s: F.when(has, F.lit(2.0) * F.sqrt(F.lit(2.0)) * F.sqrt(F.greatest(F.lit(0.0), (u20 + u02 + s * common) / c("q_m00"))))
+    return out.withColumns({"orientation": F.when(has, F.degrees(F.lit(-0.5) * F.atan2(num, den))), "major": axis(1), "minor": axis(-1)}).drop(*(f"q_{k}" for k in m))
+
+
+def _contours(frames: DataFrame, pixels: str, width: int, low: float, high: float) -> DataFrame:
+    share_code(frames.sparkSession)
+    point = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
+    schema = T.StructType([*(f for f in frames.schema.fields if f.name != "contour"), T.StructField("contour", T.ArrayType(point))])
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            found = []
+            for px in pdf[pixels]:
+                image = np.asarray(px, float).reshape(-1, width)
+                found.append([(float(x), float(y)) for x, y in kernels.outline(kernels.largest_component((image > low) & (image < high)))])
+            yield pdf.assign(contour=found)
+
+    return frames.drop("contour").mapInPandas(run, schema)

@@ -32,15 +32,17 @@ def extract(frames: DataFrame, keypoints: DataFrame, width: int, low: float = 10
     f = clean(f) if clean else f
     features = pixels.moments(f, "h", width).where("cx is not null")
     seen = tracking.smoothed(keypoints, BODY_PARTS) if smooth else keypoints.select("session", "frame_idx", "part", "x", "y")
-    posed = seen.join(features.select("session", "frame_idx", "cx", "cy", F.pmod("orientation", F.lit(360.0)).alias("angle")), ["session", "frame_idx"])
-    votes = kp.flip_votes(posed, length=length)
-    turned = kp.turned(posed.join(votes.select("session", "frame_idx", "flip"), ["session", "frame_idx"]).withColumn("angle", F.when(F.col("flip"), F.pmod(F.col("angle") + 180, F.lit(360.0))).otherwise(F.col("angle"))))
-    aligned = kp.alignment(turned)
-    angles = turned.groupBy("session", "frame_idx").agg(F.first("angle").alias("angle"), F.first("flip").alias("flip")).join(aligned, ["session", "frame_idx"])
+    frame = ["session", "frame_idx"]
+    pose = features.select(*frame, "cx", "cy", F.pmod("orientation", F.lit(360.0)).alias("angle"))
+    posed = seen.join(pose, frame)
+    votes = kp.flip_votes(posed, length=length).select(*frame, "flip", "confidence")
+    turned = F.when(F.col("flip"), F.pmod(F.col("angle") + 180, F.lit(360.0))).otherwise(F.col("angle"))
+    aligned = kp.alignment(kp.turned(posed.join(votes, frame).withColumn("angle", turned)))
+    angles = pose.join(votes, frame).withColumn("angle", turned).join(aligned, frame)
     if track:
         fixed = tracking.corrected_angles(angles)
     else:
-        fixed = temporal.filter_angles_to_rest(angles, "angle", "angle_out", "q_f").select("session", "frame_idx", "angle_out", (F.col("flip") != F.col("q_f")).alias("flip_out"), F.lit(0).alias("intervention"))
-    out = pixels.scalars(features, "h", low, high, depth)
-    out = out.join(fixed, ["session", "frame_idx"]).join(votes.select("session", "frame_idx", "confidence"), ["session", "frame_idx"]).join(aligned.withColumnRenamed("score", "alignment"), ["session", "frame_idx"])
-    return out.withColumn("angle", F.radians("angle_out")).select("session", "frame_idx", *SCALARS, F.col("flip_out").alias("flip"), "confidence", "alignment", "intervention")
+        fixed = temporal.filter_angles_to_rest(angles, "angle", "angle_out", "q_f").select(*frame, "angle_out", (F.col("flip") != F.col("q_f")).alias("flip_out"), F.lit(0).alias("intervention"))
+    out = pixels.scalars(features, "h", low, high, depth).drop("angle")
+    out = out.join(angles.select(*frame, "confidence", F.col("score").alias("alignment")), frame).join(fixed, frame)
+    return out.withColumn("angle", F.radians("angle_out")).select(*frame, *SCALARS, F.col("flip_out").alias("flip"), "confidence", "alignment", "intervention")

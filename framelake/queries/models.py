@@ -86,3 +86,69 @@ def extract_untracked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with angles from votes and the angle filter."""
     out = extraction.extract(frames(spark, sf_dir), points(spark, sf_dir), SIDE, 5, 100, length=20.0, track=False)
     return rounded(out, *(c for c in SCALARS if c != "area_px"), "confidence", "alignment", digits=4)
+
+
+@query()
+def crop_rotate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A turned window about each frame's centre of mass, as its sum and its middle pixel."""
+    from framelake.operators import pixels
+    from framelake.queries.registry import heights
+
+    m = pixels.moments(heights(spark, sf_dir), "h", SIDE).withColumn("angle", F.col("orientation"))
+    w = pixels.cropped_and_turned(m, "h", "w", SIDE, (6, 6))
+    return rounded(w.select("session", "frame_idx", F.aggregate("w", F.lit(0.0), lambda a, v: a + v).alias("total"), F.get("w", F.lit(21)).alias("middle")), "total", "middle", digits=4)
+
+
+@query()
+def clean_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blurred, opened and smoothed over time, as each frame's sum."""
+    from framelake.operators import pixels
+
+    c = pixels.cleaned(frames(spark, sf_dir), "px", "c", SIDE, (3,), 3, temporal=3)
+    return rounded(c.select("session", "frame_idx", F.aggregate("c", F.lit(0.0), lambda a, v: a + v).alias("total")), "total", digits=4)
+
+
+@query()
+def frame_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contour features of each frame's largest component."""
+    from framelake.operators import pixels
+
+    f = pixels.shape_features(frames(spark, sf_dir), "px", SIDE, 62)
+    return rounded(f.select("session", "frame_idx", F.size("contour").alias("n_points"), "cx", "cy", "major", "minor"), "cx", "cy", "major", "minor", digits=4)
+
+
+@query()
+def infer_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instances by a model that the caller supplies, here a threshold."""
+    from framelake.plans.infer import infer, threshold_model
+
+    found = infer(frames(spark, sf_dir), threshold_model(65), SIDE)
+    return rounded(found.select("session", "frame_idx", "instance", "score", F.size("keypoints").alias("n_keypoints")), "score")
+
+
+@query("""WITH p AS (SELECT source, doc_id % 7 AS k, doc_id FROM documents), s AS (SELECT DISTINCT source, k FROM p)
+SELECT concat('session_', k) AS session, concat('/data/', source, '/session_', k) AS folder, concat('/data/', source, '/session_', k, '/depth.dat') AS path FROM s WHERE k <> 2 AND k <> 4""")
+def discover_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recordings with metadata (all but the second) and without a status (the fourth has one)."""
+    from framelake.sources.files import unextracted
+
+    s = table(spark, sf_dir, "documents").select("source", (F.col("doc_id") % 7).alias("k")).distinct()
+    at = lambda name: F.format_string(f"/data/%s/session_%d/{name}", "source", "k")
+    listed = F.array_compact(F.array(at("depth.dat"), F.when(F.col("k") != 2, at("metadata.json")), F.when(F.col("k") == 4, at("proc/results_00.yaml"))))
+    return unextracted(s.select(F.explode(listed).alias("path")))
+
+
+@query("WITH s AS (SELECT DISTINCT source FROM documents), d AS (SELECT DISTINCT source FROM documents WHERE doc_id % 40 = 1) SELECT source AS path, concat('sbatch --wrap \"extract --in \\\"', source, '\\\"\"') AS command FROM s WHERE source NOT IN (SELECT source FROM d)")
+def plan_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    return audit.plan_batch(d.select(F.col("source").alias("path")).distinct(), d.where("doc_id % 40 = 1").select(F.col("source").alias("path")).distinct(), 'extract --in "{path}"')
+
+
+@query()
+def dataset_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from framelake.operators import annotations
+    from framelake.queries.labelling import tasks
+
+    images = frames(spark, sf_dir).select("px")
+    out = audit.dataset_info(images, annotations.parse(tasks(spark, sf_dir)))
+    return rounded(out, *(c for c, t in out.dtypes if t == "double"))

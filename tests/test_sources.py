@@ -103,3 +103,38 @@ def test_batch_plan_and_dataset(spark):
     assert audit.sample_dataset(frames, 10).count() == 10
     assert audit.sample_dataset(frames, 6, "kmeans", clusters=3).count() <= 6
     assert isinstance(frames.limit(1).toPandas(), pd.DataFrame)
+
+
+def test_archives(spark, tmp_path):
+    import io
+    import tarfile
+
+    from framelake.sources import archive
+
+    px = np.arange(5 * 12, dtype="<i2").reshape(5, 3, 4)
+    with tarfile.open(tmp_path / "session_9.tar.gz", "w:gz") as tar:
+        for name, data in (("x/metadata.json", b"{}"), ("x/depth.dat", px.tobytes())):
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            tar.addfile(info, io.BytesIO(data))
+    out = rawdepth.unpack(archive.frames(spark, str(tmp_path / "*.tar.gz"), 4, 3, batch=2)).orderBy("frame_idx").collect()
+    assert [r.px for r in out] == [f.ravel().tolist() for f in px] and {r.session for r in out} == {"session_9"}
+
+
+def test_inference_and_windows(spark):
+    from framelake.operators import pixels
+    from framelake.plans.infer import infer, threshold_model
+
+    image = np.zeros((8, 10))
+    image[2:6, 3:8] = 50
+    df = spark.createDataFrame([("s", 0, image.ravel().tolist()), ("s", 1, [0.0] * 80)], "session string, frame_idx long, px array<double>")
+    found = infer(df, threshold_model(10), 10).collect()
+    assert len(found) == 1 and found[0].box == [3, 2, 7, 5] and sum(found[0]["mask"]) == 20
+    f = {r.frame_idx: r for r in pixels.shape_features(df, "px", 10, 10).collect()}
+    assert abs(f[0].cx - 5) < 1e-9 and abs(f[0].cy - 3.5) < 1e-9 and f[0].major > f[0].minor and f[1].cx is None
+    posed = df.selectExpr("*", "cast(5 as double) as cx", "cast(3.5 as double) as cy", "cast(if(frame_idx = 0, 90, null) as double) as angle")
+    w = pixels.cropped_and_turned(posed, "px", "w", 10, (8, 8))
+    sums = {r.frame_idx: sum(r.w) for r in w.collect()}
+    assert abs(sums[0] - 1000) < 120 and sums[1] == 0
+    back = pixels.uncropped(w, "w", "b", (8, 8), (8, 10)).where("frame_idx = 0").first()
+    assert np.reshape(back.b, (8, 10))[3, 5] > 40
