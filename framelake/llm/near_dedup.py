@@ -8,11 +8,11 @@ weighted shingles. Bands of registers are buckets. Pairs are verified on the shi
 linked if the probability Jaccard similarity or the plain Jaccard similarity of their shingles is SIMILAR or more.
 
 Copies (equal texts) are one text from the start, so a group of copies never meets itself. In a bucket every text is
-first held against one hub, the text with the least hash for that band, and links make components. Then every text is
-held against all texts of its bucket that are in other components than its own, which leaves out no pair that shares
-a bucket; texts of the bucket's largest component are only looked up, not held against each other. That is repeated
-until nothing new is linked, so groups are found whole while large dense groups cost a linear number of pairs. A
-sketch of two 64-bit words, a bit for each register, drops pairs that are far from similar before texts are fetched.
+first held against one hub, the text with the least hash for that band; links make components. A small bucket that
+still has several components is then compared pair by pair across them. Texts of large buckets are held against the
+consensus of their crowd instead, see ``dense_links``: that leaves out no link between texts that share a bucket, and
+never forms all pairs of a group. A sketch of two 64-bit words, a bit for each register, drops pairs that are far from
+similar before texts are fetched.
 
 Documents without words (null, empty, blank) have no shingles; each is a class of its own, as are rows without a key. A class is named by its
 least key. Rows that share a key count as one document: its texts' classes are joined.
@@ -26,7 +26,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +38,12 @@ BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 #: Bits in which the sketches of two texts of similarity SIMILAR may differ: 120 * (1 - 0.8) / 2 = 12 on average, 3.3 standard deviation; this is five above.
 MOST_BITS = 29
+#: Buckets of so many texts at most are compared pair by pair where components differ: a bounded number for each text.
+MOST_PAIRED = 32
 #: Component rounds are bounded by the logarithm of the longest chain; this only stops an endless loop.
 MOST_ROUNDS = 60
+#: Edges whose components one task finds.
+AT_ONCE = 1_000_000
 
 U = np.uint64
 
@@ -201,26 +205,47 @@ def _near(a0, a1, b0, b1):
     return F.bit_count(a0.bitwiseXOR(b0)) + F.bit_count(a1.bitwiseXOR(b1)) <= MOST_BITS
 
 
+def union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, root) from all edges (a, b) of a bounded graph."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = find(parent.setdefault(a, a)), find(parent.setdefault(b, b))
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    ids = list(parent)
+    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([find(x) for x in ids], pa.int64())], names=["id", "root"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, root) for the ids of edges (a, b): every component's ids with its least id.
 
-    Each round hooks every id's root to the least root next to it, then shortens the ways to the roots; tables are
-    written each round, so lineage stays short.
+    Up to AT_ONCE edges go through one task by union-find (16 MB of edges); more are settled in rounds. Each round an id
+    takes the least of its own root, its neighbours' roots and its root's root, so ways shorten by half. A round is one
+    written table that tells by itself how many roots changed.
     """
+    counted = Observation()
+    edges = checkpointed(edges.select("a", "b").observe(counted, F.count("*").alias("n")))
+    if counted.get["n"] <= AT_ONCE:
+        return checkpointed(edges.coalesce(1).mapInArrow(union_find, "id long, root long"))
     both = checkpointed(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    state = checkpointed(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.min("a")).alias("root")))
+    state = both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.min("a")).alias("root"))
+    state = checkpointed(state)
     for _ in range(MOST_ROUNDS):
-        # least root among an id's neighbours, handed to the id's own root, so that whole trees hook at once
-        seen = both.join(state.select(F.col("id").alias("b"), "root"), "b").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("near"))
-        hooks = state.join(seen, "id").groupBy(F.col("root").alias("id")).agg(F.min(F.least("near", "root")).alias("to"))
-        stepped = state.join(hooks.select(F.col("id").alias("root"), "to"), "root", "left").select("id", F.least("root", F.coalesce("to", "root")).alias("root"), F.col("root").alias("old"))
-        # a root that got a new root is followed once more
-        jump = stepped.select(F.col("id").alias("root"), F.col("root").alias("up"))
-        stepped = stepped.join(jump, "root", "left").select("id", F.least("root", F.coalesce("up", "root")).alias("root"), "old")
-        stepped = checkpointed(stepped)
-        if stepped.where("root <> old").limit(1).count() == 0:
-            return stepped.select("id", "root")
-        state = stepped.select("id", "root")
+        near = both.join(state.select(F.col("id").alias("b"), "root"), "b").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("near"))
+        up = state.select(F.col("id").alias("root"), F.col("root").alias("up"))
+        told = Observation()
+        stepped = state.join(near, "id").join(up, "root").select("id", F.least("root", "near", "up").alias("root"), F.col("root").alias("old"))
+        stepped = checkpointed(stepped.observe(told, F.count_if(F.col("root") != F.col("old")).alias("changed")).select("id", "root"))
+        state = stepped
+        if not told.get["changed"]:
+            return state
     raise RuntimeError("components did not settle")
 
 
@@ -269,31 +294,97 @@ def links(found: DataFrame, texts_of) -> DataFrame:
     sketched = found.select("id", "s0", "s1")
     dealt = found.select("id", F.explode("keys").alias("key"))
     # buckets of one text lead nowhere: counted with partial sums and dropped
-    shared = dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    shared = dealt.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     rows = checkpointed(dealt.join(shared, "key").join(sketched, "id"))
     texts = checkpointed(texts_of(rows.select("id").distinct()))
     hubs = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("h"), "id", "s0", "s1")).alias("hub"))
-    stars = rows.join(hubs, "key").where((F.col("id") != F.col("hub.id")) & _near(F.col("s0"), F.col("s1"), F.col("hub.s0"), F.col("hub.s1")))
-    tried = checkpointed(stars.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct())
+    starred = rows.join(hubs, "key").where(F.col("id") != F.col("hub.id"))
+    near = starred.where(_near(F.col("s0"), F.col("s1"), F.col("hub.s0"), F.col("hub.s1")))
+    tried = checkpointed(near.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct())
     edges = checkpointed(verify(tried, texts))
-    while True:
-        roots = components(edges)
-        known = rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        # in each bucket the largest component; buckets of one component are done
-        sizes = known.groupBy("key", "root").agg(F.count("*").alias("n"))
-        largest = sizes.groupBy("key").agg(F.max(F.struct("n", F.col("root").alias("top"))).alias("x"), F.count("*").alias("components")).where("components > 1").select("key", F.col("x.top").alias("top"))
-        mixed = checkpointed(known.join(largest, "key"))
-        few = mixed.where("root <> top").select("key", F.col("id").alias("i"), F.col("s0").alias("t0"), F.col("s1").alias("t1"), F.col("root").alias("r"))
-        cross = few.join(mixed, "key").where((F.col("r") != F.col("root")) & _near(F.col("s0"), F.col("s1"), F.col("t0"), F.col("t1")) & ((F.col("root") == F.col("top")) | (F.col("i") < F.col("id"))))
-        new = cross.select(F.least("i", "id").alias("a"), F.greatest("i", "id").alias("b")).distinct()
-        new = checkpointed(new.join(tried, ["a", "b"], "left_anti"))
-        if new.limit(1).count() == 0:
-            return roots
-        more = checkpointed(verify(new, texts))
-        if more.limit(1).count() == 0:
-            return roots
-        edges = checkpointed(edges.unionByName(more))
-        tried = checkpointed(tried.unionByName(new))
+    roots = components(edges)
+    known = checkpointed(rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")))
+    # buckets of one component are done
+    mixed = known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    left = checkpointed(known.join(mixed, "key"))
+    few = left.where(F.col("members") <= MOST_PAIRED)
+    other = few.select("key", F.col("id").alias("i"), F.col("s0").alias("t0"), F.col("s1").alias("t1"), F.col("root").alias("r"))
+    cross = few.join(other, "key").where((F.col("i") < F.col("id")) & (F.col("r") != F.col("root")) & _near(F.col("s0"), F.col("s1"), F.col("t0"), F.col("t1")))
+    pairs = cross.select(F.least("i", "id").alias("a"), F.greatest("i", "id").alias("b"))
+    many = left.where(F.col("members") > MOST_PAIRED)
+    sure, maybe = dense_links(many.select("id", "key", "root", "s0", "s1"), texts)
+    new = checkpointed(pairs.unionByName(maybe).distinct().join(tried, ["a", "b"], "left_anti"))
+    return components(edges.unionByName(sure).unionByName(verify(new, texts)))
+
+
+def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """For large buckets, rows (id, key, root, s0, s1): sure links and pairs still to verify, as (a, b).
+
+    Texts that share large buckets are a crowd. Its consensus H is the set of shingles that half of its texts have, so
+    it is at most twice as large as a text on average. A text s has n shingles, j of them in H, and lacks m = |H| - j.
+    Similar texts share 0.8 n shingles at least, for the n of either. So
+
+    - texts that share no shingle beyond H and lack none of H in common share exactly |H| - m - m' shingles, all others
+      more. Pairs for which that would do are linked for sure; as it falls in m and n, holding each text against those
+      of the crowd that no other beats in both joins all that such pairs join;
+    - other similar texts share 0.8 n - j shingles beyond H at least. Any two sets in one order that share t elements
+      share one of their first size - t + 1: of a text's shingles beyond H the first 0.2 n + 1 will do;
+    - or they share none beyond H, then j is 0.8 n or more for both, and they lack m - (j' - 0.8 n') of H in common at
+      least: of the shingles that such a text lacks, the first 0.25 n + 1 will do.
+
+    None of this forms all pairs of a crowd. Crowds are found over the buckets' stars, whatever their texts' similarity.
+    """
+    share_code(many.sparkSession)
+    hubs = many.groupBy("key").agg(F.min("id").alias("hub"))
+    stars = many.join(hubs, "key").where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    crowds = components(stars).select("id", F.col("root").alias("crowd"))
+    members = many.groupBy("id").agg(F.first("root").alias("root"), F.first("s0").alias("s0"), F.first("s1").alias("s1")).join(crowds, "id")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1 << 20):
+            found = [np.unique(shingles(split_words(t))).view(np.int64) for t in batch.column("text").to_pylist()]
+            ends = np.cumsum([0, *(len(x) for x in found)], dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("crowd"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))], names=["id", "crowd", "s"])
+
+    held = checkpointed(texts.join(members.select("id", "crowd"), "id").mapInArrow(sets, "id long, crowd long, s array<long>"))
+    sizes = held.groupBy("crowd").agg(F.count("*").alias("size"))
+    counted = held.select("crowd", F.explode("s").alias("g")).groupBy("crowd", "g").agg(F.count("*").alias("n"))
+    consensus = counted.join(sizes, "crowd").where("n * 2 >= size").groupBy("crowd").agg(F.array_sort(F.collect_list("g")).alias("c"))
+    facts = held.join(consensus, "crowd", "left").withColumn("c", F.coalesce("c", F.array().cast("array<bigint>")))
+    facts = facts.select("id", "crowd", F.size("s").alias("n"), F.size("c").alias("h"), F.array_except("s", "c").alias("beyond"), F.array_except("c", "s").alias("lacks")).withColumns({"m": F.size("lacks"), "u": F.size("beyond"), "j": F.col("h") - F.size("lacks")})
+    first = lambda c, share: F.slice(c, F.lit(1), F.floor(F.col("n") / share).cast("int") + 1)
+    none = F.array().cast("array<bigint>")
+    facts = facts.select("id", "crowd", "n", "h", "m", "u", first("beyond", 5).alias("beyond"), F.when(F.col("j") * 5 >= F.col("n") * 4, first("lacks", 4)).otherwise(none).alias("lacks")).join(members.drop("crowd"), "id")
+    facts = checkpointed(facts)
+
+    def would_do(shared, n1, n2):
+        # shared / (n1 + n2 - shared) >= 4 / 5, in whole numbers; the weighted similarity has no such bound and is left to verification
+        return shared * 9 >= (n1 + n2) * 4
+
+    # texts that no other beats in m and n: for each m the least n, if it is under those of all smaller m
+    steps = facts.groupBy("crowd", "m").agg(F.min(F.struct("n", "id")).alias("x"))
+    front = steps.withColumn("best", F.min("x.n").over(Window.partitionBy("crowd").orderBy("m").rowsBetween(Window.unboundedPreceding, -1))).where("best is null or x.n < best")
+    front = front.select("crowd", F.col("m").alias("m2"), F.col("x.n").alias("n2"), F.col("x.id").alias("b"))
+    sure = facts.join(front, "crowd").where((F.col("id") != F.col("b")) & would_do(F.col("h") - F.col("m") - F.col("m2"), F.col("n"), F.col("n2"))).select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+    sure = checkpointed(sure)
+    # what is linked for sure needs no more: components so far
+    joined = components(sure.unionByName(facts.where("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b"))))
+    facts = facts.join(joined.withColumnRenamed("root", "joined"), "id", "left").withColumn("root", F.coalesce("joined", "root")).drop("joined")
+    mark = lambda c, kind: F.transform(c, lambda g, i: F.struct(g.alias("g"), F.lit(kind).alias("kind"), i.alias("at")))
+    marks = facts.select("id", "crowd", "root", "s0", "s1", "n", "h", "m", "u", F.explode(F.concat(mark("beyond", 1), mark("lacks", 0))).alias("x")).select("*", "x.g", "x.kind", "x.at").drop("x")
+    # only shingles that texts of two components have can link anything
+    marks = checkpointed(marks)
+    worth = marks.groupBy("crowd", "g", "kind").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("crowd", "g", "kind")
+    marks = checkpointed(marks.join(worth, ["crowd", "g", "kind"]))
+    two = marks.select("crowd", "g", "kind", F.col("id").alias("i"), F.col("root").alias("r"), F.col("s0").alias("t0"), F.col("s1").alias("t1"), F.col("n").alias("n2"), F.col("m").alias("m2"), F.col("u").alias("u2"), F.col("at").alias("at2"))
+    # so many shingles similar texts share, and so many of them beyond H, or lacked in common, must be shared; if a pair meets by the
+    # first of these, no more than what comes after it in either list can follow
+    shared = F.ceil((F.col("n") + F.col("n2")) * 4 / 9 - 1e-9)
+    due = F.when(F.col("kind") == 1, shared - F.col("h") + F.greatest("m", "m2")).otherwise(F.col("m") + F.col("m2") - F.col("h") + shared)
+    after = F.when(F.col("kind") == 1, F.least(F.col("u") - F.col("at"), F.col("u2") - F.col("at2"))).otherwise(F.least(F.col("m") - F.col("at"), F.col("m2") - F.col("at2")))
+    could = (after >= due) & ((F.col("kind") == 1) | would_do(F.col("h") - F.greatest("m", "m2"), F.col("n"), F.col("n2")))
+    maybe = marks.join(two, ["crowd", "g", "kind"]).where((F.col("i") < F.col("id")) & (F.col("r") != F.col("root")) & could & _near(F.col("s0"), F.col("s1"), F.col("t0"), F.col("t1")))
+    return sure, maybe.select(F.least("i", "id").alias("a"), F.greatest("i", "id").alias("b")).distinct()
 
 
 def classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
