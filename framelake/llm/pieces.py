@@ -13,7 +13,6 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 SPACE = "▁"
-ONE = (1,)
 #: Units of so many characters at most are kept in dictionaries.
 SHORT = 64
 UNIT = re.compile(" +[^ ]*")
@@ -22,7 +21,7 @@ UNIT = re.compile(" +[^ ]*")
 class Cache(dict):
     """A dictionary that computes what it lacks and starts anew when full."""
 
-    def __init__(self, make, most: int = 400_000):
+    def __init__(self, make, most: int = 600_000):
         super().__init__()
         self.make, self.most = make, most
 
@@ -35,15 +34,64 @@ class Cache(dict):
         return value
 
 
-def learn(cache: Cache, batch: list[list[str] | None], model: Model, value) -> None:
-    """Puts what a batch's words lack into ``cache``, sorted so that they share their prefixes' work."""
-    new = set().union(*(x for x in batch if x is not None)).difference(cache)
-    if len(cache) + len(new) > cache.most:
-        cache.clear()
-        new = set().union(*(x for x in batch if x is not None))
-    units = sorted(word if word[:1] == "\n" else " " + word for word in new if len(word) < SHORT)
-    for unit, tokens, last in model.prefixes(units):
-        cache[unit if unit[0] == "\n" else unit[1:]] = value(unit, tokens, last)
+class Words(dict):
+    """Values of words (see ``words``), learned a batch at a time.
+
+    A word falls apart where two characters stand side by side that do so in no piece: nothing joins across. ``value``
+    makes a part's value from its prefixes, ``join`` a word's from its parts'.
+    """
+
+    def __init__(self, model: Model, value, join, most: int = 600_000):
+        super().__init__()
+        self.model, self.value, self.join, self.most = model, value, join, most
+        self.parts: dict = {}
+        self.old: dict = {}
+
+    def split(self, word: str) -> list[str]:
+        unit = word if word[:1] == "\n" else " " + word
+        if word.isalpha():
+            return [unit]
+        bigrams, out, start = self.model.bigrams, [], 0
+        for i in range(1, len(unit)):
+            if unit[i - 1 : i + 1] not in bigrams:
+                out.append(unit[start:i])
+                start = i
+        out.append(unit[start:])
+        return out
+
+    def learn(self, batch: list[list[str] | None]) -> None:
+        """Takes in what a batch's words lack, sorted so that parts share their prefixes' work."""
+        new = set().union(*(x for x in batch if x is not None)).difference(self)
+        if len(self) + len(new) > self.most:
+            # what isn't seen again until the next time is forgotten
+            self.old = dict(self)
+            self.clear()
+            new = set().union(*(x for x in batch if x is not None))
+        old = self.old
+        for word in new & old.keys():
+            self[word] = old[word]
+            new.discard(word)
+        split = {word: self.split(word) for word in new if len(word) < SHORT}
+        parts = self.parts
+        if len(parts) > self.most:
+            parts.clear()
+        whole = {x[0]: word for word, x in split.items() if len(x) == 1}
+        lack = {part for x in split.values() if len(x) > 1 for part in x if part not in parts}
+        for found in self.model.prefixes(sorted(lack.union(whole))):
+            value = self.value(*found)
+            if found[0] in whole:
+                self[whole[found[0]]] = value
+            if found[0] in lack:
+                parts[found[0]] = value
+        known, join = parts.__getitem__, self.join
+        for word, x in split.items():
+            if len(x) > 1:
+                self[word] = join(map(known, x))
+
+    def __missing__(self, word: str):
+        """A word too long to keep."""
+        unit = word if word[:1] == "\n" else " " + word
+        return next(self.value(*x) for x in self.model.prefixes([unit]))
 
 
 class Model:
@@ -67,21 +115,23 @@ class Model:
                 self.id[piece], self.score[piece] = i, model.get_score(i)
                 self.surface.append(piece.encode())
         self.longest = max(map(len, self.id))
-        self.pair = Cache(lambda ab: self.stand(*ab) if "  " not in ab[0] + ab[1] else self.merge(ab[0] + ab[1]) == [*ab], 2_000_000)
+        self.pair = Cache(lambda ab: self.stand(*ab) if "  " not in ab[0] + ab[1] else self.merge(ab[0] + ab[1]) == [*ab], 400_000)
         self.alone = Cache(lambda a: len(a) == 1 or self.merge(a) == [a])
         # when a piece is made: single characters are there from the start, the others come by falling score
         made = sorted((p for p in self.id if len(p) > 1), key=lambda p: -self.score[p])
         self.order = {p: i for i, p in enumerate(made, 1)}
         self.halves = Cache(self._halves, 100_000)
         self.worst = min(self.score.values())
-        # by the last four characters (three, two if no longer piece ends so) the lengths of pieces that may end there, longest first
-        self.lengths: list[dict[str, tuple[int, ...]]] = [{}, {}, {}]
-        for k in (2, 3, 4):
-            found: dict[str, set[int]] = {}
-            for piece in self.id:
-                if len(piece) >= k:
-                    found.setdefault(piece[-k:], {1}).add(len(piece))
-            self.lengths[k - 2] = {end: tuple(sorted(v | {n for n in range(2, k) if end[-n:] in self.id}, reverse=True)) for end, v in found.items()}
+        self.pairs: dict[int, bool] = {}
+        # pieces by their characters from the last on; under None the id of the piece that begins there
+        self.endings: dict = {}
+        for piece, i in self.id.items():
+            node = self.endings
+            for c in reversed(piece):
+                node = node.setdefault(c, {})
+            node[None] = i
+        #: Characters that stand side by side in some piece.
+        self.bigrams = frozenset(piece[i : i + 2] for piece in self.id for i in range(len(piece) - 1))
         #: Whether a line end is in no piece of two characters or more, so that what follows it starts anew.
         self.lines_part = not any("\n" in piece for piece in self.id)
 
@@ -144,15 +194,14 @@ class Model:
             else:
                 limit, b = y + 1, self.halves[b][0]
 
-    def prefixes(self, units: Iterable[str]) -> Iterator[tuple[str, list[int], list[int]]]:
-        """For each unit in order (tokens, length of the last piece) of every prefix, from the empty one on.
+    def prefixes(self, units: Iterable[str]) -> Iterator[tuple[str, list[int], list[int], list[int]]]:
+        """For each unit in order, of every prefix from the empty one on: tokens, length and id of the last piece (-1: a character by its bytes).
 
         The lists go on being used: prefixes that a unit shares with the one before are not computed again, so units
         should come sorted.
         """
-        two, three, four = self.lengths
-        ids, pair, alone, size = self.id, self.pair, self.alone, self.size
-        tokens, last, before = [0], [0], ""
+        root, pairs, size = self.endings, self.pairs, self.size
+        tokens, last, ids, before = [0], [0], [0], ""
         for unit in units:
             shared = 0
             for shared, (x, y) in enumerate(zip(unit, before, strict=False)):  # noqa: B007
@@ -160,27 +209,39 @@ class Model:
                     break
             else:
                 shared = min(len(unit), len(before))
-            del tokens[shared + 1 :], last[shared + 1 :]
+            del tokens[shared + 1 :], last[shared + 1 :], ids[shared + 1 :]
             before = unit
             for end in range(shared + 1, len(unit) + 1):
-                if end > 3:
-                    lengths = four.get(unit[end - 4 : end]) or three.get(unit[end - 3 : end]) or two.get(unit[end - 2 : end]) or ONE
-                else:
-                    lengths = range(end, 0, -1)
-                for n in lengths:
-                    at = end - n
-                    if at < 0:
-                        continue
-                    piece = unit[at:end]
-                    if n > 1 and piece not in ids:
-                        continue
-                    if pair[unit[at - last[at] : at], piece] if at else alone[piece]:
+                node, at, found = root, end, []
+                while at:
+                    node = node.get(unit[at - 1])
+                    if node is None:
+                        break
+                    at -= 1
+                    if None in node:
+                        found.append((at, node[None]))
+                for at, piece in reversed(found):
+                    if at:
+                        key = ids[at] << 17 | piece
+                        fits = pairs.get(key)
+                        if fits is None:
+                            if len(pairs) > 400_000:
+                                pairs.clear()
+                            fits = pairs[key] = self.follows(unit[at - last[at] : at], unit[at:end])
+                    else:
+                        fits = self.alone[unit[:end]]
+                    if fits:
+                        tokens.append(tokens[at] + 1)
+                        last.append(end - at)
+                        ids.append(piece)
                         break
                 else:
-                    raise ValueError(f"no encoding of {unit[:end]!r}")
-                tokens.append(tokens[at] + (1 if n > 1 else size(piece)))
-                last.append(n)
-            yield unit, tokens, last
+                    if found and found[0][0] == end - 1:
+                        raise ValueError(f"no encoding of {unit[:end]!r}")
+                    tokens.append(tokens[end - 1] + size(unit[end - 1]))
+                    last.append(1)
+                    ids.append(-1)
+            yield unit, tokens, last, ids
 
     def _cut(self, unit: str, last: list[int]) -> list[str]:
         out, end = [], len(unit)
@@ -212,7 +273,7 @@ class Model:
         if self.kind == "bpe" and unit.startswith("  "):
             return self.merge_run(unit)
         if self.kind == "bpe":
-            return next(self._cut(unit, last) for _, _, last in self.prefixes([unit]))
+            return next(self._cut(unit, last) for _, _, last, _ in self.prefixes([unit]))
         best: list[tuple[float, str]] = [(0.0, "")]
         for end in range(1, len(unit) + 1):
             best.append(max((best[end - n][0] + self.score.get(unit[end - n : end], self.worst - 10), unit[end - n : end]) for n in range(1, min(self.longest, end) + 1) if self.has(unit[end - n : end])))

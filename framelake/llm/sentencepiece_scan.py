@@ -18,6 +18,7 @@ Null texts give null ids, empty ones no ids. Texts are encoded by content: repea
 from __future__ import annotations
 
 import pickle
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,10 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framelake.llm.common import slices, table
-from framelake.llm.pieces import Cache, Model, default_path, load, units
+from framelake.llm.pieces import Model, Words, default_path, load, units, words
 from framelake.session import share_code
 
-CHUNK = 1 << 15
+CHUNK = 1 << 16
 
 State = tuple[int, str]  # characters of the piece beyond the cut, the piece ("" in unigram models, and at a unit's end)
 Matrix = dict[State, dict[State, float]]
@@ -41,21 +42,35 @@ Matrix = dict[State, dict[State, float]]
 class Encoder:
     def __init__(self, model: Model):
         self.model = model
-        self.word = Cache(lambda w: np.array([i for p in model.pieces_of(" " + w) for i in model.ids(p)], "<i4").tobytes(), 500_000)
+        self.word = Words(model, self._cut, b"".join)
+
+    def _pack(self, unit: str) -> bytes:
+        ids = [i for p in self.model.pieces_of(unit) for i in self.model.ids(p)]
+        return struct.pack(f"<{len(ids)}i", *ids)
+
+    def _cut(self, unit: str, _tokens: list[int], last: list[int], ids: list[int]) -> bytes:
+        out, end = [], len(unit)
+        while end:
+            i = ids[end]
+            if i < 0:
+                out += reversed(self.model.ids(unit[end - 1]))
+            else:
+                out.append(i)
+            end -= last[end]
+        return struct.pack(f"<{len(out)}i", *out[::-1])
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes | None]:
+        """Texts' ids as little-endian 32-bit integers; null for null. The words of all are looked at together."""
+        clean = [(t or "").replace("▁", " ") for t in texts]
+        fast = self.model.lines_part and self.model.kind == "bpe"
+        parts = [words(t) if fast and t else None for t in clean]
+        self.word.learn(parts)
+        word = self.word.__getitem__
+        return [None if t is None else b"".join(map(self._pack, units(c)) if p is None else map(word, p)) for t, c, p in zip(texts, clean, parts, strict=True)]
 
     def encode(self, text: str) -> bytes:
         """A text's ids as little-endian 32-bit integers."""
-        if not text:
-            return b""
-        text = text.replace("▁", " ")
-        if "  " in text or text[0] == " " or text[-1] == " ":
-            return b"".join(self._unit(u) for u in units(text))
-        return b"".join(map(self.word.__getitem__, text.split(" ")))
-
-    def _unit(self, unit: str) -> bytes:
-        if unit.startswith("  ") or unit == " ":
-            return np.array([i for p in self.model.pieces_of(unit) for i in self.model.ids(p)], "<i4").tobytes()
-        return self.word[unit[1:]]
+        return self.encode_all([text])[0]
 
     # a chunk is text[start:stop] of a text that begins with its added space; borders are offsets in it
 
@@ -139,8 +154,13 @@ class Encoder:
                 out[s] = {e: to[(0, "")] + inner + v for e, v in row.items()}
         return out
 
-    def trace(self, text: str, start: int, stop: int, entry: State, leave: State) -> bytes:
-        """Ids of the pieces that begin in the chunk, on the best way between two states."""
+    def inner(self, text: str, start: int, stop: int) -> str | None:
+        """The units between a chunk's first and last place where one begins, without their space; None if there are none."""
+        first, last = self._breaks(text, start, stop)
+        return text[first + 1 : last] if 0 <= first < last - 1 else None
+
+    def trace(self, text: str, start: int, stop: int, entry: State, leave: State, inner: bytes | None = None) -> bytes:
+        """Ids of the pieces that begin in the chunk, on the best way between two states; ``inner`` has those of its inner units if known."""
         first, last = self._breaks(text, start, stop)
         out: list[bytes] = []
 
@@ -159,7 +179,7 @@ class Encoder:
         if first > start + entry[0] or first > start:
             out.append(pack(between(start, entry, first, (0, ""), text[:first])))
         if last > first:
-            out.append(self.encode(text[first + 1 : last]) if text[first + 1 : first + 2] != " " else b"".join(self._unit(u) for u in units(text[first + 1 : last])))
+            out.append(self._pack(" ") if last == first + 1 else self.encode(text[first + 1 : last]) if inner is None else inner)
         if last < stop:
             out.append(pack(between(last, (0, ""), stop, leave, text)))
         return b"".join(out)
@@ -228,31 +248,44 @@ def _ids(parts: list[bytes | None]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(sizes), values, mask=pa.array([x is None for x in parts], pa.bool_()))
 
 
-def encode(documents: DataFrame, text: str = "text", into: str = "ids", path: str | None = None, chunk: int = CHUNK, kind: str = "bpe") -> DataFrame:
-    """Adds ``into``, the text's ids as array<int>; a column of that name is replaced."""
+def decode_ids(model: Model, ids: bytes | np.ndarray) -> str:
+    """The text of ids; bytes that make no text become replacement characters."""
+    numbers = np.frombuffer(ids, "<i4") if isinstance(ids, bytes) else ids
+    return b"".join(map(model.surface.__getitem__, numbers.tolist())).decode("utf-8", "replace")[1:]
+
+
+def encode(documents: DataFrame, text: str = "text", into: str = "ids", path: str | None = None, chunk: int = CHUNK, kind: str = "bpe", check: str | None = None) -> DataFrame:
+    """Adds ``into``, the text's ids as array<int>, and with ``check`` whether they decode to the text (its "▁" as spaces); columns of those names are replaced."""
     share_code(documents.sparkSession)
     path = path or default_path()
-    keep = [c for c in documents.columns if c != into]
-    schema = T.StructType([*documents.select(*keep).schema.fields, T.StructField(into, T.ArrayType(T.IntegerType()))])
+    new = [into, *([check] if check else [])]
+    keep = [c for c in documents.columns if c not in new]
+    fields = [T.StructField(into, T.ArrayType(T.IntegerType())), *([T.StructField(check, T.BooleanType())] if check else [])]
+    schema = T.StructType([*documents.select(*keep).schema.fields, *fields])
     at = keep.index(text)
 
     def at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run = encoder(path, kind).encode
-        for batch in slices(batches, text):
-            found = [None if x is None else run(x) for x in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, _ids(found)], names=[*keep, into])
+        own = encoder(path, kind)
+        for batch in slices(batches, text, 8 << 20):
+            texts = batch.column(at).to_pylist()
+            found = own.encode_all(texts)
+            same = [pa.array([None if t is None else decode_ids(own.model, x) == t.replace("▁", " ") for t, x in zip(texts, found, strict=True)], pa.bool_())] if check else []
+            yield pa.RecordBatch.from_arrays([*batch.columns, _ids(found), *same], names=[*keep, *new])
 
     rows = documents.select(*keep)
     small = rows.where(F.col(text).isNull() | (F.length(text) <= chunk)).mapInArrow(at_once, schema)
     giant = rows.where(F.length(text) > chunk).withColumn("q_key", F.sha2(text, 256))
     ids = encode_chunks(giant.select("q_key", F.col(text).alias("q_text")).dropDuplicates(["q_key"]), path, chunk, kind)
-    return small.unionByName(giant.join(ids, "q_key").withColumnRenamed("q_ids", into).select(*keep, into))
+    giant = giant.join(ids, "q_key").withColumnRenamed("q_ids", into)
+    if check:
+        giant = decode(giant, into, "q_decoded", path, kind).withColumn(check, F.col("q_decoded") == F.replace(F.col(text), F.lit("▁"), F.lit(" ")))
+    return small.unionByName(giant.select(*keep, *new))
 
 
 def encode_chunks(texts: DataFrame, path: str, chunk: int, kind: str) -> DataFrame:
     """(q_key, q_text) to (q_key, q_ids) by the three steps: matrices, scan, traces.
 
-    What one text gathers in a task is its chunks' matrices (a few KB for each 32,768 characters) and, at the end,
+    What one text gathers in a task is its chunks' matrices (a few KB for each 65,536 characters) and, at the end,
     its ids, which make one value of the result.
     """
     around = 64
@@ -290,7 +323,9 @@ def encode_chunks(texts: DataFrame, path: str, chunk: int, kind: str) -> DataFra
     def traces(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         e = encoder(path, kind)
         for pdf in parts:
-            found = [e.trace(x.q_part, x.q_a, x.q_b, pickle.loads(x.q_in), pickle.loads(x.q_out)) for x in pdf.itertuples()]
+            # the inner units of many chunks share their words' work
+            known = e.encode_all([e.inner(x.q_part, x.q_a, x.q_b) for x in pdf.itertuples()])
+            found = [e.trace(x.q_part, x.q_a, x.q_b, pickle.loads(x.q_in), pickle.loads(x.q_out), ids) for x, ids in zip(pdf.itertuples(), known, strict=True)]
             yield pd.DataFrame({"q_key": pdf.q_key, "q_k": pdf.q_k, "q_ids": [np.frombuffer(x, "<i4") for x in found]})
 
     traced = chunks.join(entries, ["q_key", "q_k"]).mapInPandas(traces, "q_key string, q_k int, q_ids array<int>")
@@ -305,9 +340,9 @@ def decode(rows: DataFrame, ids: str = "ids", into: str = "decoded", path: str |
 
     @F.pandas_udf("string")
     def text(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        surface = load(path, kind).surface.__getitem__
+        model = load(path, kind)
         for part in parts:
-            yield pd.Series([None if x is None else b"".join(map(surface, x.tolist())).decode("utf-8", "replace")[1:] for x in part], index=part.index, dtype="object")
+            yield pd.Series([None if x is None else decode_ids(model, x) for x in part], index=part.index, dtype="object")
 
     return rows.withColumn(into, text(F.col(ids)))
 
@@ -315,6 +350,6 @@ def decode(rows: DataFrame, ids: str = "ids", into: str = "decoded", path: str |
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: how many ids, their digest, and whether the text came back."""
     documents = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = decode(encode(documents))
-    same = F.col("decoded") == F.replace("text", F.lit("▁"), F.lit(" "))
-    return found.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), same.alias("round_trip"))
+    found = encode(documents, check="round_trip")
+    digest = F.lpad(F.lower(F.hex(F.xxhash64("ids"))), 16, "0")
+    return found.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_xxhash64"), "round_trip")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake.llm.common import groups, table
-from framelake.llm.pieces import Cache, Model, default_path, learn, load, units, words
+from framelake.llm.pieces import Cache, Model, Words, default_path, load, units, words
 from framelake.session import share_code
 
 
@@ -29,14 +29,14 @@ class PrefixCounts:
     def __init__(self, model: Model):
         self.model = model
         self.unit = Cache(self._prefixes, 100_000)
-        self.total = Cache(lambda word: self._tokens(word if word[:1] == "\n" else " " + word), 1_000_000)
+        self.total = Words(model, lambda _part, tokens, _last, _ids: tokens[-1], sum)
 
     def _prefixes(self, unit: str) -> tuple[int, ...]:
         """Tokens of each prefix of a unit, from one character on."""
         model = self.model
         if model.kind != "bpe" or unit.startswith("  "):
             return tuple(sum(map(model.size, model.pieces_of(unit[:end]))) for end in range(1, len(unit) + 1))
-        return next(tuple(tokens[1:]) for _, tokens, _ in model.prefixes([unit]))
+        return next(tuple(tokens[1:]) for _, tokens, _, _ in model.prefixes([unit]))
 
     def _tokens(self, unit: str) -> int:
         return sum(map(self.model.size, self.model.pieces_of(unit)))
@@ -46,7 +46,7 @@ class PrefixCounts:
         texts = [(t or "").replace("▁", " ") for t in texts]
         fast = self.model.lines_part and self.model.kind == "bpe"
         parts = [words(t) if fast and t else None for t in texts]
-        learn(self.total, parts, self.model, lambda _unit, tokens, _last: tokens[-1])
+        self.total.learn(parts)
         total = self.total.__getitem__
         return [sum(map(self._tokens, units(t))) if p is None else sum(map(total, p)) for t, p in zip(texts, parts, strict=True)]
 
