@@ -167,3 +167,38 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = checkpointed(statistics(table(spark, sf_dir, "documents").select("doc_id", "lang", "text")).drop("text"))
     judged = judge(found, references(found))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("char_distance", 4).alias("char_distance"), F.round("word_distance", 4).alias("word_distance"))
+
+
+def oracle() -> str:
+    """op2's rows in SQL."""
+    words = ", ".join(f"('{w}', {j})" for j, w in enumerate(VOCABULARY))
+    longest = max(map(len, VOCABULARY)) + 3
+    classes = [r"[a-z]", r"[\x20\x09-\x0D]", r"[A-Z]", r"""[-.,;:!?''"()]""", r"[#*$%&|<>]", r"[0-9]", r"[+=@/\\_~^`{}\[\]]"]
+    counts = []
+    for i, c in enumerate(classes):
+        counts.append(f"c{i} AS (SELECT *, regexp_replace(r{i}, '{c}', '', 'g') AS r{i + 1} FROM {'d' if i == 0 else f'c{i - 1}'})")
+    n = len(classes)
+    bins = [f"length(r{i}) - length(r{i + 1})" for i in range(n)] + [f"least(strlen(r{n}) - length(r{n}), length(r{n}))", f"length(r{n}) - least(strlen(r{n}) - length(r{n}), length(r{n}))"]
+    char = " UNION ALL ".join(f"SELECT doc_id, lang, 0 AS kind, {i} AS bin, {b} AS n FROM c{n - 1}" for i, b in enumerate(bins))
+    return rf"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS r0, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+{", ".join(counts)},
+v AS (SELECT * FROM (VALUES {words}) v(word, bin)),
+win AS (SELECT doc_id, i, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+rep AS (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM win WHERE (doc_id, g) IN (SELECT (doc_id, g) FROM win GROUP BY doc_id, g HAVING count(*) > 1)),
+reps AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM rep GROUP BY doc_id),
+lines AS (SELECT doc_id, list_filter(string_split(r0, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+base AS (SELECT doc_id, len(w) AS n_words, length(r0) - length(regexp_replace(r0, '[\x20\x09-\x0D]', '', 'g')) AS n_space, length(r0) AS n, length(r0) - length(regexp_replace(r0, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM d JOIN lines USING (doc_id) LEFT JOIN reps USING (doc_id)),
+tok AS (SELECT doc_id, lang, lower(rtrim(x, '.,;:!?')) AS word FROM (SELECT doc_id, lang, unnest(w) AS x FROM d) WHERE length(x) <= {longest}),
+cnt AS (SELECT doc_id, bin, count(*) AS n FROM tok JOIN v USING (word) GROUP BY 1, 2),
+word AS (SELECT d.doc_id, d.lang, 1 AS kind, v.bin, coalesce(cnt.n, 0) AS n FROM d CROSS JOIN v LEFT JOIN cnt ON cnt.doc_id = d.doc_id AND cnt.bin = v.bin),
+more AS (SELECT d.doc_id, d.lang, 1 AS kind, {len(VOCABULARY)} AS bin, greatest(len(any_value(w)) - sum(word.n), 0) AS n FROM d JOIN word ON word.doc_id = d.doc_id GROUP BY 1, 2),
+hist AS ({char} UNION ALL SELECT * FROM word UNION ALL SELECT * FROM more),
+own AS (SELECT doc_id, kind, bin, n / nullif(sum(n) OVER (PARTITION BY doc_id, kind), 0) AS p FROM hist),
+ref AS (SELECT lang, kind, bin, sum(n) AS n FROM hist WHERE lang IS NOT NULL GROUP BY 1, 2, 3),
+refs AS (SELECT lang, kind, bin, n / nullif(sum(n) OVER (PARTITION BY lang, kind), 0) AS q FROM ref),
+js AS (SELECT doc_id, kind, lang, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS x FROM own JOIN refs USING (kind, bin) WHERE p IS NOT NULL GROUP BY 1, 2, 3),
+near AS (SELECT doc_id, min(x) FILTER (kind = 0) AS cd, min(x) FILTER (kind = 1) AS wd FROM js GROUP BY doc_id),
+j AS (SELECT doc_id, n_words, n - n_space AS word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < {LEAST_BASE_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed, coalesce(cd, 0) AS cd, coalesce(wd, 0) AS wd FROM base LEFT JOIN near USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND (word_chars < {LEAST_CHARS} OR n_words < {LEAST_WORDS} OR (cd <= {MOST_CHAR_DISTANCE} AND wd <= {MOST_WORD_DISTANCE})) AS kept, round(cd, 4) + 0.0 AS char_distance, round(wd, 4) + 0.0 AS word_distance FROM j"""

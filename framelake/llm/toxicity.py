@@ -39,6 +39,7 @@ LEAST_TERM, STEMS = 4, (4, 5, 6)
 #: Edits by the length of a term.
 EDITS = ((9, 2), (5, 1), (0, 0))
 WINDOW = 8
+MISSPELLED = 0.8
 THRESHOLD = 0.3
 QUOTES = "\"“”„«»‘’"
 REPORTING = frozenset("said says say wrote writes called calling quote quoted quotes quoting word term insult dijo escribió llamó dit écrit appelé sagte schrieb nannte".split())
@@ -231,25 +232,26 @@ class Toxicity:
 
 def mine(texts: list[str], toxic: list[bool]) -> tuple[list[str], list[str], list[str]]:
     """Terms and stems by greedy cover of the toxic texts, and the clean texts' words near a term."""
-    documents = [set(w for w in TOKEN.findall(t.lower()) if len(w) >= LEAST_TERM and not w.isdigit()) for t in texts]
-    clean_n = max(1, sum(not x for x in toxic))
+    def keys(text: str) -> set[tuple[str, bool]]:
+        words = {w for w in TOKEN.findall(text.lower()) if len(w) >= LEAST_TERM and not w.isdigit()}
+        return {(w, False) for w in words} | {(w[:n], True) for w in words for n in STEMS if len(w) > n}
+
+    toxic_n, clean_n = max(1, sum(toxic)), max(1, sum(not x for x in toxic))
+    least = max(LEAST_COVER, LEAST_SHARE * toxic_n)
     bad: dict[tuple[str, bool], set[int]] = defaultdict(set)
-    good: Counter = Counter()
-    for i, (words, is_toxic) in enumerate(zip(documents, toxic, strict=True)):
-        keys = {(w, False) for w in words} | {(w[:n], True) for w in words for n in STEMS if len(w) > n}
+    for i, (text, is_toxic) in enumerate(zip(texts, toxic, strict=True)):
         if is_toxic:
-            for key in keys:
+            for key in keys(text):
                 bad[key].add(i)
-        else:
-            good.update(keys)
-    toxic_n = max(1, sum(toxic))
-    least = max(LEAST_COVER, LEAST_SHARE * toxic_n)
-    for (w, is_stem), v in [*bad.items()]:
-        if not is_stem:
-            for n in STEMS:
-                if len(w) > n and len(v) > MOST_OF_STEM * len(bad[w[:n], True]):
-                    bad[w[:n], True] = set()  # that stem is but this word
-    usable = {k: v for k, v in bad.items() if len(v) >= least and len(v) / toxic_n >= LEAST_RATIO * (good[k] + 0.5) / clean_n}
+    # a stem of whose documents one word has most is but that word
+    spent = {(w[:n], True) for (w, is_stem), v in bad.items() if not is_stem for n in STEMS if len(w) > n and len(v) > MOST_OF_STEM * len(bad.get((w[:n], True), ()))}
+    bad = {k: v for k, v in bad.items() if len(v) >= least and k not in spent}
+    # clean texts are only asked for what is left, so nothing else of them is kept
+    good: Counter = Counter()
+    for text, is_toxic in zip(texts, toxic, strict=True):
+        if not is_toxic:
+            good.update(keys(text) & bad.keys())
+    usable = {k: v for k, v in bad.items() if len(v) / toxic_n >= LEAST_RATIO * (good[k] + 0.5) / clean_n}
     chosen: list[tuple[str, bool]] = []
     covered: set[int] = set()
     while usable and len(chosen) < MOST_TERMS:
@@ -266,10 +268,14 @@ def mine(texts: list[str], toxic: list[bool]) -> tuple[list[str], list[str], lis
             terms.append(w)
     stems = [w for w, stem in chosen if stem]
     stems = [s for s in stems if not any(s != x and s.startswith(x) for x in stems)]
-    near = sorted({w for words, is_toxic in zip(documents, toxic, strict=True) if not is_toxic for w in words})
-    probe = compile_lexicon(terms, [])
-    line = " ".join(near)
-    return sorted(terms), sorted(stems), sorted({line[b:e] for b, e, cost, _ in hits(probe, line) if cost}) if terms else []
+    near: set[str] = set()
+    if terms:
+        probe = compile_lexicon(terms, [])
+        for text, is_toxic in zip(texts, toxic, strict=True):
+            if not is_toxic:
+                low = text.lower()
+                near.update(low[b:e] for b, e, cost, _ in hits(probe, low) if cost)
+    return sorted(terms), sorted(stems), sorted(near)
 
 
 def fit(texts: list[str], labels: list[int]) -> Toxicity:
@@ -288,9 +294,11 @@ def fit(texts: list[str], labels: list[int]) -> Toxicity:
         w -= np.clip(step, -3, 3)
         if abs(step).max() < 1e-6:
             break
-    # misspellings are rarer in a sample than terms and quotations rarer still: what it doesn't show gets a share of a term's weight
-    if not x[:, 2].any():
-        w[2] = 0.8 * w[1]
+    # misspellings mostly stand beside terms, so a sample hardly weighs them alone, and quotations are rarer still: unless texts with
+    # misspellings alone are mostly clean, one counts as a share of a term; quotations that the sample doesn't show count a little
+    alone = (x[:, 2] > 0) & (x[:, 1] == 0) & (x[:, 3] == 0)
+    if 2 * y[alone].sum() >= alone.sum():
+        w[2] = max(w[2], MISSPELLED * w[1])
     if not x[:, 4].any():
         w[4] = 0.1 * w[1]
     model.weights, model.fitted = w.tolist(), True

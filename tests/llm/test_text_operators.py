@@ -320,3 +320,12 @@ def test_toxicity_of_odd_texts(spark):
     out = toxicity.score(frame(spark, ODD, score=["clash"] * len(ODD)), model).collect()
     assert len(out) == len(ODD) and all(0 <= r.score <= 1 for r in out)
     assert toxicity.fit(["a"], [0]).score("moron") == 0
+
+
+def test_quality_sql_gives_the_same_rows(spark):
+    import duckdb
+
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    theirs = {r[0]: r[1:] for r in duckdb.sql(f"SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, char_distance, word_distance FROM ({quality.oracle()})").fetchall()}
+    ours = {r[0]: tuple(r)[1:] for r in quality.op2_quality_rules(spark, DATA).collect()}
+    assert ours == theirs
