@@ -254,3 +254,15 @@ def test_stages(spark):
     assert labels
     last = corpus_pipeline.STAGES[-1][1](spark, docs, DATA)
     assert last.count() == docs.count() and all(r.n_tokens == len(r.ids) for r in last.collect())
+
+
+@pytest.mark.parametrize("at_once", [-1, 1000])
+def test_components(spark, monkeypatch, at_once):
+    """In rounds and in one task: a chain, a star, a pair."""
+    monkeypatch.setattr(near_dedup, "AT_ONCE", at_once)
+    chain = [(i, i + 1) for i in range(100, 117)]
+    edges = [*chain, *((50, 50 + i) for i in range(1, 9)), (7, 3)]
+    random.Random(1).shuffle(edges)
+    out = dict(near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert out == {**dict.fromkeys(range(100, 118), 100), **dict.fromkeys(range(50, 59), 50), 3: 3, 7: 3}
+    assert near_dedup.components(spark.createDataFrame([], "a long, b long")).count() == 0
