@@ -25,11 +25,17 @@ def build(cores: int | str = 8, memory: str = "8g", partitions: int = 8, **conf:
     return SparkSession.builder.config(map=base | conf).getOrCreate()
 
 
+#: Rows of an Arrow batch. They can be whole texts or images, so batches are far smaller than Spark's default of 10,000.
+BATCH = "500"
+
+
 def share_code(spark: SparkSession) -> None:
-    """Let Python workers import this package.
+    """Let Python workers import this package, and hand them small batches unless the session says otherwise.
 
     Workers take PYTHONPATH from the context's environment. On a cluster the package comes with
     ``--py-files``; the extra entry then names a folder that isn't there, which does no harm.
     """
     env = spark.sparkContext.environment
     env["PYTHONPATH"] = os.pathsep.join(dict.fromkeys([ROOT, *filter(None, env.get("PYTHONPATH", "").split(os.pathsep))]))
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
