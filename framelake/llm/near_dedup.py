@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelake.llm.common import WORD, checkpointed, slices, table
+from framelake.llm.common import WORD, checkpointed, release, slices, table
 from framelake.session import share_code
 
 WORDS, SIMILAR = 5, 0.8
@@ -62,7 +62,7 @@ class WordHashes(dict):
     def __missing__(self, word: str) -> int:
         import xxhash
 
-        if len(self) > 500_000:
+        if len(self) > 300_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "replace"))
         return value
@@ -268,6 +268,7 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         for batch in slices(batches, "text_b"):
             x, y = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()
             yield batch.select(["a", "b"]).filter(pa.array([alike(of(s), of(t)) >= SIMILAR for s, t in zip(x, y, strict=True)], pa.bool_()))
+        release(kept, word_hashes())
 
     return full.mapInArrow(check, "a long, b long")
 
@@ -284,6 +285,7 @@ def sketches(texts: DataFrame) -> DataFrame:
                 rows = np.array(found, np.int64)
                 keys = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * BANDS), pa.array(rows[:, 3:].ravel()))
                 yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(rows[:, k])) for k in range(3)), keys], names=schema.names)
+        release(word_hashes())
 
     found = texts.select("id", "text").mapInArrow(run, schema)
     return checkpointed(found.groupBy("id").agg(*(F.first(c).alias(c) for c in ("s0", "s1", "keys"))))

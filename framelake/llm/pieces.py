@@ -21,7 +21,7 @@ UNIT = re.compile(" +[^ ]*")
 class Cache(dict):
     """A dictionary that computes what it lacks and starts anew when full."""
 
-    def __init__(self, make, most: int = 600_000):
+    def __init__(self, make, most: int = 300_000):
         super().__init__()
         self.make, self.most = make, most
 
@@ -41,7 +41,7 @@ class Words(dict):
     makes a part's value from its prefixes, ``join`` a word's from its parts'.
     """
 
-    def __init__(self, model: Model, value, join, most: int = 600_000):
+    def __init__(self, model: Model, value, join, most: int = 300_000):
         super().__init__()
         self.model, self.value, self.join, self.most = model, value, join, most
         self.parts: dict = {}
@@ -65,7 +65,7 @@ class Words(dict):
         if len(self) + len(new) > self.most:
             # what isn't seen again until the next time is forgotten
             self.old = dict(self)
-            self.clear()
+            super().clear()
             new = set().union(*(x for x in batch if x is not None))
         old = self.old
         for word in new & old.keys():
@@ -88,6 +88,11 @@ class Words(dict):
             if len(x) > 1:
                 self[word] = join(map(known, x))
 
+    def clear(self) -> None:
+        super().clear()
+        self.parts.clear()
+        self.old = {}
+
     def __missing__(self, word: str):
         """A word too long to keep."""
         unit = word if word[:1] == "\n" else " " + word
@@ -115,7 +120,7 @@ class Model:
                 self.id[piece], self.score[piece] = i, model.get_score(i)
                 self.surface.append(piece.encode())
         self.longest = max(map(len, self.id))
-        self.pair = Cache(lambda ab: self.stand(*ab) if "  " not in ab[0] + ab[1] else self.merge(ab[0] + ab[1]) == [*ab], 400_000)
+        self.pair = Cache(lambda ab: self.stand(*ab) if "  " not in ab[0] + ab[1] else self.merge(ab[0] + ab[1]) == [*ab], 50_000)
         self.alone = Cache(lambda a: len(a) == 1 or self.merge(a) == [a])
         # when a piece is made: single characters are there from the start, the others come by falling score
         made = sorted((p for p in self.id if len(p) > 1), key=lambda p: -self.score[p])
@@ -225,7 +230,7 @@ class Model:
                         key = ids[at] << 17 | piece
                         fits = pairs.get(key)
                         if fits is None:
-                            if len(pairs) > 400_000:
+                            if len(pairs) > 250_000:
                                 pairs.clear()
                             fits = pairs[key] = self.follows(unit[at - last[at] : at], unit[at:end])
                     else:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelake.llm.common import slices, table
+from framelake.llm.common import release, slices, table
 from framelake.llm.pieces import Model, Words, default_path, load, units, words
 from framelake.session import share_code
 
@@ -271,6 +271,7 @@ def encode(documents: DataFrame, text: str = "text", into: str = "ids", path: st
             found = own.encode_all(texts)
             same = [pa.array([None if t is None else decode_ids(own.model, x) == t.replace("▁", " ") for t, x in zip(texts, found, strict=True)], pa.bool_())] if check else []
             yield pa.RecordBatch.from_arrays([*batch.columns, _ids(found), *same], names=[*keep, *new])
+        release(own.word)
 
     rows = documents.select(*keep)
     small = rows.where(F.col(text).isNull() | (F.length(text) <= chunk)).mapInArrow(at_once, schema)
@@ -327,6 +328,7 @@ def encode_chunks(texts: DataFrame, path: str, chunk: int, kind: str) -> DataFra
             known = e.encode_all([e.inner(x.q_part, x.q_a, x.q_b) for x in pdf.itertuples()])
             found = [e.trace(x.q_part, x.q_a, x.q_b, pickle.loads(x.q_in), pickle.loads(x.q_out), ids) for x, ids in zip(pdf.itertuples(), known, strict=True)]
             yield pd.DataFrame({"q_key": pdf.q_key, "q_k": pdf.q_k, "q_ids": [np.frombuffer(x, "<i4") for x in found]})
+        release(e.word)
 
     traced = chunks.join(entries, ["q_key", "q_k"]).mapInPandas(traces, "q_key string, q_k int, q_ids array<int>")
     ordered = traced.groupBy("q_key").agg(F.array_sort(F.collect_list(F.struct("q_k", "q_ids"))).alias("q"))

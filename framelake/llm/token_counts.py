@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm.common import groups, table
+from framelake.llm.common import groups, release, table
 from framelake.llm.pieces import Cache, Model, Words, default_path, load, units, words
 from framelake.session import share_code
 
@@ -91,9 +91,10 @@ def with_counts(documents: DataFrame, text: str = "text", into: str = "n_tokens"
 
     @F.pandas_udf("long")
     def tokens(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        count = counter(path).count_all
+        own = counter(path)
         for part in parts:
-            yield pd.Series([n for some in groups(part.tolist()) for n in count(some)], index=part.index, dtype="int64")
+            yield pd.Series([n for some in groups(part.tolist()) for n in own.count_all(some)], index=part.index, dtype="int64")
+        release(own.total, own.unit)
 
     @F.pandas_udf("long")
     def most(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
