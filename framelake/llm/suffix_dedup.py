@@ -254,22 +254,24 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: t
             texts = [t.encode("utf-8", "replace") for t in batch.column("q_text").to_pylist()]
             take, hs, cs, ps = [], [], [], []
             for i, pos, h in document_anchors(texts):
-                take.append(np.full(len(pos), i))
-                hs.append(h)
-                ps.append(pos)
-                t = texts[i]
-                # where a document cuts a context off is part of it
-                cs += [digest(t[max(0, p - REACH) : p + GRAM + REACH], min(p, REACH)) for p in pos.tolist()]
+                t, own = texts[i], {}
+                # where a document cuts a context off is part of it; equal contexts of one text (a period) are one row
+                for p, x in zip(pos.tolist(), h.tolist(), strict=True):
+                    own.setdefault((x, digest(t[max(0, p - REACH) : p + GRAM + REACH], min(p, REACH))), []).append(p)
+                take += [i] * len(own)
+                hs += [x for x, _ in own]
+                cs += [c for _, c in own]
+                ps += own.values()
             if take:
-                yield pa.RecordBatch.from_arrays([signed(np.concatenate(hs)), signed(cs), batch.column("q_row").take(pa.array(np.concatenate(take))), pa.array(np.concatenate(ps).astype(np.int64))], names=["h", "c", "q_row", "pos"])
+                yield pa.RecordBatch.from_arrays([signed(hs), signed(cs), batch.column("q_row").take(pa.array(take)), pa.array(ps, pa.list_(pa.int64()))], names=["h", "c", "q_row", "pos"])
 
     # most anchors stand once; their contexts are never looked at
     often = checkpointed(long.select("q_text").mapInArrow(hashes, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
-    found = checkpointed(long.select("q_row", "q_text").mapInArrow(scan, "h long, c long, q_row long, pos long").join(often, "h"))
-    by_context = found.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("q_row", "pos")).alias("first"))
+    found = checkpointed(long.select("q_row", "q_text").mapInArrow(scan, "h long, c long, q_row long, pos array<long>").join(often, "h"))
+    by_context = found.groupBy("h", "c").agg(F.sum(F.size("pos")).alias("n"), F.min(F.struct("q_row", F.get("pos", F.lit(0)).alias("pos"))).alias("first"))
     by_context = checkpointed(by_context.select("h", "c", "n", "first.q_row", "first.pos"))
     equal = found.join(by_context.where("n > 1").select("h", "c"), ["h", "c"])
-    equal = equal.select("q_row", F.greatest(F.col("pos") - REACH, F.lit(0)).alias("a"), (F.col("pos") + GRAM + REACH).alias("b"))
+    equal = equal.select("q_row", F.explode("pos").alias("pos")).select("q_row", F.greatest(F.col("pos") - REACH, F.lit(0)).alias("a"), (F.col("pos") + GRAM + REACH).alias("b"))
 
     different = by_context.groupBy("h").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).where("contexts > 1 and least = 1").select("h", "contexts")
     wanted = by_context.join(different, "h").select("h", (F.col("n") > 1).alias("repeated"), "contexts", "q_row", "pos")
