@@ -34,18 +34,33 @@ def partitions(spark: SparkSession) -> int:
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that ``column`` has about ``most`` bytes in each; a longer row stands alone."""
+    """Join or cut Arrow batches so that ``column`` has about ``most`` bytes in each; a longer row stands alone."""
+    held: list[pa.RecordBatch] = []
+    total = 0
+
+    def sizes(batch: pa.RecordBatch) -> list[int]:
+        return pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+
+    def cut() -> Iterator[pa.RecordBatch]:
+        for batch in pa.Table.from_batches(held).combine_chunks().to_batches() if len(held) > 1 else held:
+            start = size = 0
+            for i, n in enumerate(sizes(batch)):
+                if i > start and size + n > most:
+                    yield batch.slice(start, i - start)
+                    start, size = i, 0
+                size += n
+            yield batch.slice(start)
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
-        start = total = 0
-        for i, n in enumerate(sizes):
-            if i > start and total + n > most:
-                yield batch.slice(start, i - start)
-                start, total = i, 0
-            total += n
-        yield batch.slice(start)
+        held.append(batch)
+        total += sum(sizes(batch))
+        if total >= most:
+            yield from cut()
+            held, total = [], 0
+    if held:
+        yield from cut()
 
 
 def groups(texts: list[str | None], most: int = 8 << 20) -> Iterator[list[str | None]]:
