@@ -4,15 +4,16 @@ A text is the set of its five-word shingles, each weighted by how often it occur
 shingle). Each shingle is a Poisson process of rate its weight, seeded by its hash; its arrivals fall on random
 registers, and a register keeps the earliest arrival. Arrivals later than the latest register are never generated:
 that ends the processes early. Two texts have equal registers with the probability Jaccard similarity of their
-weighted shingles. Bands of registers are buckets. Pairs are verified on the shingles themselves: two documents are
+weighted shingles. A text that repeats shingles has a second set of registers with all weights 1 (that of other texts
+is the first one), equal with the plain Jaccard similarity. Bands of registers of both sets are buckets. Pairs are verified on the shingles themselves: two documents are
 linked if the probability Jaccard similarity or the plain Jaccard similarity of their shingles is SIMILAR or more.
 
 Copies (equal texts) are one text from the start, so a group of copies never meets itself. In a bucket every text is
 first held against one hub, the text with the least hash for that band; links make components. A small bucket that
 still has several components is then compared pair by pair across them. Texts of large buckets are held against the
 consensus of their crowd instead, see ``dense_links``: that leaves out no link between texts that share a bucket, and
-never forms all pairs of a group. A sketch of two 64-bit words, a bit for each register, drops pairs that are far from
-similar before texts are fetched.
+never forms all pairs of a group. Sketches of two 64-bit words, a bit for each register, drop pairs that are far from
+similar by both sets of registers before texts are fetched.
 
 Documents without words (null, empty, blank) have no shingles; each is a class of its own, as are rows without a key. A class is named by its
 least key. Rows that share a key count as one document: its texts' classes are joined.
@@ -38,6 +39,7 @@ BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 #: Bits in which the sketches of two texts of similarity SIMILAR may differ: 120 * (1 - 0.8) / 2 = 12 on average, 3.3 standard deviation; this is five above.
 MOST_BITS = 29
+SKETCH = ("s0", "s1", "p0", "p1")
 #: Buckets of so many texts at most are compared pair by pair where components differ: a bounded number for each text.
 MOST_PAIRED = 32
 #: Component rounds are bounded by the logarithm of the longest chain; this only stops an endless loop.
@@ -145,7 +147,7 @@ def registers(doc: np.ndarray, hashes: np.ndarray, weight: np.ndarray, texts: in
 
 
 def sketch(batch: list[str | None]) -> list[tuple[int, ...] | None]:
-    """For each text (None without words): two words of a bit per register, then BANDS bucket hashes."""
+    """For each text (None without words): two words of a bit per weighted register, two of plain ones, then the hashes of its buckets."""
     words = [split_words(t) for t in batch]
     counts = np.array([len(w) for w in words], np.int64)
     some = np.flatnonzero(counts)
@@ -154,19 +156,36 @@ def sketch(batch: list[str | None]) -> list[tuple[int, ...] | None]:
         return out
     own = word_hashes()
     h = np.fromiter((own[w] for i in some for w in words[i]), np.uint64, int(counts.sum()))
-    found = registers(*weighted(*shingle_hashes(h, counts[some])), len(some))
+    doc, hashes, weight = weighted(*shingle_hashes(h, counts[some]))
+    found = registers(doc, hashes, weight, len(some))
+    plain = found.copy()
+    # without repeats both are the same
+    repeats = np.unique(doc[weight > 1])
+    if len(repeats):
+        own_rows = np.isin(doc, repeats)
+        plain[repeats] = registers(np.searchsorted(repeats, doc[own_rows]), hashes[own_rows], np.ones(own_rows.sum()), len(repeats))
+    halves = [*bit_words(found), *bit_words(plain)]
+    both = np.hstack([band_hashes(found), band_hashes(plain)])
+    fresh = np.ones(both.shape, bool)
+    fresh[:, BANDS:] = both[:, BANDS:] != both[:, :BANDS]
+    for j, i in enumerate(some):
+        out[i] = (*(int(x[j]) for x in halves), *both[j][fresh[j]].tolist())
+    return out
+
+
+def bit_words(found: np.ndarray) -> list[np.ndarray]:
+    """Two words of a bit for each register."""
     bits = (mix(found) & U(1)).astype(np.uint64)
-    halves = []
-    for part in (bits[:, :60], bits[:, 60:]):
-        halves.append((part << np.arange(60, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).astype(np.int64))
-    buckets = np.tile(mix(np.arange(1, BANDS + 1, dtype=np.uint64)), (len(some), 1))
+    return [(part << np.arange(60, dtype=np.uint64)).sum(axis=1, dtype=np.uint64).astype(np.int64) for part in (bits[:, :60], bits[:, 60:])]
+
+
+def band_hashes(found: np.ndarray) -> np.ndarray:
+    """BANDS bucket hashes of each text."""
+    buckets = np.tile(mix(np.arange(1, BANDS + 1, dtype=np.uint64)), (len(found), 1))
     with np.errstate(over="ignore"):
         for r in range(ROWS):
             buckets = mix(buckets * U(0x100000001B3) + found[:, r::ROWS][:, :BANDS] + U(r + 1))
-    buckets = buckets.astype(np.int64)
-    for j, i in enumerate(some):
-        out[i] = (int(halves[0][j]), int(halves[1][j]), *buckets[j].tolist())
-    return out
+    return buckets.astype(np.int64)
 
 
 def similarity(a: str | None, b: str | None) -> float:
@@ -201,8 +220,10 @@ def probability_jaccard(v: np.ndarray, w: np.ndarray, i: np.ndarray, j: np.ndarr
     return float((1 / total).sum())
 
 
-def _near(a0, a1, b0, b1):
-    return F.bit_count(a0.bitwiseXOR(b0)) + F.bit_count(a1.bitwiseXOR(b1)) <= MOST_BITS
+def _near(other: str, kinds: str = "sp"):
+    """Whether a row's sketch, weighted (s) or plain (p), is near the one in columns of prefix ``other``."""
+    near = [F.bit_count(F.col(f"{k}0").bitwiseXOR(F.col(f"{other}{k}0"))) + F.bit_count(F.col(f"{k}1").bitwiseXOR(F.col(f"{other}{k}1"))) <= MOST_BITS for k in kinds]
+    return near[0] if len(near) == 1 else near[0] | near[1]
 
 
 def union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,34 +295,36 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def sketches(texts: DataFrame) -> DataFrame:
-    """(id, s0, s1, keys) for the distinct ids of (id, text) with words; keys hold a bucket for each band."""
+    """(id, s0, s1, p0, p1, keys) for the distinct ids of (id, text) with words; keys hold the buckets of both sets of registers."""
     share_code(texts.sparkSession)
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("s0", T.LongType()), T.StructField("s1", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    schema = T.StructType([*(T.StructField(c, T.LongType()) for c in ("id", *SKETCH)), T.StructField("keys", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
             found = [(i, *x) for i, x in zip(batch.column("id").to_pylist(), sketch(batch.column("text").to_pylist()), strict=True) if x is not None]
             if found:
-                rows = np.array(found, np.int64)
-                keys = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * BANDS), pa.array(rows[:, 3:].ravel()))
-                yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(rows[:, k])) for k in range(3)), keys], names=schema.names)
+                fixed = 1 + len(SKETCH)
+                rows = np.array([x[:fixed] for x in found], np.int64)
+                ends = np.cumsum([0, *(len(x) - fixed for x in found)], dtype=np.int32)
+                keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.array(x[fixed:], np.int64) for x in found])))
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(rows[:, k])) for k in range(fixed)), keys], names=schema.names)
         release(word_hashes())
 
     found = texts.select("id", "text").mapInArrow(run, schema)
-    return checkpointed(found.groupBy("id").agg(*(F.first(c).alias(c) for c in ("s0", "s1", "keys"))))
+    return checkpointed(found.groupBy("id").agg(*(F.first(c).alias(c) for c in (*SKETCH, "keys"))))
 
 
 def links(found: DataFrame, texts_of) -> DataFrame:
     """(id, root) of all linked texts, from ``sketches``; ``texts_of(ids)`` fetches (id, text)."""
-    sketched = found.select("id", "s0", "s1")
+    sketched = found.select("id", *SKETCH)
     dealt = found.select("id", F.explode("keys").alias("key"))
     # buckets of one text lead nowhere: counted with partial sums and dropped
     shared = dealt.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     rows = checkpointed(dealt.join(shared, "key").join(sketched, "id"))
     texts = checkpointed(texts_of(rows.select("id").distinct()))
-    hubs = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("h"), "id", "s0", "s1")).alias("hub"))
+    hubs = rows.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("h"), "id", *SKETCH)).alias("hub"))
     starred = rows.join(hubs, "key").where(F.col("id") != F.col("hub.id"))
-    near = starred.where(_near(F.col("s0"), F.col("s1"), F.col("hub.s0"), F.col("hub.s1")))
+    near = starred.where(_near("hub."))
     tried = checkpointed(near.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct())
     edges = checkpointed(verify(tried, texts))
     roots = components(edges)
@@ -310,17 +333,17 @@ def links(found: DataFrame, texts_of) -> DataFrame:
     mixed = known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
     left = checkpointed(known.join(mixed, "key"))
     few = left.where(F.col("members") <= MOST_PAIRED)
-    other = few.select("key", F.col("id").alias("i"), F.col("s0").alias("t0"), F.col("s1").alias("t1"), F.col("root").alias("r"))
-    cross = few.join(other, "key").where((F.col("i") < F.col("id")) & (F.col("r") != F.col("root")) & _near(F.col("s0"), F.col("s1"), F.col("t0"), F.col("t1")))
+    other = few.select("key", F.col("id").alias("i"), *(F.col(c).alias(f"o_{c}") for c in SKETCH), F.col("root").alias("r"))
+    cross = few.join(other, "key").where((F.col("i") < F.col("id")) & (F.col("r") != F.col("root")) & _near("o_"))
     pairs = cross.select(F.least("i", "id").alias("a"), F.greatest("i", "id").alias("b"))
     many = left.where(F.col("members") > MOST_PAIRED)
-    sure, maybe = dense_links(many.select("id", "key", "root", "s0", "s1"), texts)
+    sure, maybe = dense_links(many.select("id", "key", "root", *SKETCH), texts)
     new = checkpointed(pairs.unionByName(maybe).distinct().join(tried, ["a", "b"], "left_anti"))
     return components(edges.unionByName(sure).unionByName(verify(new, texts)))
 
 
 def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """For large buckets, rows (id, key, root, s0, s1): sure links and pairs still to verify, as (a, b).
+    """For large buckets, rows (id, key, root, s0, s1, p0, p1): sure links and pairs still to verify, as (a, b).
 
     Texts that share large buckets are a crowd. Its consensus H is the set of shingles that half of its texts have, so
     it is at most twice as large as a text on average. A text s has n shingles, j of them in H, and lacks m = |H| - j.
@@ -340,7 +363,7 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
     hubs = many.groupBy("key").agg(F.min("id").alias("hub"))
     stars = many.join(hubs, "key").where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     crowds = components(stars).select("id", F.col("root").alias("crowd"))
-    members = many.groupBy("id").agg(F.first("root").alias("root"), F.first("s0").alias("s0"), F.first("s1").alias("s1")).join(crowds, "id")
+    members = many.groupBy("id").agg(F.first("root").alias("root"), *(F.first(c).alias(c) for c in SKETCH)).join(crowds, "id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
@@ -373,19 +396,19 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
     joined = components(sure.unionByName(facts.where("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b"))))
     facts = facts.join(joined.withColumnRenamed("root", "joined"), "id", "left").withColumn("root", F.coalesce("joined", "root")).drop("joined")
     mark = lambda c, kind: F.transform(c, lambda g, i: F.struct(g.alias("g"), F.lit(kind).alias("kind"), i.alias("at")))
-    marks = facts.select("id", "crowd", "root", "s0", "s1", "n", "h", "m", "u", F.explode(F.concat(mark("beyond", 1), mark("lacks", 0))).alias("x")).select("*", "x.g", "x.kind", "x.at").drop("x")
+    marks = facts.select("id", "crowd", "root", *SKETCH, "n", "h", "m", "u", F.explode(F.concat(mark("beyond", 1), mark("lacks", 0))).alias("x")).select("*", "x.g", "x.kind", "x.at").drop("x")
     # only shingles that texts of two components have can link anything
     marks = checkpointed(marks)
     worth = marks.groupBy("crowd", "g", "kind").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("crowd", "g", "kind")
     marks = checkpointed(marks.join(worth, ["crowd", "g", "kind"]))
-    two = marks.select("crowd", "g", "kind", F.col("id").alias("i"), F.col("root").alias("r"), F.col("s0").alias("t0"), F.col("s1").alias("t1"), F.col("n").alias("n2"), F.col("m").alias("m2"), F.col("u").alias("u2"), F.col("at").alias("at2"))
+    two = marks.select("crowd", "g", "kind", F.col("id").alias("i"), F.col("root").alias("r"), *(F.col(c).alias(f"o_{c}") for c in SKETCH), F.col("n").alias("n2"), F.col("m").alias("m2"), F.col("u").alias("u2"), F.col("at").alias("at2"))
     # so many shingles similar texts share, and so many of them beyond H, or lacked in common, must be shared; if a pair meets by the
     # first of these, no more than what comes after it in either list can follow
     shared = F.ceil((F.col("n") + F.col("n2")) * 4 / 9 - 1e-9)
     due = F.when(F.col("kind") == 1, shared - F.col("h") + F.greatest("m", "m2")).otherwise(F.col("m") + F.col("m2") - F.col("h") + shared)
     after = F.when(F.col("kind") == 1, F.least(F.col("u") - F.col("at"), F.col("u2") - F.col("at2"))).otherwise(F.least(F.col("m") - F.col("at"), F.col("m2") - F.col("at2")))
     could = (after >= due) & ((F.col("kind") == 1) | would_do(F.col("h") - F.greatest("m", "m2"), F.col("n"), F.col("n2")))
-    maybe = marks.join(two, ["crowd", "g", "kind"]).where((F.col("i") < F.col("id")) & (F.col("r") != F.col("root")) & could & _near(F.col("s0"), F.col("s1"), F.col("t0"), F.col("t1")))
+    maybe = marks.join(two, ["crowd", "g", "kind"]).where((F.col("i") < F.col("id")) & (F.col("r") != F.col("root")) & could & _near("o_", "p"))
     return sure, maybe.select(F.least("i", "id").alias("a"), F.greatest("i", "id").alias("b")).distinct()
 
 

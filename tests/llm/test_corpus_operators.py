@@ -85,6 +85,16 @@ def test_probability_jaccard():
     assert np.isclose(near_dedup.probability_jaccard(x[1], y[1], i, j), want)
 
 
+def test_repeats_of_a_line_do_not_part_plain_copies(spark):
+    """Alike as sets, far apart by weights."""
+    rng, texts = random.Random(8), []
+    for few, many in [(1, 200)] * 6 + [(2, 60)] * 6:
+        base, line = " ".join(words(rng, 300)), " ".join(words(rng, 6)) + " "
+        texts += [f"{line * few}{base}", f"{line * many}{base}"]
+    out = {r.doc_id: r.class_id for r in near_dedup.classes(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()}
+    assert [out[i] for i in range(len(texts))] == brute_classes(texts) == [i - i % 2 for i in range(len(texts))]
+
+
 def test_near_duplicates_of_odd_tables(spark):
     schema = "doc_id long, text string"
     assert near_dedup.classes(spark.createDataFrame([], schema)).count() == 0
