@@ -357,7 +357,17 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
     - or they share none beyond H, then j is 0.8 n or more for both, and they lack m - (j' - 0.8 n') of H in common at
       least: of the shingles that such a text lacks, the first 0.25 n + 1 will do.
 
-    None of this forms all pairs of a crowd. Crowds are found over the buckets' stars, whatever their texts' similarity.
+    Weighted links need at least one text that repeats shingles; crowds without one are done. By weights, normalised to 1
+    for each text, similar texts share 0.8 at least (the sum of the lesser weights). Shingles that over MOST_PAIRED texts of
+    the crowd have are hot, the others cold. V is a text's weight on hot ones, a that on cold ones. So
+
+    - similar texts that share a cold shingle share one of those that come first in one order, up to a weight of 0.2
+      (hot ones last in that order);
+    - others have a similarity of 1 / (1 + a / V + a' / V') at most, and just that if they have the same hot weights (the
+      same profile). It falls in a: a text linked so to any text of a profile is linked to the profile's text of least a.
+      So each text is held against those alone; of the pairs, one text at least is outside the crowd's largest component.
+
+    Only where most texts of a crowd differ in profile and component does that come near all its pairs. Crowds are found over the buckets' stars, whatever their texts' similarity.
     """
     share_code(many.sparkSession)
     hubs = many.groupBy("key").agg(F.min("id").alias("hub"))
@@ -367,11 +377,14 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 1 << 20):
-            found = [np.unique(shingles(split_words(t))).view(np.int64) for t in batch.column("text").to_pylist()]
-            ends = np.cumsum([0, *(len(x) for x in found)], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("crowd"), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))], names=["id", "crowd", "s"])
-
-    held = checkpointed(texts.join(members.select("id", "crowd"), "id").mapInArrow(sets, "id long, crowd long, s array<long>"))
+            found = [np.unique(shingles(split_words(t)), return_counts=True) for t in batch.column("text").to_pylist()]
+            ends = pa.array(np.cumsum([0, *(len(x) for x, _ in found)], dtype=np.int32))
+            held = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([x.view(np.int64) for x, _ in found])))
+            weights = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([w for _, w in found]).astype(np.int32)))
+            repeats = pa.array([bool(w.max() > 1) for _, w in found])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("crowd"), held, weights, repeats], names=["id", "crowd", "s", "w", "repeats"])
+
+    held = checkpointed(texts.join(members.select("id", "crowd"), "id").mapInArrow(sets, "id long, crowd long, s array<long>, w array<int>, repeats boolean"))
     sizes = held.groupBy("crowd").agg(F.count("*").alias("size"))
     counted = held.select("crowd", F.explode("s").alias("g")).groupBy("crowd", "g").agg(F.count("*").alias("n"))
     consensus = counted.join(sizes, "crowd").where("n * 2 >= size").groupBy("crowd").agg(F.array_sort(F.collect_list("g")).alias("c"))
@@ -383,7 +396,7 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
     facts = checkpointed(facts)
 
     def would_do(shared, n1, n2):
-        # shared / (n1 + n2 - shared) >= 4 / 5, in whole numbers; the weighted similarity has no such bound and is left to verification
+        # shared / (n1 + n2 - shared) >= 4 / 5, in whole numbers
         return shared * 9 >= (n1 + n2) * 4
 
     # texts that no other beats in m and n: for each m the least n, if it is under those of all smaller m
@@ -391,7 +404,12 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
     front = steps.withColumn("best", F.min("x.n").over(Window.partitionBy("crowd").orderBy("m").rowsBetween(Window.unboundedPreceding, -1))).where("best is null or x.n < best")
     front = front.select("crowd", F.col("m").alias("m2"), F.col("x.n").alias("n2"), F.col("x.id").alias("b"))
     sure = facts.join(front, "crowd").where((F.col("id") != F.col("b")) & would_do(F.col("h") - F.col("m") - F.col("m2"), F.col("n"), F.col("n2"))).select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
-    sure = checkpointed(sure)
+    weights = weighted_facts(held, counted)
+    # the same profile: 1 / (1 + (a + a2) / v) is above 0.8; just 0.8 is left to verification
+    least = weights.where("a * 4 <= v").groupBy("crowd", "profile").agg(F.min(F.struct("a", "id", "repeats", "v")).alias("x"))
+    least = checkpointed(least.select("crowd", "profile", F.col("x.a").alias("a2"), F.col("x.id").alias("b"), F.col("x.repeats").alias("repeats2"), F.col("x.v").alias("v2")))
+    alike_on_h = weights.join(least, ["crowd", "profile"]).where("id <> b and (repeats or repeats2) and (a + a2) * 4 < v")
+    sure = checkpointed(sure.unionByName(alike_on_h.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()))
     # what is linked for sure needs no more: components so far
     joined = components(sure.unionByName(facts.where("id <> root").select(F.col("root").alias("a"), F.col("id").alias("b"))))
     facts = facts.join(joined.withColumnRenamed("root", "joined"), "id", "left").withColumn("root", F.coalesce("joined", "root")).drop("joined")
@@ -409,7 +427,56 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
     after = F.when(F.col("kind") == 1, F.least(F.col("u") - F.col("at"), F.col("u2") - F.col("at2"))).otherwise(F.least(F.col("m") - F.col("at"), F.col("m2") - F.col("at2")))
     could = (after >= due) & ((F.col("kind") == 1) | would_do(F.col("h") - F.greatest("m", "m2"), F.col("n"), F.col("n2")))
     maybe = marks.join(two, ["crowd", "g", "kind"]).where((F.col("i") < F.col("id")) & (F.col("r") != F.col("root")) & could & _near("o_", "p"))
-    return sure, maybe.select(F.least("i", "id").alias("a"), F.greatest("i", "id").alias("b")).distinct()
+    maybe = maybe.select(F.least("i", "id").alias("a"), F.greatest("i", "id").alias("b"))
+    roots = facts.select("id", "root", "s0", "s1")
+    return sure, maybe.unionByName(weighted_pairs(weights.join(roots, "id"), least.join(roots.withColumnsRenamed({"id": "b", "root": "r", "s0": "o_s0", "s1": "o_s1"}), "b"))).distinct()
+
+
+def weighted_facts(held: DataFrame, counted: DataFrame) -> DataFrame:
+    """(id, crowd, repeats, a, v, profile, first) for crowds in which a text repeats shingles: its weights on cold and hot ones, a hash of the latter, and the first cold shingles."""
+    worth = held.where("repeats").select("crowd").distinct()
+    rows = held.join(worth, "crowd", "left_semi").select("id", "crowd", "repeats", F.explode(F.arrays_zip("s", "w")).alias("x")).select("id", "crowd", "repeats", F.col("x.s").alias("g"), F.col("x.w").alias("w"))
+    hot = counted.where(F.col("n") > MOST_PAIRED).select("crowd", "g", F.lit(True).alias("hot"))
+    rows = rows.join(hot, ["crowd", "g"], "left")
+    found = rows.groupBy("id", "crowd", "repeats").agg(
+        F.sum(F.when(F.col("hot"), 0).otherwise(F.col("w"))).alias("a"), F.sum(F.when(F.col("hot"), F.col("w")).otherwise(0)).alias("v"),
+        F.coalesce(F.bit_xor(F.when(F.col("hot"), F.xxhash64("g", "w"))), F.lit(0)).alias("profile"), F.array_sort(F.collect_list(F.when(F.col("hot").isNull(), F.struct("g", "w")))).alias("cold"),
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for g, w, whole in zip(batch.column("g"), batch.column("w"), batch.column("whole").to_pylist(), strict=True):
+                own = w.values.to_numpy().astype(np.int64)
+                # a shingle is among the first if those before it weigh 0.2 of the text at most
+                out.append(g.values.to_numpy()[(np.cumsum(own) - own) * 5 <= whole].tolist())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in names[:-1]), pa.array(out, pa.list_(pa.int64()))], names=names)
+
+    names = ["id", "crowd", "repeats", "a", "v", "profile", "first"]
+    cold = found.select(*names[:-1], F.col("cold.g").alias("g"), F.col("cold.w").alias("w"), (F.col("a") + F.col("v")).alias("whole"))
+    return checkpointed(cold.mapInArrow(run, "id long, crowd long, repeats boolean, a long, v long, profile long, first array<long>"))
+
+
+def weighted_pairs(weights: DataFrame, least: DataFrame) -> DataFrame:
+    """Pairs (a, b) of two components that may be similar by weights, see ``dense_links``; both tables with root and weighted sketch."""
+    weights, least = checkpointed(weights), checkpointed(least)
+    # share a cold shingle
+    marks = weights.select("id", "crowd", "root", "s0", "s1", "repeats", F.explode("first").alias("g"))
+    worth = marks.groupBy("crowd", "g").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("repeats").alias("any")).where("low <> high and any").select("crowd", "g")
+    marks = checkpointed(marks.join(worth, ["crowd", "g"]))
+    two = marks.select("crowd", "g", F.col("id").alias("b"), F.col("root").alias("r"), F.col("repeats").alias("repeats2"), F.col("s0").alias("o_s0"), F.col("s1").alias("o_s1"))
+    meet = marks.join(two, ["crowd", "g"]).where(F.expr("id < b and root <> r and (repeats or repeats2)") & _near("o_", "s"))
+    # share none
+    light = weights.where("a * 4 <= v")
+    largest = light.groupBy("crowd", "root").agg(F.count("*").alias("n")).groupBy("crowd").agg(F.max(F.struct("n", "root"))["root"].alias("largest"))
+    light, heads = light.join(largest, "crowd"), least.join(largest, "crowd").drop("profile")
+    heads = heads.withColumnRenamed("largest", "head_largest")
+    # a / v + a2 / v2 <= 1 / 4, in whole numbers
+    close = F.expr("root <> r and (repeats or repeats2) and (cast(a as decimal(18)) * v2 + cast(a2 as decimal(18)) * v) * 4 <= cast(v as decimal(18)) * v2") & _near("o_", "s")
+    outside = light.where("root <> largest").join(heads, "crowd").where(close)
+    inside = light.where("root = largest").join(heads.where("r <> head_largest"), "crowd").where(close)
+    pairs = [x.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")) for x in (meet, outside, inside)]
+    return pairs[0].unionByName(pairs[1]).unionByName(pairs[2])
 
 
 def classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

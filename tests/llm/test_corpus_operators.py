@@ -95,6 +95,39 @@ def test_repeats_of_a_line_do_not_part_plain_copies(spark):
     assert [out[i] for i in range(len(texts))] == brute_classes(texts) == [i - i % 2 for i in range(len(texts))]
 
 
+def repeated_lines(rng):
+    """Crowds around lines that repeat, with few and many own words, in other numbers, of two lines, by shared passages."""
+    one, other, third = (" ".join(words(rng, 5)) for _ in range(3))
+    passages = [" ".join(words(rng, 30)) for _ in range(3)]
+    own = lambda n: " ".join(words(rng, n))
+    texts = [f"{one} " * 50 + own(20) for _ in range(10)] + [f"{one} " * 50 + own(60) for _ in range(60)]
+    texts += [own(rng.randint(0, 25)) + f" {one}" * rng.randint(30, 90) + " " + own(rng.randint(5, 40)) for _ in range(30)]
+    texts += [f"{one} " * rng.randint(5, 40) + f"{other} " * rng.randint(5, 40) + own(rng.randint(0, 12)) for _ in range(40)]
+    texts += [f"{third} " * 20 + rng.choice(passages) + " " + own(rng.randint(3, 12)) for _ in range(30)]
+    rng.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("paired", [3, 1000])
+def test_weighted_links_of_crowds(spark, monkeypatch, paired):
+    monkeypatch.setattr(near_dedup, "MOST_PAIRED", paired)
+    texts = repeated_lines(random.Random(6))
+    out = {r.doc_id: r.class_id for r in near_dedup.classes(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()}
+    assert [out[i] for i in range(len(texts))] == brute_classes(texts)
+
+
+def test_few_weighted_links_in_large_buckets(spark):
+    """Hubs hardly ever are the few texts that are linked."""
+    rng, texts, want = random.Random(9), [], []
+    for _ in range(5):
+        line, first = " ".join(words(rng, 5)) + " ", len(texts)
+        texts += [line * 50 + " ".join(words(rng, n)) for n in [20] * 3 + [60] * 200]
+        want += [first] * 3 + list(range(first + 3, first + 203))
+    assert near_dedup.similarity(texts[0], texts[1]) >= near_dedup.SIMILAR > near_dedup.similarity(texts[0], texts[3])
+    out = {r.doc_id: r.class_id for r in near_dedup.classes(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()}
+    assert [out[i] for i in range(len(texts))] == want
+
+
 def test_near_duplicates_of_odd_tables(spark):
     schema = "doc_id long, text string"
     assert near_dedup.classes(spark.createDataFrame([], schema)).count() == 0
