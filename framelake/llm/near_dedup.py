@@ -480,7 +480,7 @@ def weighted_pairs(weights: DataFrame, least: DataFrame) -> DataFrame:
 
 
 def classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, class_id, class_size): one row for each key, null among them."""
+    """(key, class_id, class_size): one row for each key, null among them (for all rows without a key, each a class of its own)."""
     # a text's number is a 64-bit hash: of n texts about n * n / 2**65 pairs share one by chance
     rows = documents.select(F.col(key).alias("k"), F.col(text).alias("text")).where(F.col("text").rlike(WORD)).withColumn("id", F.xxhash64("text"))
     ids = checkpointed(rows.select("k", "id").distinct())
@@ -497,13 +497,13 @@ def classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     everyone = documents.select(F.col(key).alias("k")).distinct()
     out = everyone.join(found, "k", "left").withColumn("class_id", F.coalesce("class_id", "k"))
     sizes = out.groupBy("class_id").agg(F.count("*").alias("class_size"))
-    return out.join(sizes, "class_id", "left").select(F.col("k").alias(key), "class_id", "class_size")
+    return out.join(sizes, "class_id", "left").select(F.col("k").alias(key), "class_id", F.coalesce("class_size", F.lit(1)).alias("class_size"))
 
 
 def deduplicate(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each class stays, the one with the least key; of rows that share a key all stay."""
+    """One document of each class stays, the one with the least key; of rows that share a key all stay, and all rows without one."""
     kept = classes(documents, key, text).where(F.col(key) == F.col("class_id")).select(key)
-    return documents.join(kept, key, "left_semi").select(*documents.columns)
+    return documents.join(kept, key, "left_semi").select(*documents.columns).unionByName(documents.where(F.col(key).isNull()))
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

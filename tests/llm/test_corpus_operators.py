@@ -135,6 +135,13 @@ def test_near_duplicates_of_odd_tables(spark):
     assert sorted((str(r.doc_id), str(r.class_id)) for r in out) == [("1", "1"), ("2", "2"), ("None", "None")]
 
 
+def test_rows_without_a_key_stay(spark):
+    rows = [(None, "a b c"), (None, "a b c"), (None, None), (1, "a b c"), (2, "a b c"), (3, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(str, near_dedup.deduplicate(df).collect())) == sorted(str(r) for r in df.collect() if r.doc_id != 2)
+    assert {r.doc_id: r.class_size for r in near_dedup.classes(df).collect()} == {None: 1, 1: 2, 2: 2, 3: 1}
+
+
 # --- repeated strings
 
 
