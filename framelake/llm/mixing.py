@@ -1,13 +1,14 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
-Documents are dealt to blocks by a hash, up to ``MOST_BLOCKS`` blocks for each source. A source's target is cut into
-whole passes over it, whole blocks of a random order, and one last block of which documents are picked so that the
+Documents are dealt to blocks by a hash, up to ``MOST_BLOCKS`` blocks for each source; a document larger than a block's
+usual size is a block of its own. A source's target is cut into whole passes over it, those blocks of a random order
+that still fit (see ``fill``), and one last block of several documents, of which documents are picked so that the
 source comes as near to its target as they allow. The drawn blocks of all sources are then split among the output
 shards: a node of a binary tree over the shards hands its left half a multivariate-hypergeometric draw of its
 blocks' counts, which leaves each shard exact quotas of every source. Quotas take consecutive, so disjoint, parts of
 the source's permuted blocks; inside a shard documents are ordered by a hash.
 
-The driver sees a row for each block (sources x MOST_BLOCKS at most, and MOST_SOURCES sources), never documents. All
+The driver sees a row for each block (2 x sources x MOST_BLOCKS at most, and MOST_SOURCES sources), never documents. All
 draws follow from hashes and a seed, so reruns agree.
 
 Null texts have size 0; a document of size 0 goes with its block. A null source is a source of its own, last in order.
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framelake.llm.common import WORD, checkpointed, table
@@ -61,6 +62,34 @@ def split(counts: np.ndarray, shards: int, rng: np.random.Generator) -> np.ndarr
     return np.vstack([split(drawn, left, rng), split(counts - drawn, shards - left, rng)])
 
 
+def fill(blocks: list[tuple[int, int]], due: float) -> tuple[list[tuple[int, int]], list[tuple[int, int]], float]:
+    """Of (block, size) in order those that still fit, the others of several documents, and the words still due.
+
+    If only long documents are left, the least of them is taken before the blocks of several documents, which then
+    fill what remains; if it's too long for that, it is taken instead of them if that comes nearer.
+    """
+
+    def fitting(blocks: list[tuple[int, int]], left: float) -> tuple[list[tuple[int, int]], list[tuple[int, int]], float]:
+        taken, over = [], []
+        for x in blocks:
+            if x[1] > left:
+                over.append(x)
+            else:
+                taken.append(x)
+                left -= x[1]
+        return taken, over, left
+
+    taken, over, left = fitting(blocks, due)
+    several = [x for x in over if x[0] < MOST_BLOCKS]
+    if several or not over or left < 0.5:
+        return taken, several, left
+    long = [*(x for x in taken if x[0] >= MOST_BLOCKS), min(over, key=lambda x: (x[1], x[0]))]
+    room = due - sum(size for _, size in long)
+    if room >= 0:
+        return fitting([*long, *(x for x in blocks if x[0] < MOST_BLOCKS)], due)
+    return (long, [], 0.0) if -room < left else (taken, [], left)
+
+
 def plan(blocks: list[tuple[str | None, int, int]], shards: int, seed: int, weights: tuple[float, ...] = WEIGHTS) -> tuple[list[tuple], list[tuple]]:
     """From (source, block, size): (source, size, target, passes, last block, words due from it) in order, and drawn (source, block, pass, shard)."""
     rng = np.random.default_rng(seed)
@@ -76,13 +105,10 @@ def plan(blocks: list[tuple[str | None, int, int]], shards: int, seed: int, weig
         due = target - passes * total if total else 0.0
         last, rest, some = -1, 0.0, []
         if due >= 0.5:
-            for block, size in mixed:
-                if size > due:
-                    last, rest = block, due
-                    some.append((block, passes))
-                    break
-                some.append((block, passes))
-                due -= size
+            taken, over, left = fill(mixed, due)
+            if left >= 0.5 and over:
+                last, rest = over[0][0], left
+            some = [(block, passes) for block, _ in taken] + [(last, passes)] * (last >= 0)
         sources.append((source, total, target, passes, last, rest))
         drawn.append([(block, p) for p in range(passes) for block, _ in mixed] + some)
     if not order:
@@ -119,12 +145,16 @@ def draw(documents: DataFrame, key: str = "doc_id", source: str = "source", text
     share_code(spark)
     slim = documents.groupBy(F.col(key).alias("key"), F.col(source).cast("string").alias("source")).agg(F.sum(F.coalesce(F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)), F.lit(0))).cast("long").alias("size"))
     slim = checkpointed(slim.withColumn("h", F.xxhash64(F.lit(seed), F.col("key").cast("string"))))
-    counts = slim.groupBy("source").agg(F.count("*").alias("n"))
+    counts = slim.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     if counts.limit(MOST_SOURCES + 1).count() > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     dealt = F.greatest(F.lit(1), F.least(F.lit(MOST_BLOCKS), F.ceil(F.col("n") / BLOCK_DOCUMENTS)))
     counts = F.broadcast(counts.withColumnRenamed("source", "c_source"))
-    placed = slim.join(counts, F.col("source").eqNullSafe(F.col("c_source"))).withColumn("block", F.pmod("h", dealt).cast("int")).drop("c_source", "n")
+    sized = slim.join(counts, F.col("source").eqNullSafe(F.col("c_source"))).withColumn("dealt", dealt)
+    # fewer than a source has blocks
+    large = F.col("size") * F.col("dealt") > F.col("words")
+    alone = sized.where((F.col("dealt") > 1) & large).withColumn("block", (F.lit(MOST_BLOCKS - 1) + F.row_number().over(Window.partitionBy("source").orderBy("h", "key"))).cast("int"))
+    placed = sized.where((F.col("dealt") == 1) | ~large).withColumn("block", F.pmod("h", "dealt").cast("int")).unionByName(alone).drop("c_source", "n", "words", "dealt")
     blocks = placed.groupBy("source", "block").agg(F.sum("size").alias("size")).collect()  # a bounded row for each block
     sources, drawn = plan([(x["source"], x["block"], x["size"]) for x in blocks], shards, seed, weights)
     sources_df = F.broadcast(spark.createDataFrame(sources, "s_source string, source_size long, target double, passes int, last int, rest double"))

@@ -273,6 +273,18 @@ def test_mix(spark):
     assert all(mixed[k] * r["size"] == r.taken for k, r in rows.items())
 
 
+def test_mix_with_long_documents(spark, tmp_path):
+    """One document of each source is longer than the others of some blocks together; the others can still meet the target."""
+    rng = random.Random(3)
+    rows = [(i * 1000 + j, "w " * (20_000 if j == 0 else rng.randint(5, 60)), f"s{i}") for i in range(9) for j in range(700)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    taken, target = collections.Counter(), {}
+    for r in mixing.op9_mixing(spark, str(tmp_path)).collect():
+        taken[f"s{r.doc_id // 1000}"] += r.taken
+        target[f"s{r.doc_id // 1000}"] = r.target
+    assert all(abs(taken[n] - target[n]) < 0.01 * target[n] for n in target), (taken, target)
+
+
 def test_mix_of_odd_tables(spark):
     schema = "doc_id long, text string, source string, size string"
     assert mixing.mix(spark.createDataFrame([], schema)).count() == 0
