@@ -4,7 +4,7 @@ Markup is stripped into lines, one for each block element. Elements that can't h
 headers, footers, sidebars, notices, adverts, forms, reader comments) become runs of empty lines. The lengths of
 the lines' unlinked text are summed over sliding windows; where the sums rise from zero a segment surges, where
 they fall back to zero it dives. Segments inside a page's article are kept; on pages without one, the segments
-whose highest window comes near the page's highest.
+with at least as much unlinked text as linked.
 
 Null or empty pages, and pages without text, give an empty string. Every other column is left alone.
 """
@@ -23,8 +23,8 @@ from framelake.llm.common import table
 from framelake.session import share_code
 
 WINDOW = 3
-#: On pages without an article element: least unlinked characters in a segment's best window, absolutely and against the page's best.
-LEAST_PEAK, LEAST_SHARE = 40, 0.2
+#: On pages without an article element: least share of a segment's characters that are unlinked.
+LEAST_UNLINKED = 0.5
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"'<]|"[^"<]*+"|'[^'<]*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>""", re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(\bhidden\b)""")
@@ -32,6 +32,8 @@ RAW = frozenset({"script", "style", "textarea", "title", "noscript", "iframe", "
 DROPPED = RAW | frozenset({"nav", "footer", "aside", "form", "button", "select", "svg", "canvas", "object", "audio", "video", "map", "dialog", "menu"})
 MAIN = frozenset({"article", "main"})
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
+#: Their text counts as unlinked.
+HEADINGS = frozenset({"h1", "h2", "h3", "h4", "h5", "h6"})
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words of class and id that name page furniture, and the roles that do.
 FURNITURE = frozenset(
@@ -94,7 +96,7 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
     out: list[tuple[str, int, bool, bool]] = []
     buffer: list[str] = []
     unlinked = 0
-    link_until = main_until = -1
+    link_until = heading_until = main_until = -1
     gap = has_main = False
     at = k = 0
 
@@ -116,7 +118,7 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
 
     while k < len(spans):
         start, end, name, attributes, closing = spans[k]
-        take(page[at:start], k < link_until)
+        take(page[at:start], heading_until < k <= link_until)
         at = end
         if name:
             if not closing and name not in VOID and _furniture(name, attributes, k < main_until) and (k in close or name in RAW):
@@ -127,6 +129,8 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
                     at = spans[k][1]
             elif name in BLOCKS:
                 flush(k <= main_until)
+                if not closing and name in HEADINGS:
+                    heading_until = close.get(k, k)
                 if not closing and k >= main_until and (name in MAIN or re.search(r"""role\s*=\s*["']?main|articleBody""", attributes)):
                     main_until, has_main, gap = close.get(k, len(spans)), True, True
             elif name == "br":
@@ -139,18 +143,19 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
     return out, has_main
 
 
-def main_text(page: str | None, window: int = WINDOW, least_peak: int = LEAST_PEAK, least_share: float = LEAST_SHARE) -> str:
+def main_text(page: str | None, window: int = WINDOW, least_unlinked: float = LEAST_UNLINKED) -> str:
     """The page's main text, blocks joined by an empty line."""
     if not page:
         return ""
     found, has_main = lines(page)
     # the distribution: furniture becomes so many empty lines that no window reaches over it
     lengths, back = [], []
-    for i, (_, unlinked, gap, inside) in enumerate(found):
+    for i, (text, unlinked, gap, inside) in enumerate(found):
         if gap:
             lengths += [0] * window
             back += [-1] * window
-        lengths.append(unlinked if inside or not has_main else 0)
+        # an article's links are its text
+        lengths.append(len(text) if inside else 0 if has_main else unlinked)
         back.append(i)
     sums = [sum(lengths[max(0, i - window + 1) : i + 1]) for i in range(len(lengths) + window)]
     segments, surge = [], None
@@ -158,15 +163,15 @@ def main_text(page: str | None, window: int = WINDOW, least_peak: int = LEAST_PE
         if total and surge is None:
             surge = i
         elif not total and surge is not None:
-            segments.append((surge, i - window, max(sums[surge:i])))
+            segments.append((surge, i - window))
             surge = None
     if surge is not None:
-        segments.append((surge, len(lengths) - 1, max(sums[surge:])))
-    best = max((peak for *_, peak in segments), default=0)
+        segments.append((surge, len(lengths) - 1))
     kept = []
-    for surge, dive, peak in segments:
-        if has_main or peak >= max(least_peak, least_share * best):
-            kept += [found[back[i]][0] for i in range(surge, dive + 1) if back[i] >= 0 and (not has_main or found[back[i]][3])]
+    for surge, dive in segments:
+        own = [found[back[i]] for i in range(surge, dive + 1) if back[i] >= 0]
+        if has_main or sum(x[1] for x in own) >= least_unlinked * sum(len(x[0]) for x in own):
+            kept += [x[0] for x in own if not has_main or x[3]]
     return "\n\n".join(kept)
 
 

@@ -40,6 +40,29 @@ def test_pages_without_article():
     assert html_extract.main_text(page) == "This paragraph is long enough to be the text of the page, surely.\n\nShort."
 
 
+def test_short_paragraphs_after_adverts_stay():
+    first, last = "A long paragraph goes on and on. " * 90, "The closing paragraph says how it all came to an end. " * 4
+    advert = '<div class="ad">Buy now, buy two and pay for one.</div>'
+    page = f"<body><div><p>{first}</p>{advert}<p>{last}</p>{advert}<p>The end.</p></div></body>"
+    assert html_extract.main_text(page) == "\n\n".join([first.strip(), last.strip(), "The end."])
+
+
+def test_unmarked_link_lists_go():
+    items = "".join(f"<li><a href={i}>Another page of the site, number {i}</a></li>" for i in range(12))
+    text = "This paragraph is the text of the page, though it is not a long one."
+    assert html_extract.main_text(f"<body><ul>{items}</ul><div><p>{text}</p><p>See <a href=1>this page</a> for more.</p></div><ul>{items}</ul></body>") == text + "\n\nSee this page for more."
+    inline = " | ".join(f"<a href={i}>Page {i}</a>" for i in range(12))
+    assert html_extract.main_text(f'<body><div>{inline}</div><div class="ad">x</div><p>{text}</p></body>') == text
+
+
+def test_linked_text_of_articles_and_headings_stays():
+    text = "This paragraph is the text of the page, though it is not a long one."
+    links = "".join(f"<p><a href={i}>Link {i}</a></p>" for i in range(5))
+    lines = [text, *(f"Link {i}" for i in range(5))]
+    assert html_extract.main_text(f"<body><article><p>{text}</p>{links}</article></body>") == "\n\n".join(lines)
+    assert html_extract.main_text(f"<body><div><h2><a href=1>Title</a></h2><p>{text}</p></div></body>") == f"Title\n\n{text}"
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "plain", "<div class='ad'>", "<script>never closed", "<!-- never closed", "</p></p>", "<a b=\"c <p>x", "<p>" * 5000, "<" * 20000])
 def test_broken_pages_do_not_crash(page):
     assert isinstance(html_extract.main_text(page), str)
