@@ -1,16 +1,16 @@
-"""Removal of every byte that a repeated string of ``LENGTH`` bytes covers, by run-length indexes of aligned contexts.
+"""Removal of every byte that a repeated string of ``length`` bytes covers, by run-length indexes of aligned contexts.
 
 One index over a whole corpus has no place in bounded memory, so the corpus is dealt to many small ones that together
-see every match. Of each window of LENGTH bytes one 64-byte gram, its rightmost of least hash, is an anchor; equal
-windows have equal anchors at equal places. An anchor's context is what windows around it may cover: 336 bytes to
-either side, as far as the document goes.
+see every match. Of each window of ``length`` bytes one 64-byte gram, its rightmost of least hash, is an anchor; equal
+windows have equal anchors at equal places. An anchor's context is what windows around it may cover: ``length`` - 64
+bytes to either side, as far as the document goes.
 
 Occurrences of an anchor with equal contexts cover them whole; they are counted, not compared. Contexts that differ
 meet by anchor. Aligned at the anchor they form a positional Burrows-Wheeler transform, column by column from the
 right: rows in the order of what follows, the preceding byte for each row, coded in runs. Inside a run neighbours stay
 neighbours; only at the ends of runs new neighbours meet, and for these the end of their match is sampled. So each
 column streams the matching statistics: how far a row's text at that column agrees with its nearest others. Where
-that is LENGTH bytes or more, the window is marked. All of this compares bytes, not hashes.
+that is ``length`` bytes or more, the window is marked. All of this compares bytes, not hashes.
 
 An anchor with more than ``MOST_CONTEXTS`` different contexts (a passage set in many texts) has no index in one task.
 How far each context agrees with any other to the left and to the right is found by counting hashes of growing
@@ -18,12 +18,13 @@ extents; only windows between those bounds can be repeated. These are counted by
 sums, however many they are.
 
 Rows are told apart by a 64-bit hash of key and text: among n rows about n * n / 2**65 pairs share one by chance.
-Documents with equal texts have equal results. Null texts are empty. A text of under LENGTH bytes loses nothing.
+Documents with equal texts have equal results. Null texts are empty. A text of under ``length`` bytes loses nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +36,38 @@ from framelake.llm.common import checkpointed, slices, table
 from framelake.session import share_code
 
 LENGTH, GRAM = 400, 64
-REACH = LENGTH - GRAM  # bytes of context to either side
-GRAMS = REACH + 1  # grams of a window
-WIDTH = 2 * REACH + GRAM
 MOST_CONTEXTS = 512
 #: Rows of contexts that are indexed together, bytes hashed together (they fit a core's cache) and in one piece of a long text.
 TOGETHER, CACHED, PIECE = 8192, 256 << 10, 8 << 20
 #: Bytes between the extents by which hot anchors' windows are sifted.
 GRID = 28
 
+
+@dataclass(frozen=True)
+class Shape:
+    """What follows from the length of the strings sought."""
+
+    length: int = LENGTH
+
+    def __post_init__(self) -> None:
+        if self.length <= GRAM:
+            raise ValueError(f"strings must be longer than {GRAM} bytes")
+
+    @property
+    def reach(self) -> int:
+        """Bytes of context to either side of an anchor."""
+        return self.length - GRAM
+
+    @property
+    def grams(self) -> int:
+        """Grams of a window."""
+        return self.reach + 1
+
+    @property
+    def width(self) -> int:
+        return 2 * self.reach + GRAM
+
+
 U = np.uint64
 BYTES = np.random.default_rng(2718).integers(0, 1 << 64, 256, dtype=np.uint64)
 STEPS = np.random.default_rng(3141).integers(0, 1 << 63, 6, dtype=np.uint64) * U(2) + U(1)
@@ -63,26 +87,27 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return v
 
 
-def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the anchors of all windows inside the documents [starts, ends) of ``data`` (under 16 MB)."""
-    if len(data) < LENGTH:
+    length, grams = shape.length, shape.grams
+    if len(data) < length:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     v = gram_hashes(data)
     n = len(v)
     # least hash, of equal ones the rightmost: the position, counted from the right, is the key's low part
     key = (v & ~LOW) | (LOW - np.arange(n, dtype=np.uint64))
-    blocks = -(-n // GRAMS)
-    padded = np.full(blocks * GRAMS, ~U(0), np.uint64)
+    blocks = -(-n // grams)
+    padded = np.full(blocks * grams, ~U(0), np.uint64)
     padded[:n] = key
-    padded = padded.reshape(blocks, GRAMS)
+    padded = padded.reshape(blocks, grams)
     ahead = np.minimum.accumulate(padded, axis=1).ravel()
     behind = np.minimum.accumulate(padded[:, ::-1], axis=1)[:, ::-1].ravel()
-    windows = len(data) - LENGTH + 1
-    least = np.minimum(behind[:windows], ahead[GRAMS - 1 : GRAMS - 1 + windows])
+    windows = len(data) - length + 1
+    least = np.minimum(behind[:windows], ahead[grams - 1 : grams - 1 + windows])
     inside = np.zeros(len(data) + 1, np.int32)  # windows that begin and end in one document
-    long = ends - starts >= LENGTH
+    long = ends - starts >= length
     np.add.at(inside, starts[long], 1)
-    np.add.at(inside, ends[long] - LENGTH + 1, -1)
+    np.add.at(inside, ends[long] - length + 1, -1)
     found = (LOW - (least[np.cumsum(inside)[:windows] > 0] & LOW)).astype(np.int64)
     if not len(found):
         return np.empty(0, np.int64), np.empty(0, np.uint64)
@@ -90,16 +115,17 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return found, v[found]
 
 
-def document_anchors(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def document_anchors(texts: list[bytes], shape: Shape) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(text number, positions, hashes) for texts one by one; texts longer than a piece are taken in pieces."""
     small: list[int] = []
+    length = shape.length
     total = 0
 
     def together(some: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         sizes = np.array([len(texts[i]) for i in some])
         ends = np.cumsum(sizes)
         starts = ends - sizes
-        pos, h = anchors(np.frombuffer(b"".join(texts[i] for i in some), np.uint8), starts, ends)
+        pos, h = anchors(np.frombuffer(b"".join(texts[i] for i in some), np.uint8), starts, ends, shape)
         cut = np.searchsorted(pos, ends)
         a = 0
         for j, i in enumerate(some):
@@ -108,13 +134,13 @@ def document_anchors(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.n
             a = cut[j]
 
     for i, t in enumerate(texts):
-        if len(t) < LENGTH:
+        if len(t) < length:
             continue
         if len(t) > PIECE:
             data, found = np.frombuffer(t, np.uint8), {}
-            for a in range(0, len(t) - LENGTH + 1, PIECE):
-                part = data[a : a + PIECE + LENGTH - 1]
-                pos, h = anchors(part, np.array([0]), np.array([len(part)]))
+            for a in range(0, len(t) - length + 1, PIECE):
+                part = data[a : a + PIECE + length - 1]
+                pos, h = anchors(part, np.array([0]), np.array([len(part)]), shape)
                 found.update(zip((pos + a).tolist(), h.tolist(), strict=True))
             at = sorted(found)
             yield i, np.array(at), np.array([found[p] for p in at], np.uint64)
@@ -128,29 +154,29 @@ def document_anchors(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.n
         yield from together(small)
 
 
-def context(text: bytes, pos: int) -> bytes:
-    return text[max(0, pos - REACH) : pos + GRAM + REACH]
+def context(text: bytes, pos: int, shape: Shape) -> bytes:
+    return text[max(0, pos - shape.reach) : pos + GRAM + shape.reach]
 
 
-def matching_windows(group: np.ndarray, rows: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """For contexts (sorted by ``group``, aligned at the anchor) whether the window from each of the first GRAMS columns on also begins in another row of its group.
+def matching_windows(group: np.ndarray, rows: np.ndarray, left: np.ndarray, right: np.ndarray, shape: Shape) -> np.ndarray:
+    """For contexts (sorted by ``group``, aligned at the anchor) whether the window from each of the first ``grams`` columns on also begins in another row of its group.
 
-    ``rows`` is (n, WIDTH); a row's text is in columns [left, right).
+    ``rows`` is (n, ``width``); a row's text is in columns [left, right).
     """
-    n = len(group)
-    out = np.zeros((GRAMS, n), bool)
+    n, width, grams, length = len(group), shape.width, shape.grams, shape.length
+    out = np.zeros((grams, n), bool)
     if n < 2:
         return out.T
     columns = np.ascontiguousarray(rows.T).astype(np.uint16)
-    at = np.arange(WIDTH)[:, None]
+    at = np.arange(width)[:, None]
     columns[(at < left) | (at >= right)] = 256
     _, g = np.unique(group, return_inverse=True)
     g = g.astype(np.uint16)
     order = np.arange(n)
     same = np.concatenate(([False], g[1:] == g[:-1]))  # by place: groups keep their places in every order
-    end = np.where(same, WIDTH, 0).astype(np.int32)  # where the match with the row before ends
+    end = np.where(same, width, 0).astype(np.int32)  # where the match with the row before ends
     begins = ~same
-    for c in range(WIDTH - 1, -1, -1):
+    for c in range(width - 1, -1, -1):
         byte = columns[c][order]
         run = np.concatenate(([True], byte[1:] != byte[:-1])) | begins  # runs of the preceding byte
         if run.sum() > begins.sum():
@@ -168,8 +194,8 @@ def matching_windows(group: np.ndarray, rows: np.ndarray, left: np.ndarray, righ
             end = np.where(joined, moved, np.where(same, c, 0)).astype(np.int32)
             order, byte = order[perm], after
         end[same & (byte == 256)] = c  # outside a document nothing matches
-        if c < GRAMS:
-            hit = np.flatnonzero(end >= c + LENGTH)
+        if c < grams:
+            hit = np.flatnonzero(end >= c + length)
             out[c, order[hit]] = True
             out[c, order[hit - 1]] = True
     return out.T
@@ -190,21 +216,22 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
 
 
-def window_hashes(data: np.ndarray) -> np.ndarray:
-    """Two 64-bit hashes of the LENGTH bytes from each position on, as (windows, 2)."""
+def window_hashes(data: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """Two 64-bit hashes of the ``length`` bytes from each position on, as (windows, 2)."""
     out = []
+    bits = length.bit_length()
     with np.errstate(over="ignore"):
         for seed in (1, 2):
             v = (BYTES[data] ^ U(seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * U(0xD6E8FEB86659FD93)
             done, total, have = 0, None, v
-            for k in range(9):  # 400 = 16 + 128 + 256
+            for k in range(bits):  # a part for each power of two in the length
                 n = 1 << k
-                if LENGTH >> k & 1:
-                    size = len(data) - LENGTH + 1
+                if length >> k & 1:
+                    size = len(data) - length + 1
                     part = have[done : done + size]
                     total = part.copy() if total is None else (total * U(0xFF51AFD7ED558CCD) + part) ^ (total >> U(31))
                     done += n
-                if k < 8:
+                if k < bits - 1:
                     w = have[:-n] * STEPS[k % 6] + have[n:]
                     have = w ^ (w >> U(27 + seed))
             out.append(total)
@@ -232,17 +259,19 @@ def extents(data: bytes, left: int) -> list[tuple[int, int]]:
     return out + [(-k, xxhash.xxh3_64_intdigest(data[left : left + GRAM + k * GRID], k + 64)) for k in range(1, right // GRID + 1)]
 
 
-def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """(rows, found): the documents' (q_row, q_key, q_text, kept columns), and (q_row, q_spans) of those with removed bytes."""
     share_code(documents.sparkSession)
+    shape = Shape(length)
+    reach, width = shape.reach, shape.width
     rows = documents.select(F.col(key).alias("q_key"), F.coalesce(F.col(text), F.lit("")).alias("q_text"), *keep)
     rows = rows.withColumn("q_row", F.xxhash64("q_key", "q_text"))
-    long = rows.where(F.octet_length("q_text") >= LENGTH)
+    long = rows.where(F.octet_length("q_text") >= length)
     signed = lambda x: pa.array(np.asarray(x, np.uint64).view(np.int64))
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "q_text", 1 << 20):
-            found = [h for _, _, h in document_anchors([t.encode("utf-8", "replace") for t in batch.column("q_text").to_pylist()])]
+            found = [h for _, _, h in document_anchors([t.encode("utf-8", "replace") for t in batch.column("q_text").to_pylist()], shape)]
             if found:
                 yield pa.RecordBatch.from_arrays([signed(np.concatenate(found))], names=["h"])
 
@@ -253,11 +282,11 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: t
         for batch in slices(batches, "q_text", 1 << 20):
             texts = [t.encode("utf-8", "replace") for t in batch.column("q_text").to_pylist()]
             take, hs, cs, ps = [], [], [], []
-            for i, pos, h in document_anchors(texts):
+            for i, pos, h in document_anchors(texts, shape):
                 t, own = texts[i], {}
                 # where a document cuts a context off is part of it; equal contexts of one text (a period) are one row
                 for p, x in zip(pos.tolist(), h.tolist(), strict=True):
-                    own.setdefault((x, digest(t[max(0, p - REACH) : p + GRAM + REACH], min(p, REACH))), []).append(p)
+                    own.setdefault((x, digest(t[max(0, p - reach) : p + GRAM + reach], min(p, reach))), []).append(p)
                 take += [i] * len(own)
                 hs += [x for x, _ in own]
                 cs += [c for _, c in own]
@@ -271,7 +300,7 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: t
     by_context = found.groupBy("h", "c").agg(F.sum(F.size("pos")).alias("n"), F.min(F.struct("q_row", F.get("pos", F.lit(0)).alias("pos"))).alias("first"))
     by_context = checkpointed(by_context.select("h", "c", "n", "first.q_row", "first.pos"))
     equal = found.join(by_context.where("n > 1").select("h", "c"), ["h", "c"])
-    equal = equal.select("q_row", F.explode("pos").alias("pos")).select("q_row", F.greatest(F.col("pos") - REACH, F.lit(0)).alias("a"), (F.col("pos") + GRAM + REACH).alias("b"))
+    equal = equal.select("q_row", F.explode("pos").alias("pos")).select("q_row", F.greatest(F.col("pos") - reach, F.lit(0)).alias("a"), (F.col("pos") + GRAM + reach).alias("b"))
 
     different = by_context.groupBy("h").agg(F.count("*").alias("contexts"), F.min("n").alias("least")).where("contexts > 1 and least = 1").select("h", "contexts")
     wanted = by_context.join(different, "h").select("h", (F.col("n") > 1).alias("repeated"), "contexts", "q_row", "pos")
@@ -291,7 +320,7 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: t
                 seen.add(row)
                 data = t.encode("utf-8", "replace")
                 for x in w:
-                    for column, value in zip(out, (x["h"], row, x["pos"], x["repeated"], x["contexts"], min(x["pos"], REACH), context(data, x["pos"])), strict=True):
+                    for column, value in zip(out, (x["h"], row, x["pos"], x["repeated"], x["contexts"], min(x["pos"], reach), context(data, x["pos"], shape)), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)], names=names)
 
@@ -305,13 +334,13 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: t
             h = t.column("h").to_numpy()
             data, left = t.column("q_context").to_pylist(), t.column("q_left").to_numpy().astype(np.int64)
             lengths = np.array([len(x) for x in data], np.int64)
-            begin = REACH - left
-            m = np.zeros((len(h), WIDTH), np.uint8)
+            begin = reach - left
+            m = np.zeros((len(h), width), np.uint8)
             for i, x in enumerate(data):
                 m[i, begin[i] : begin[i] + lengths[i]] = np.frombuffer(x, np.uint8)
-            marks = matching_windows(h, m, begin, begin + lengths)
+            marks = matching_windows(h, m, begin, begin + lengths, shape)
             repeated, pos, row = (t.column(c).to_pylist() for c in ("repeated", "pos", "q_row"))
-            out = [(row[i], pos[i] - REACH + x, pos[i] - REACH + y - 1 + LENGTH) for i in np.flatnonzero(marks.any(axis=1)).tolist() if not repeated[i] for x, y in _runs(marks[i])]
+            out = [(row[i], pos[i] - reach + x, pos[i] - reach + y - 1 + length) for i in np.flatnonzero(marks.any(axis=1)).tolist() if not repeated[i] for x, y in _runs(marks[i])]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*out, strict=True)], names=["q_row", "a", "b"])
 
@@ -336,18 +365,18 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: t
 
     hot = checkpointed(contexts.where(F.col("contexts") > MOST_CONTEXTS))
 
-    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [(h, row, pos, k, e) for h, row, pos, left, x in zip(*(batch.column(c).to_pylist() for c in ("h", "q_row", "pos", "q_left", "q_context")), strict=True) for k, e in extents(x, left)]
             if out:
                 h, row, pos, k, e = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(row, pa.int64()), pa.array(pos, pa.int64()), pa.array(k, pa.int32()), signed(e)], names=["h", "q_row", "pos", "k", "e"])
 
-    extended = hot.mapInArrow(reach, "h long, q_row long, pos long, k int, e long")
+    extended = hot.mapInArrow(extend, "h long, q_row long, pos long, k int, e long")
     shared = extended.groupBy("h", "k", "e").agg(F.count("*").alias("n")).where("n > 1").select("h", "k", "e")
     bounds = extended.join(shared, ["h", "k", "e"]).groupBy("h", "q_row", "pos").agg(F.max("k").alias("to_left"), F.min("k").alias("to_right"))
     sifted = hot.join(bounds, ["h", "q_row", "pos"]).withColumns({"to_left": (F.greatest("to_left", F.lit(0)) + 1) * GRID - 1, "to_right": (F.greatest(-F.col("to_right"), F.lit(0)) + 1) * GRID - 1})
-    sifted = checkpointed(sifted.where(F.col("to_left") + F.col("to_right") >= REACH))
+    sifted = checkpointed(sifted.where(F.col("to_left") + F.col("to_right") >= reach))
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -356,11 +385,11 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: t
                 at, first, w = [], [], []
                 for i, (x, left, pos, to_left, to_right) in enumerate(zip(*(part.column(c).to_pylist() for c in ("q_context", "q_left", "pos", "to_left", "to_right")), strict=True)):
                     # windows begin so many bytes left of the anchor
-                    low, high = max(REACH - to_right, left + LENGTH - len(x), 0), min(to_left, left, REACH)
+                    low, high = max(reach - to_right, left + length - len(x), 0), min(to_left, left, reach)
                     if low > high:
                         continue
                     begin = left - high
-                    found = window_hashes(np.frombuffer(x, np.uint8)[begin : left - low + LENGTH])
+                    found = window_hashes(np.frombuffer(x, np.uint8)[begin : left - low + length], length)
                     at.append(np.full(len(found), i))
                     first.append(pos - left + begin + np.arange(len(found)))
                     w.append(found)
@@ -371,15 +400,15 @@ def spans(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: t
     windows = sifted.mapInArrow(expand, "w1 long, w2 long, q_row long, repeated boolean, a long")
     # one window may be reached from the anchors of both its ends: a place counts once
     twice = windows.groupBy("w1", "w2").agg(F.min(F.struct("q_row", "a")).alias("low"), F.max(F.struct("q_row", "a")).alias("high")).where("low <> high").select("w1", "w2")
-    many = windows.where("not repeated").join(twice, ["w1", "w2"]).select("q_row", "a", (F.col("a") + LENGTH).alias("b"))
+    many = windows.where("not repeated").join(twice, ["w1", "w2"]).select("q_row", "a", (F.col("a") + length).alias("b"))
 
     parts = equal.unionByName(few).unionByName(many)
     return texts, parts.groupBy("q_row").agg(F.collect_list(F.struct("a", "b")).alias("q_spans"))
 
 
-def cleaned(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def cleaned(documents: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (), length: int = LENGTH) -> DataFrame:
     """(q_key, ``keep``, q_bytes, q_spans, q_kept): each row's key, kept columns, bytes in its text, removed runs [a, b) and the bytes left."""
-    texts, found = spans(documents, key, text, keep)
+    texts, found = spans(documents, key, text, keep, length)
     joined = texts.join(found, "q_row", "left").select("q_key", *keep, "q_text", "q_spans")
     runs = T.ArrayType(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
     carried = ["q_key", *keep]

@@ -159,13 +159,13 @@ def brute_removal(texts, length):
     return out
 
 
-@pytest.mark.parametrize("most", [512, 3])
-def test_removal_is_brute_forces(spark, monkeypatch, most):
+@pytest.mark.parametrize(("most", "length"), [(512, 400), (3, 400), (512, 240), (3, 131)])
+def test_removal_is_brute_forces(spark, monkeypatch, most, length):
     """With few contexts allowed in an index, hot anchors go the way of counted windows."""
     monkeypatch.setattr(suffix_dedup, "MOST_CONTEXTS", most)
     rng = random.Random(4)
     text = lambda n: "".join(rng.choice("abcdé fgh ") for _ in range(n))
-    passages = [text(n) for n in (390, 400, 405, 450, 700, 1500)]
+    passages = [text(n) for n in (130, 240, 250, 390, 400, 405, 450, 700, 1500)]
     docs = []
     for _ in range(130):
         k = rng.random()
@@ -186,9 +186,9 @@ def test_removal_is_brute_forces(spark, monkeypatch, most):
         docs.append(t)
     docs[3] = ""
     df = spark.createDataFrame([*enumerate(docs), (1000, None)], "doc_id long, text string").repartition(5)
-    out = {r.q_key: (r.q_bytes, sum(x.b - x.a for x in r.q_spans), len(r.q_spans), hashlib.sha256(bytes(r.q_kept)).hexdigest()) for r in suffix_dedup.cleaned(df).collect()}
+    out = {r.q_key: (r.q_bytes, sum(x.b - x.a for x in r.q_spans), len(r.q_spans), hashlib.sha256(bytes(r.q_kept)).hexdigest()) for r in suffix_dedup.cleaned(df, length=length).collect()}
     assert out.pop(1000)[:3] == (0, 0, 0)
-    assert [out[i] for i in range(len(docs))] == brute_removal([t.encode() for t in docs], 400)
+    assert [out[i] for i in range(len(docs))] == brute_removal([t.encode() for t in docs], length)
 
 
 def test_removal_of_odd_tables(spark):
@@ -202,9 +202,9 @@ def test_removal_of_odd_tables(spark):
 def test_long_texts_in_pieces(monkeypatch):
     rng = np.random.default_rng(1)
     text = bytes(rng.integers(97, 107, 50_000, dtype=np.uint8))
-    (whole,) = suffix_dedup.document_anchors([text])
+    (whole,) = suffix_dedup.document_anchors([text], suffix_dedup.Shape())
     monkeypatch.setattr(suffix_dedup, "PIECE", 9000)
-    (parts,) = suffix_dedup.document_anchors([text])
+    (parts,) = suffix_dedup.document_anchors([text], suffix_dedup.Shape())
     assert whole[1].tolist() == parts[1].tolist() and whole[2].tolist() == parts[2].tolist()
 
 
@@ -214,7 +214,7 @@ def test_equal_windows_have_equal_anchors():
     found = []
     for k in (0, 13, 777):
         t = bytes(rng.integers(97, 100, k, dtype=np.uint8)) + passage + bytes(rng.integers(97, 100, 500, dtype=np.uint8))
-        ((_, pos, h),) = suffix_dedup.document_anchors([t])
+        ((_, pos, h),) = suffix_dedup.document_anchors([t], suffix_dedup.Shape())
         found.append({(p - k, x) for p, x in zip(pos.tolist(), h.tolist(), strict=True) if k <= p <= k + 400 - suffix_dedup.GRAM})
     assert found[0] & found[1] & found[2]
 
