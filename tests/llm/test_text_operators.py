@@ -147,7 +147,7 @@ def test_canonical_form(spark):
 
 def test_classes_and_neighbours(spark):
     df = frame(spark, ["A b", "a  B", None, "", "other", "other", "x"])
-    out = {r.doc_id: (r.class_id, r.n_copies) for r in fingerprints.classes(df).collect()}
+    out = {r.doc_id: (r.class_id, r.n_copies) for r in fingerprints.edited(df).collect()}
     assert out == {0: (0, 2), 1: (0, 2), 2: (2, 2), 3: (2, 2), 4: (4, 2), 5: (4, 2), 6: (6, 1)}
     keys = [5, 1, 9, 70, 30, 31]
     after = {r.k: r.next for r in fingerprints.neighbours(spark.createDataFrame([(k,) for k in keys], "k long"), "k", 3).collect()}
@@ -165,6 +165,43 @@ def test_edited_texts(spark):
         assert out[r.doc_id].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and out[r.doc_id].n_chars == len(r.text)
 
 
+def brute_edited(rows):
+    """Digest, fingerprint and what follows for each row, by keys in order."""
+    keys = sorted({k for k, _ in rows if k is not None})
+    least = {k: min((t or "").encode() for q, t in rows if q == k).decode() for k in keys}
+    fold = lambda t: re.sub(r"\s+", " ", unicodedata.normalize("NFKC", t).lower()).strip(" ")
+    out = []
+    for k, t in rows:
+        t = t or ""
+        after = None if k is None else least[keys[(keys.index(k) + 1) % len(keys)]]
+        n = len(t) // 4
+        new = t if k is None else t[: len(t) - n] + after[:n]
+        out.append((k, len(t), hashlib.sha256(new.encode()).hexdigest(), float(fold(new) == fold(t)), float(k is not None and fold(after) == fold(t)), sum(fold(u or "") == fold(t) for q, u in rows if q is not None)))
+    return sorted(out, key=str)
+
+
+def test_edited_texts_of_repeated_rows(spark):
+    """Every row gives one, whatever keys and texts repeat."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    rows += rows[:5] + [(rows[7][0], "another text"), (rows[9][0], None), (-3, ""), (10**12, "ends"), (10**12, "Ends")]
+    found = fingerprints.edited(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    assert sorted([(r.doc_id, r.n_chars, r.edited_sha256, r.near_edited, r.near_next, r.n_copies) for r in found], key=str) == brute_edited(rows)
+
+
+def test_edited_texts_without_keys(spark):
+    found = fingerprints.edited(spark.createDataFrame([(None, "some text"), (None, None), (1, "abcdefgh")], "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.near_edited, r.near_next) for r in found) == [("1", 0.0, 1.0), ("None", 1.0, 0.0), ("None", 1.0, 0.0)]
+    assert fingerprints.edited(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_bytes_are_compared_in_equal_buckets(spark, monkeypatch):
+    """With a hash that always collides, classes are those of equal canonical texts."""
+    monkeypatch.setattr(fingerprints, "wide_hash", lambda text: F.lit("0" * 32))
+    texts = ["A b", "a  B", "other", None, "x", "other", ""]
+    found = {r.doc_id: (r.class_id, r.n_copies) for r in fingerprints.edited(frame(spark, texts)).collect()}
+    assert found == {0: (0, 2), 1: (0, 2), 2: (2, 2), 3: (3, 2), 4: (4, 1), 5: (2, 2), 6: (3, 2)}
+
+
 # --- tokens
 
 
