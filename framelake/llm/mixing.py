@@ -8,18 +8,20 @@ shards: a node of a binary tree over the shards hands its left half a multivaria
 blocks' counts, which leaves each shard exact quotas of every source. Quotas take consecutive, so disjoint, parts of
 the source's permuted blocks; inside a shard documents are ordered by a hash.
 
-The driver sees a row for each block (2 x sources x MOST_BLOCKS at most, and MOST_SOURCES sources), never documents. All
-draws follow from hashes and a seed, so reruns agree.
+The driver sees a row for each block, never documents: ALL_BLOCKS blocks of several documents over all sources and one
+more for each source, as many long documents at most. All draws follow from hashes and a seed, so reruns agree.
 
 Null texts have size 0; a document of size 0 goes with its block. A null source is a source of its own, last in order.
-Rows that share a key count as one document and go together. No rows give no rows.
+Every row is a document, repeated ones too: rows of equal key, source and text go together, other rows that share a
+key go each their own way. Rows are told apart by a 64-bit hash of these three: of n rows with one key about
+n * n / 2**65 pairs share one by chance. No rows give no rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framelake.llm.common import WORD, checkpointed, table
@@ -28,7 +30,12 @@ from framelake.session import share_code
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_TIMES = 3
 MOST_BLOCKS, BLOCK_DOCUMENTS = 4096, 64
-MOST_SOURCES = 100_000
+#: Blocks of several documents over all sources, shared out by their numbers of documents.
+ALL_BLOCKS = 1 << 18
+#: Words of an output shard (about 64 MB of text) and of a task's part of one.
+SHARD_WORDS, PART_WORDS = 1 << 23, 1 << 24
+#: Shards at least, if there are as many blocks, and at most; the driver's table of quotas has a cell for each shard and source.
+LEAST_SHARDS, MOST_SHARDS, MOST_QUOTAS = 16, 1 << 14, 1 << 24
 #: An assignment table of so many rows at most is broadcast (under 10 MB); a larger one is joined by shuffling.
 MOST_BROADCAST = 100_000
 
@@ -126,7 +133,7 @@ def pick(pdf: pd.DataFrame) -> pd.DataFrame:
 
     One more is taken if that comes nearer.
     """
-    pdf = pdf.sort_values(["size", "h", "key"], ascending=[False, True, True], ignore_index=True)
+    pdf = pdf.sort_values(["size", "h", "q_row"], ascending=[False, True, True], ignore_index=True)
     left, taken = float(pdf["rest"].iloc[0]), np.zeros(len(pdf), bool)
     for i, size in enumerate(pdf["size"]):
         if size <= left:
@@ -136,56 +143,98 @@ def pick(pdf: pd.DataFrame) -> pd.DataFrame:
         i = others[np.argmin(pdf["size"].to_numpy()[others])]
         if pdf["size"][i] - left < left:
             taken[i] = True
-    return pdf.assign(taken=taken)[["key", "taken"]]
+    return pdf.assign(taken=taken)[["key", "q_row", "taken"]]
 
 
-def draw(documents: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", shards: int = 16, seed: int = 11, weights: tuple[float, ...] = WEIGHTS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """What the mix takes: (key, source, size, source_size, target, copies, block), its blocks' shards, and the picked rows of last blocks."""
+def shards_for(words: float, blocks: int, sources: int) -> int:
+    """Output shards: about SHARD_WORDS words each, within the limits above."""
+    return int(max(1, min(max(LEAST_SHARDS, -(-words // SHARD_WORDS)), blocks, MOST_SHARDS, MOST_QUOTAS // max(1, sources))))
+
+
+def units(documents: DataFrame, key: str, source: str, text: str) -> DataFrame:
+    """``documents`` as (key, source, size, q_row): what tells rows apart."""
+    size = F.coalesce(F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)), F.lit(0)).cast("long")
+    return documents.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"), size.alias("size"), _row(key, source, text).alias("q_row"))
+
+
+def _row(key: str, source: str, text: str) -> Column:
+    # nulls leave a hash as it is, so each column says whether it is one
+    return F.xxhash64(F.col(key), F.col(source).isNull(), F.col(source).cast("string"), F.col(text).isNull(), F.col(text))
+
+
+def draw(
+    documents: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", shards: int | None = None, seed: int = 11, weights: tuple[float, ...] = WEIGHTS
+) -> tuple[DataFrame, DataFrame, DataFrame, tuple[int, int]]:
+    """What the mix takes: (key, q_row, n, source, size, block, source_size, target, passes, last) with n equal rows of ``size`` words together, its
+    blocks' shards, the picked (key, q_row) of last blocks, and the numbers of shards and of words taken."""
     spark = documents.sparkSession
     share_code(spark)
-    slim = documents.groupBy(F.col(key).alias("key"), F.col(source).cast("string").alias("source")).agg(F.sum(F.coalesce(F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)), F.lit(0))).cast("long").alias("size"))
-    slim = checkpointed(slim.withColumn("h", F.xxhash64(F.lit(seed), F.col("key").cast("string"))))
-    counts = slim.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
-    if counts.limit(MOST_SOURCES + 1).count() > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    dealt = F.greatest(F.lit(1), F.least(F.lit(MOST_BLOCKS), F.ceil(F.col("n") / BLOCK_DOCUMENTS)))
-    counts = F.broadcast(counts.withColumnRenamed("source", "c_source"))
-    sized = slim.join(counts, F.col("source").eqNullSafe(F.col("c_source"))).withColumn("dealt", dealt)
+    slim = units(documents, key, source, text).groupBy("key", "q_row", "source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
+    slim = checkpointed(slim.withColumn("h", F.xxhash64(F.lit(seed), "q_row", F.col("key").cast("string"))))
+    counts = checkpointed(slim.groupBy("source").agg(F.count("*").alias("units"), F.sum("size").alias("words")))
+    total = counts.agg(F.count("*").alias("sources"), F.sum("units").alias("units")).first()
+    share = F.ceil(F.col("units") * F.lit(ALL_BLOCKS) / F.lit(max(1, total["units"] or 1)))
+    dealt = F.greatest(F.lit(1), F.least(F.lit(MOST_BLOCKS), share, F.ceil(F.col("units") / BLOCK_DOCUMENTS)))
+    few = total["sources"] <= MOST_BROADCAST
+    sized = _by_source(slim, counts.withColumnRenamed("source", "c_source"), "c_source", few).withColumn("dealt", dealt)
     # fewer than a source has blocks
     large = F.col("size") * F.col("dealt") > F.col("words")
-    alone = sized.where((F.col("dealt") > 1) & large).withColumn("block", (F.lit(MOST_BLOCKS - 1) + F.row_number().over(Window.partitionBy("source").orderBy("h", "key"))).cast("int"))
-    placed = sized.where((F.col("dealt") == 1) | ~large).withColumn("block", F.pmod("h", "dealt").cast("int")).unionByName(alone).drop("c_source", "n", "words", "dealt")
+    alone = sized.where((F.col("dealt") > 1) & large).withColumn("block", (F.lit(MOST_BLOCKS - 1) + F.row_number().over(Window.partitionBy("source").orderBy("h", "key", "q_row"))).cast("int"))
+    placed = sized.where((F.col("dealt") == 1) | ~large).withColumn("block", F.pmod("h", "dealt").cast("int")).unionByName(alone).drop("units", "words", "dealt")
+    placed = checkpointed(placed)
     blocks = placed.groupBy("source", "block").agg(F.sum("size").alias("size")).collect()  # a bounded row for each block
+    taken = sum(x["size"] for x in blocks)
+    shards = shards or shards_for(taken, len(blocks), total["sources"])
     sources, drawn = plan([(x["source"], x["block"], x["size"]) for x in blocks], shards, seed, weights)
-    sources_df = F.broadcast(spark.createDataFrame(sources, "s_source string, source_size long, target double, passes int, last int, rest double"))
-    drawn_df = spark.createDataFrame(drawn, "source string, block int, pass int, shard int")
+    sources_df = spark.createDataFrame(sources, "s_source string, source_size long, target double, passes int, last int, rest double")
+    drawn_df = spark.createDataFrame(drawn, "d_source string, d_block int, mix_pass int, mix_shard int")
     if len(drawn) <= MOST_BROADCAST:
         drawn_df = F.broadcast(drawn_df)
-    placed = placed.join(sources_df, F.col("source").eqNullSafe(F.col("s_source"))).drop("s_source")
-    picked = placed.where(F.col("block") == F.col("last")).select("key", F.coalesce("source", F.lit("")).alias("source"), F.col("source").isNull().alias("nosource"), "size", "h", "rest")
-    picked = checkpointed(picked.groupBy("source", "nosource").applyInPandas(lambda pdf: pick(pdf), f"key {documents.schema[key].dataType.simpleString()}, taken boolean"))
-    return placed, drawn_df, picked.where("taken")
+    placed = _by_source(placed, sources_df, "s_source", len(sources) <= MOST_BROADCAST)
+    picked = placed.where(F.col("block") == F.col("last")).select("key", "q_row", F.coalesce("source", F.lit("")).alias("source"), F.col("source").isNull().alias("nosource"), "size", "h", "rest")
+    picked = checkpointed(picked.groupBy("source", "nosource").applyInPandas(lambda pdf: pick(pdf), f"key {documents.schema[key].dataType.simpleString()}, q_row long, taken boolean"))
+    return placed, drawn_df, picked.where("taken"), (shards, taken)
 
 
-def mix(documents: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", shards: int = 16, seed: int = 11) -> DataFrame:
-    """``documents``' rows once for each time that the mix takes them, with mix_shard, mix_pass and mix_rank, the order inside a shard."""
-    placed, drawn, picked = draw(documents, key, source, text, shards, seed)
-    d = drawn.select(F.col("source").alias("d_source"), F.col("block").alias("d_block"), F.col("pass").alias("mix_pass"), F.col("shard").alias("mix_shard"))
-    rows = placed.join(d, F.col("source").eqNullSafe(F.col("d_source")) & (F.col("block") == F.col("d_block")))
-    partial = (F.col("block") == F.col("last")) & (F.col("mix_pass") == F.col("passes"))
-    rows = rows.where(~partial).unionByName(rows.where(partial).join(picked.select("key"), "key", "left_semi").select(*rows.columns))
-    taken = rows.select(F.col("key").alias("q_key"), "mix_shard", "mix_pass", F.xxhash64(F.lit(seed + 1), "h", "mix_pass").alias("mix_rank"))
-    out = documents.drop("mix_shard", "mix_pass", "mix_rank").join(taken, F.col(key).eqNullSafe(F.col("q_key"))).drop("q_key")
-    return out.repartition(shards, "mix_shard").sortWithinPartitions("mix_shard", "mix_rank")
+def _by_source(rows: DataFrame, other: DataFrame, name: str, few: bool) -> DataFrame:
+    return rows.join(F.broadcast(other) if few else other, F.col("source").eqNullSafe(F.col(name))).drop(name)
+
+
+def takings(placed: DataFrame, drawn: DataFrame, picked: DataFrame) -> DataFrame:
+    """(key, q_row, mix_pass, mix_shard): a row for each time that the mix takes a unit, with null passes and shards for units that it leaves."""
+    rows = placed.join(drawn, F.col("source").eqNullSafe(F.col("d_source")) & (F.col("block") == F.col("d_block")), "left")
+    one = picked.select(F.col("key").alias("p_key"), F.col("q_row").alias("p_row"), F.lit(True).alias("one"))
+    rows = rows.join(one, (F.col("q_row") == F.col("p_row")) & F.col("key").eqNullSafe(F.col("p_key")), "left")
+    # of a last block, the last pass takes picked documents alone
+    left = (F.col("block") == F.col("last")) & (F.col("mix_pass") == F.col("passes")) & F.col("one").isNull()
+    return rows.withColumns({c: F.when(~left, F.col(c)) for c in ("mix_pass", "mix_shard")}).drop("d_source", "d_block", "p_key", "p_row", "one")
+
+
+def mix(documents: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", shards: int | None = None, seed: int = 11) -> DataFrame:
+    """``documents``' rows once for each time that the mix takes them, with mix_shard, mix_pass and mix_rank, the order inside a shard.
+
+    Shards follow the words taken (see ``shards_for``) unless ``shards`` says how many. Rows are in the order of shard and
+    rank over all partitions; a shard is cut into as many partitions as its words need.
+    """
+    placed, drawn, picked, (shards, words) = draw(documents, key, source, text, shards, seed)
+    rows = takings(placed, drawn, picked).where("mix_pass is not null")
+    taken = rows.select(F.col("key").alias("q_key"), "q_row", "mix_shard", "mix_pass", F.xxhash64(F.lit(seed + 1), "h", "mix_pass").alias("mix_rank"))
+    own = documents.drop("mix_shard", "mix_pass", "mix_rank", "q_key", "q_row")
+    out = own.withColumn("q_own", _row(key, source, text)).join(taken, (F.col("q_own") == F.col("q_row")) & F.col(key).eqNullSafe(F.col("q_key"))).drop("q_key", "q_own", "q_row")
+    # ranks are even over 64 bits: equal ranges of them are equal parts of a shard
+    parts = max(1, -(-int(words) // (shards * PART_WORDS)))
+    part = F.least(F.floor((F.col("mix_rank").cast("double") + 2.0**63) * (parts / 2.0**64)), F.lit(parts - 1))
+    return out.repartitionById(shards * parts, (F.col("mix_shard") * parts + part).cast("int")).sortWithinPartitions("mix_shard", "mix_rank")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many words of each document the mix takes."""
+    """How many words of each document the mix takes, and into which shards."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    placed, drawn, picked = draw(documents)
-    d = drawn.groupBy(F.col("source").alias("d_source"), F.col("block").alias("d_block")).agg(F.count("*").alias("n"))
-    rows = placed.join(d, F.col("source").eqNullSafe(F.col("d_source")) & (F.col("block") == F.col("d_block")), "left")
-    rows = rows.join(picked.select("key", F.lit(1).alias("one")), "key", "left")
-    partial = F.col("block") == F.col("last")
-    copies = F.when(partial, F.col("passes") + F.coalesce("one", F.lit(0))).otherwise(F.coalesce("n", F.lit(0)))
-    return rows.select(F.col("key").alias("doc_id"), "size", "source_size", "target", (copies * F.col("size")).cast("long").alias("taken"))
+    placed, drawn, picked, _ = draw(documents)
+    found = takings(placed, drawn, picked).groupBy("key", "q_row", "source").agg(
+        F.first("size").alias("size"), F.first("n").alias("n"), F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.array_sort(F.collect_list("mix_shard")).alias("shards")
+    )
+    # of n equal rows together, each
+    rows = found.select("*", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("q_i"))
+    own = (F.col("size") / F.col("n")).cast("long")
+    return rows.select(F.col("key").alias("doc_id"), own.alias("size"), "source_size", "target", (F.size("shards") * own).cast("long").alias("taken"), "shards")

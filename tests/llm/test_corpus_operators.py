@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from framelake.llm import mixing, near_dedup, suffix_dedup
@@ -269,8 +270,32 @@ def test_mix(spark):
     names = sorted(size)
     assert np.allclose([target[n] for n in names], brute_targets([size[n] for n in names]))
     assert all(abs(taken[n] - target[n]) < 0.01 * target[n] for n in names)
-    mixed = collections.Counter(r.doc_id for r in mixing.mix(df).select("doc_id").collect())
-    assert all(mixed[k] * r["size"] == r.taken for k, r in rows.items())
+    mixed = collections.defaultdict(list)
+    out = mixing.mix(df).select("doc_id", "mix_shard", "mix_rank", F.spark_partition_id().alias("p")).collect()
+    for x in out:
+        mixed[x.doc_id].append(x.mix_shard)
+    assert all(len(mixed[k]) * r["size"] == r.taken and sorted(mixed[k]) == r.shards for k, r in rows.items())
+    # rows are in the order of shard and rank over all partitions
+    assert [(x.mix_shard, x.mix_rank) for x in out] == sorted((x.mix_shard, x.mix_rank) for x in out)
+    # the tree's quotas: shards have equal numbers of blocks, and each source's blocks lie in all that it gives quotas
+    _, drawn, _, (shards, _) = mixing.draw(df)
+    blocks = collections.Counter(x.mix_shard for x in drawn.collect())
+    assert 1 < len(blocks) == shards and max(blocks.values()) - min(blocks.values()) <= 1
+    assert {s for r in rows.values() for s in r.shards} == set(range(shards))
+
+
+def test_mix_of_repeated_rows(spark, tmp_path):
+    """Every row is a document: 205 in, 205 out."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    some = docs.limit(4)
+    odd = some.limit(1).withColumn("text", F.lit("other words of one key"))
+    docs.unionByName(some).unionByName(odd).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    rows = mixing.op9_mixing(spark, str(tmp_path)).collect()
+    assert len(rows) == docs.count() == 205
+    want = sorted((d.doc_id, len(re.findall(r"[^\x20\x09-\x0D]+", d.text or ""))) for d in docs.collect())
+    assert sorted((r.doc_id, r["size"]) for r in rows) == want and all(0 <= r.taken <= 3 * r["size"] for r in rows)
+    assert sum(len(r.shards) for r in rows) == mixing.mix(docs).count()
 
 
 def test_mix_with_long_documents(spark, tmp_path):
