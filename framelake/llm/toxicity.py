@@ -1,10 +1,13 @@
 """Toxicity by Levenshtein automata over a lexicon trie, with the context of each hit.
 
-The lexicon is learned from labelled rows: terms (whole words) and stems (how words begin) that together cover the
-toxic documents of a bounded sample and stand in next to no clean one. The terms' Levenshtein automata are
-intersected with their trie into one deterministic automaton, which all words of a text run through at once, a
-character a step; most words reach its dead state after a few. A misspelled term counts if clean documents of the
-sample don't have that very word.
+The lexicon is learned from labelled rows: terms (whole words) and stems (how words begin) that stand in far more
+toxic documents of a bounded sample than in clean ones, and more than chance would give any of all the words looked
+at. So a small sample needs a word in few documents, a large one in hardly more, and a rare term counts like a
+frequent one. The terms' Levenshtein automata are intersected with their trie into one deterministic automaton, which
+all words of a text run through at once, a character a step; most words reach its dead state after a few. The
+``MOST_FUZZY`` terms that most toxic documents have are matched with edits; further ones, and those that several words
+of clean documents come near to, as they are. A misspelled term counts if clean documents of the sample don't have
+that very word.
 
 Each hit is weighed by a window of words around it: between quotation marks, or after a word that reports speech, it
 counts as quotation, else as abuse. A logistic model over the counts gives the score.
@@ -15,6 +18,7 @@ label, every score is 0. Labels, languages, sources and ids are no inputs of a s
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
@@ -22,17 +26,19 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from framelake.llm.common import table
+from framelake.llm.common import checkpointed, table
 from framelake.session import share_code
 
-#: The bounded sample: so many toxic and clean labelled rows at most, by a hash of the key.
-FIT_TOXIC, FIT_CLEAN = 2000, 4000
-#: A term or stem must newly cover so many toxic documents of the sample, such a share of them, and be so many times likelier in them.
-LEAST_COVER, LEAST_SHARE, LEAST_RATIO = 6, 0.01, 20.0
-MOST_TERMS = 200
+#: The bounded sample: so many toxic and clean labelled rows at most, by a hash of the key, and of these texts of so many bytes together at most.
+FIT_TOXIC, FIT_CLEAN, FIT_BYTES = 2000, 4000, 48 << 20
+#: A term or stem must stand in so many toxic documents of the sample, be so many times likelier in them (a stem's hits are also
+#: weighed by their density), and, of all words and stems as frequent, chance may be expected to let so many through.
+LEAST_COVER, LEAST_RATIO, LEAST_STEM_RATIO, MOST_BY_CHANCE = 4, 20.0, 5.0, 0.02
+#: Terms matched with edits (their automaton has some hundred states for each), and clean words that may come near to one.
+MOST_FUZZY, MOST_NEAR = 200, 2
 #: A stem of whose documents one word has a greater share is no stem.
 MOST_OF_STEM = 0.6
 LEAST_TERM, STEMS = 4, (4, 5, 6)
@@ -67,15 +73,17 @@ class Automaton:
     others: frozenset[str] = frozenset()
 
 
-def compile_lexicon(terms: list[str], stems: list[str], clean: Iterable[str] = ()) -> Automaton:
-    """The intersection of the terms' Levenshtein automata with the lexicon's trie, made deterministic."""
+def compile_lexicon(terms: list[str], stems: list[str], clean: Iterable[str] = (), exact: Iterable[str] = ()) -> Automaton:
+    """The intersection of the terms' Levenshtein automata with the lexicon's trie, made deterministic; terms in ``exact`` have no edits."""
+    exact = frozenset(exact)
+    allowed = [0 if t in exact else edits(t) for t in terms]
     children: list[dict[str, int]] = [{}]
     ends: dict[int, int] = {}
     roots: set[int] = set()
     reach = [0]  # most edits of any term below a node
     for i, word in enumerate([*terms, *stems]):
         node = 0
-        most = edits(word) if i < len(terms) else 0
+        most = allowed[i] if i < len(terms) else 0
         reach[0] = max(reach[0], most)
         for c in word:
             if c not in children[node]:
@@ -128,7 +136,7 @@ def compile_lexicon(terms: list[str], stems: list[str], clean: Iterable[str] = (
         at += 1
     term, cost = np.full(len(order), -1, np.int32), np.zeros(len(order), np.int8)
     for i, state in enumerate(order):
-        hits = [(e, ends[node]) for node, e in state if node in ends and e <= edits(terms[ends[node]])]
+        hits = [(e, ends[node]) for node, e in state if node in ends and e <= allowed[ends[node]]]
         if hits:
             cost[i], term[i] = min(hits)
         if any(node in roots and e == 0 for node, e in state):
@@ -210,6 +218,7 @@ class Toxicity:
     terms: list[str]
     stems: list[str]
     clean: list[str]
+    exact: list[str] = field(default_factory=list)
     weights: list[float] = field(default_factory=lambda: [0.0] * 6)
     fitted: bool = False
     _auto: Automaton | None = None
@@ -217,7 +226,7 @@ class Toxicity:
     @property
     def auto(self) -> Automaton | None:
         if self._auto is None and (self.terms or self.stems):
-            self._auto = compile_lexicon(self.terms, self.stems, self.clean)
+            self._auto = compile_lexicon(self.terms, self.stems, self.clean, self.exact)
         return self._auto
 
     def __getstate__(self) -> dict:
@@ -230,14 +239,33 @@ class Toxicity:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def mine(texts: list[str], toxic: list[bool]) -> tuple[list[str], list[str], list[str]]:
-    """Terms and stems by greedy cover of the toxic texts, and the clean texts' words near a term."""
+def by_chance(bad: int, good: int, toxic_n: int, clean_n: int) -> float:
+    """Chance that of ``bad + good`` documents so many or more are toxic ones, were they drawn without regard to labels."""
+    n, p = bad + good, toxic_n / (toxic_n + clean_n)
+    if p >= 1:
+        return 1.0
+    term = lambda k: math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log(1 - p)
+    return sum(math.exp(term(k)) for k in range(bad, n + 1))
+
+
+def distance(a: str, b: str) -> int:
+    """Levenshtein distance."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def mine(texts: list[str], toxic: list[bool]) -> tuple[list[str], list[str], list[str], list[str]]:
+    """Terms (most frequent first) and stems, the clean texts' words near a term, and the terms matched as they are."""
+
     def keys(text: str) -> set[tuple[str, bool]]:
         words = {w for w in TOKEN.findall(text.lower()) if len(w) >= LEAST_TERM and not w.isdigit()}
         return {(w, False) for w in words} | {(w[:n], True) for w in words for n in STEMS if len(w) > n}
 
-    toxic_n, clean_n = max(1, sum(toxic)), max(1, sum(not x for x in toxic))
-    least = max(LEAST_COVER, LEAST_SHARE * toxic_n)
+    toxic_n, clean_n = sum(toxic), sum(not x for x in toxic)
     bad: dict[tuple[str, bool], set[int]] = defaultdict(set)
     for i, (text, is_toxic) in enumerate(zip(texts, toxic, strict=True)):
         if is_toxic:
@@ -245,37 +273,37 @@ def mine(texts: list[str], toxic: list[bool]) -> tuple[list[str], list[str], lis
                 bad[key].add(i)
     # a stem of whose documents one word has most is but that word
     spent = {(w[:n], True) for (w, is_stem), v in bad.items() if not is_stem for n in STEMS if len(w) > n and len(v) > MOST_OF_STEM * len(bad.get((w[:n], True), ()))}
-    bad = {k: v for k, v in bad.items() if len(v) >= least and k not in spent}
+    bad = {k: v for k, v in bad.items() if len(v) >= LEAST_COVER and k not in spent}
     # clean texts are only asked for what is left, so nothing else of them is kept
     good: Counter = Counter()
     for text, is_toxic in zip(texts, toxic, strict=True):
         if not is_toxic:
             good.update(keys(text) & bad.keys())
-    usable = {k: v for k, v in bad.items() if len(v) / toxic_n >= LEAST_RATIO * (good[k] + 0.5) / clean_n}
-    chosen: list[tuple[str, bool]] = []
-    covered: set[int] = set()
-    while usable and len(chosen) < MOST_TERMS:
-        # a whole word before a stem that covers no more, a longer stem before a shorter
-        key = max(usable, key=lambda k: (len(usable[k]), not k[1], len(k[0]), k[0]))
-        new = set(usable[key])
-        chosen.append(key)
-        covered |= new
-        usable = {k: left for k, v in usable.items() if len(left := v - new) >= least}
-    # words that chosen terms overshadow in the cover but that are as bad by themselves
-    terms = [w for w, stem in chosen if not stem]
-    for (w, stem), v in bad.items():
-        if not stem and w not in terms and good[w, False] == 0 and len(v) >= 3 * least and len(terms) < MOST_TERMS and not any(w.startswith(s) for s, is_stem in chosen if is_stem):
-            terms.append(w)
-    stems = [w for w, stem in chosen if stem]
+    usable = {k: v for k, v in bad.items() if len(v) / max(1, toxic_n) >= (LEAST_STEM_RATIO if k[1] else LEAST_RATIO) * (good[k] + 0.5) / max(1, clean_n)}
+    usable = {k: v for k, v in usable.items() if by_chance(len(v), good[k], toxic_n, clean_n) * len(bad) <= MOST_BY_CHANCE}
+    # stems by greedy cover, a longer one before a shorter of as many documents: each must have words that earlier ones don't
+    stems: list[str] = []
+    left = {k[0]: v for k, v in usable.items() if k[1]}
+    while left:
+        stem = max(left, key=lambda s: (len(left[s]), len(s), s))
+        if len(left[stem]) < LEAST_COVER:
+            break
+        stems.append(stem)
+        new = set(left[stem])
+        left = {s: rest for s, v in left.items() if (rest := v - new) and not s.startswith(stem)}
     stems = [s for s in stems if not any(s != x and s.startswith(x) for x in stems)]
+    terms = sorted((k[0] for k in usable if not k[1] and not k[0].startswith(tuple(stems))), key=lambda w: (-len(usable[w, False]), w))
     near: set[str] = set()
+    exact = terms[MOST_FUZZY:]
     if terms:
-        probe = compile_lexicon(terms, [])
+        probe = compile_lexicon(terms, [], exact=exact)
         for text, is_toxic in zip(texts, toxic, strict=True):
             if not is_toxic:
                 low = text.lower()
                 near.update(low[b:e] for b, e, cost, _ in hits(probe, low) if cost)
-    return sorted(terms), sorted(stems), sorted(near)
+        crowded = [t for t in terms[:MOST_FUZZY] if sum(abs(len(t) - len(w)) <= edits(t) and distance(t, w) <= edits(t) for w in near) > MOST_NEAR]
+        exact = crowded + exact
+    return terms, sorted(stems), sorted(near), exact
 
 
 def fit(texts: list[str], labels: list[int]) -> Toxicity:
@@ -306,13 +334,20 @@ def fit(texts: list[str], labels: list[int]) -> Toxicity:
 
 
 def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Toxicity:
-    """Fits on labelled rows that aren't held out: FIT_TOXIC and FIT_CLEAN of them at most, the lowest by hash."""
+    """Fits on labelled rows that aren't held out: FIT_TOXIC and FIT_CLEAN of them at most, the lowest by hash, with FIT_BYTES of text at most."""
     rows = labels.select(F.col(key).alias("q_key"), F.col(label).cast("int").alias("q_label")).where(F.col("q_label").isNotNull() & F.col("q_key").isNotNull() & ~held_out(F.col("q_key")))
     order = F.xxhash64(F.col("q_key").cast("string"))
     some = rows.where("q_label = 1").orderBy(order, "q_key").limit(FIT_TOXIC).unionByName(rows.where("q_label = 0").orderBy(order, "q_key").limit(FIT_CLEAN))
-    found = documents.select(F.col(key).alias("q_key"), F.col(text).alias("q_text")).join(F.broadcast(some), "q_key").select("q_key", "q_text", "q_label").toPandas()
+    found = documents.select(F.col(key).alias("q_key"), F.coalesce(F.col(text), F.lit("")).alias("q_text")).join(F.broadcast(some), "q_key").select("q_key", "q_text", "q_label")
+    # a text that alone is too long, and texts by turns of both labels after that many bytes, are left out; written once, the bound is read from lengths alone
+    found = checkpointed(found.withColumns({"q_size": F.octet_length("q_text"), "q_hash": F.xxhash64(F.col("q_key").cast("string"), "q_text")}))
+    turns = found.select("q_label", "q_hash", "q_size").withColumn("q_turn", F.row_number().over(Window.partitionBy("q_label").orderBy("q_hash")))
+    running = turns.where(F.col("q_size") <= FIT_BYTES // 8).withColumn("q_sum", F.sum("q_size").over(Window.orderBy("q_turn", "q_label").rowsBetween(Window.unboundedPreceding, 0)))
+    last = running.where(F.col("q_sum") <= FIT_BYTES).agg(F.max("q_turn").alias("n")).first()["n"] or 0
+    kept = found.withColumn("q_turn", F.row_number().over(Window.partitionBy("q_label").orderBy("q_hash"))).where((F.col("q_turn") <= last) & (F.col("q_size") <= FIT_BYTES // 8))
+    found = kept.select("q_key", "q_text", "q_label").toPandas()
     found = found.sort_values(["q_key", "q_label"])
-    return fit(found.q_text.fillna("").tolist(), found.q_label.tolist())
+    return fit(found.q_text.tolist(), found.q_label.tolist())
 
 
 def score(documents: DataFrame, model: Toxicity, text: str = "text", into: str = "score") -> DataFrame:
