@@ -4,8 +4,9 @@ A text's UTF-8 bytes are cut into windows of ``STEPS`` bytes. One recurrent laye
 backwards; from both states every byte gets a probability for each language, and a document's probabilities are the
 means over all its bytes. All windows of many documents advance together, a byte a step.
 
-The network learns from windows of at most ``FIT_ROWS`` documents outside the held-out quarter, the lowest by a hash
-of their key. Language, source and key are no inputs of a prediction.
+The network learns from windows of about ``FIT_ROWS`` documents outside the held-out quarter, as many of each language
+(``LEAST_OF_LANGUAGE`` at least, if it has them), those of lowest hash of their key; documents without a letter are no
+sample. Of each it reads ``FIT_WINDOWS`` x ``STEPS`` characters from a place set by a hash. Language, source and key are no inputs of a prediction.
 
 Texts that are null or have no letter are "und" with score 0, as are all texts if nothing can be learned from.
 """
@@ -18,7 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,11 +28,10 @@ from framelake.session import share_code
 
 HIDDEN, STEPS = 8, 48
 #: The bounded sample: documents, and windows of each.
-FIT_ROWS, FIT_WINDOWS = 3000, 4
+FIT_ROWS, LEAST_OF_LANGUAGE, FIT_WINDOWS = 3000, 20, 4
 ROUNDS, BATCH, RATE = 500, 256, 0.02
 #: Windows that advance together; their states fit a core's cache.
 TOGETHER = 2048
-MOST_LANGUAGES = 256
 LETTER = re.compile(r"[^\W\d_]")
 PAD = 0x20
 
@@ -165,7 +165,7 @@ class Network:
 
 def fit(texts: list[str], languages: list[str], seed: int = 5) -> Network | None:
     """A network trained on windows of the texts, by Adam."""
-    names = sorted(set(languages))[:MOST_LANGUAGES]
+    names = sorted(set(languages))
     rng = np.random.default_rng(seed)
     windows, y = [], []
     for text, lang in zip(texts, languages, strict=True):
@@ -200,15 +200,18 @@ def fit(texts: list[str], languages: list[str], seed: int = 5) -> Network | None
 
 
 def train(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Network | None:
-    """Fits on at most FIT_ROWS rows with text and language that aren't held out."""
-    usable = documents.select(F.col(key).alias("q_key"), F.col(lang).alias("q_lang")).where(F.col("q_key").isNotNull() & F.col("q_lang").isNotNull() & ~held_out(F.col("q_key")))
-    some = usable.orderBy(F.xxhash64(F.col("q_key").cast("string")), "q_key").limit(FIT_ROWS)
-    found = documents.select(F.col(key).alias("q_key"), F.col(text).alias("q_text")).where(F.col("q_text").isNotNull()).join(F.broadcast(some.dropDuplicates(["q_key"])), "q_key")
-    # of each text only so much as its windows need, from a place set by its hash
+    """Fits on a sample of rows with text and language that aren't held out, as many of each language."""
     n = FIT_WINDOWS * STEPS
+    # of each text only so much as its windows need, from a place set by its hash
     at = F.pmod(F.xxhash64("q_text"), F.greatest(F.lit(1), F.length("q_text") - n)) + 1
-    rows = sorted(found.select("q_key", F.substring("q_text", at.cast("int"), F.lit(n)).alias("t"), "q_lang").collect())
-    return fit([r["t"] for r in rows], [r["q_lang"] for r in rows])
+    usable = documents.select(F.col(key).alias("q_key"), F.col(lang).alias("q_lang"), F.col(text).alias("q_text")).where(F.col("q_key").isNotNull() & F.col("q_lang").isNotNull() & ~held_out(F.col("q_key")))
+    usable = usable.select("q_key", "q_lang", F.substring("q_text", at.cast("int"), F.lit(n)).alias("q_part")).where(F.col("q_part").rlike(r"\p{L}"))
+    languages = documents.select(lang).where(F.col(lang).isNotNull()).distinct().count()
+    most = max(LEAST_OF_LANGUAGE, FIT_ROWS // max(1, languages))
+    # tasks keep the first of each language before anything is shuffled
+    order = Window.partitionBy("q_lang").orderBy(F.xxhash64(F.col("q_key").cast("string")), "q_key", "q_part")
+    rows = sorted(usable.withColumn("q_rank", F.row_number().over(order)).where(F.col("q_rank") <= most).select("q_key", "q_part", "q_lang").collect())
+    return fit([r["q_part"] for r in rows], [r["q_lang"] for r in rows])
 
 
 def predict(documents: DataFrame, net: Network | None, text: str = "text", into: str = "lang_pred", score: str = "score") -> DataFrame:
