@@ -1,7 +1,6 @@
 """SentencePiece encoding and decoding by a max-plus scan over chunks.
 
-A text of up to ``CHUNK`` characters is encoded at once. A longer one is cut into chunks at fixed offsets, whatever
-stands there. The state at a cut is the piece over it: where it ends and, for byte-pair models, which it is. Each
+A text of more than ``CHUNK`` characters is cut into chunks at fixed offsets, whatever stands there. The state at a cut is the piece over it: where it ends and, for byte-pair models, which it is. Each
 chunk gives a transfer matrix: for every state at its start and every state at its end the best score of a way
 between them, minus infinity (no entry) if there is none. Ways of byte-pair models score 0, as only one way through
 the whole text exists; those of unigram models score the sum of their pieces. Matrices combine by (max, +), which is
@@ -12,6 +11,10 @@ A unit (spaces and the word after them) ends where no piece can cross, so a chun
 rank one: a column up to the first place and a row from the last. Only a chunk without one needs its whole
 matrix, as in texts without spaces.
 
+The chunks of a text of up to ``GIANT`` characters stay in one task, which learns the words of all texts of a batch
+together; there a text with a chunk without a unit's end is encoded as one, whole matrices being the dearer way. A
+giant text's larger chunks go to many tasks.
+
 Null texts give null ids, empty ones no ids. Texts are encoded by content: repeated rows get equal ids.
 """
 
@@ -20,6 +23,7 @@ from __future__ import annotations
 import pickle
 import struct
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -33,7 +37,11 @@ from framelake.llm.common import release, slices, table
 from framelake.llm.pieces import Model, Words, default_path, load, units, words
 from framelake.session import share_code
 
-CHUNK = 1 << 16
+CHUNK = 1 << 12
+#: Characters over which a text's chunks are dealt to tasks, and of such a chunk.
+GIANT, GIANT_CHUNK = 1 << 18, 1 << 16
+#: Characters of its neighbours that a chunk carries: pieces are shorter.
+AROUND = 64
 
 State = tuple[int, str]  # characters of the piece beyond the cut, the piece ("" in unigram models, and at a unit's end)
 Matrix = dict[State, dict[State, float]]
@@ -68,6 +76,22 @@ class Encoder:
         word = self.word.__getitem__
         return [None if t is None else b"".join(map(self._pack, units(c)) if p is None else map(word, p)) for t, c, p in zip(texts, clean, parts, strict=True)]
 
+    def encode_scanned(self, texts: list[str | None], chunk: int = CHUNK) -> list[bytes | None]:
+        """The same by matrices, scan and traces for every text of more than ``chunk`` characters whose chunks all have a unit's end."""
+        flat: list[str | None] = []
+        plans: list[tuple[int, list[Fragment]]] = []
+        for t in texts:
+            parts = fragments(t, chunk) if t is not None and len(t) > chunk else []
+            if any(self._breaks(x.text, x.start, x.stop)[0] < 0 for x in parts):
+                parts = []
+            plans.append((len(flat), parts))
+            flat += [self.inner(x.text, x.start, x.stop) for x in parts] or [t]
+        known, out = self.encode_all(flat), []
+        for at, parts in plans:
+            states = scan([self.matrix(x.text, x.start, x.stop) for x in parts]) if parts else []
+            out.append(b"".join(self.trace(x.text, x.start, x.stop, states[k], states[k + 1], known[at + k]) for k, x in enumerate(parts)) if parts else known[at])
+        return out
+
     def encode(self, text: str) -> bytes:
         """A text's ids as little-endian 32-bit integers."""
         return self.encode_all([text])[0]
@@ -222,6 +246,24 @@ def encode_long(encoder: Encoder, text: str, chunk: int = CHUNK) -> bytes:
     return b"".join(encoder.trace(text, a, b, states[k], states[k + 1]) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)))
 
 
+@dataclass(frozen=True)
+class Fragment:
+    """A chunk, ``text[start:stop]``, with a little of its neighbours."""
+
+    text: str
+    start: int
+    stop: int
+
+
+def fragments(text: str, chunk: int) -> list[Fragment]:
+    text = " " + text.replace("▁", " ")
+    cuts, out = cuts_of(text, chunk), []
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        left = max(0, a - AROUND)
+        out.append(Fragment(text[left : b + AROUND], a - left, b - left))
+    return out
+
+
 def cuts_of(text: str, chunk: int) -> list[int]:
     """Offsets of the cuts; one inside a run of spaces moves to the run's start, where a unit begins."""
     cuts = [0]
@@ -254,7 +296,9 @@ def decode_ids(model: Model, ids: bytes | np.ndarray) -> str:
     return b"".join(map(model.surface.__getitem__, numbers.tolist())).decode("utf-8", "replace")[1:]
 
 
-def encode(documents: DataFrame, text: str = "text", into: str = "ids", path: str | None = None, chunk: int = CHUNK, kind: str = "bpe", check: str | None = None) -> DataFrame:
+def encode(
+    documents: DataFrame, text: str = "text", into: str = "ids", path: str | None = None, chunk: int = CHUNK, kind: str = "bpe", check: str | None = None, giant_chunk: int = GIANT_CHUNK, giant: int = GIANT
+) -> DataFrame:
     """Adds ``into``, the text's ids as array<int>, and with ``check`` whether they decode to the text (its "▁" as spaces); columns of those names are replaced."""
     share_code(documents.sparkSession)
     path = path or default_path()
@@ -264,23 +308,23 @@ def encode(documents: DataFrame, text: str = "text", into: str = "ids", path: st
     schema = T.StructType([*documents.select(*keep).schema.fields, *fields])
     at = keep.index(text)
 
-    def at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, kind)
         for batch in slices(batches, text, 8 << 20):
             texts = batch.column(at).to_pylist()
-            found = own.encode_all(texts)
+            found = own.encode_scanned(texts, chunk)
             same = [pa.array([None if t is None else decode_ids(own.model, x) == t.replace("▁", " ") for t, x in zip(texts, found, strict=True)], pa.bool_())] if check else []
             yield pa.RecordBatch.from_arrays([*batch.columns, _ids(found), *same], names=[*keep, *new])
         release(own.word)
 
     rows = documents.select(*keep)
-    small = rows.where(F.col(text).isNull() | (F.length(text) <= chunk)).mapInArrow(at_once, schema)
-    giant = rows.where(F.length(text) > chunk).withColumn("q_key", F.sha2(text, 256))
-    ids = encode_chunks(giant.select("q_key", F.col(text).alias("q_text")).dropDuplicates(["q_key"]), path, chunk, kind)
-    giant = giant.join(ids, "q_key").withColumnRenamed("q_ids", into)
+    small = rows.where(F.col(text).isNull() | (F.length(text) <= giant)).mapInArrow(inside, schema)
+    large = rows.where(F.length(text) > giant).withColumn("q_key", F.sha2(text, 256))
+    ids = encode_chunks(large.select("q_key", F.col(text).alias("q_text")).dropDuplicates(["q_key"]), path, giant_chunk, kind)
+    large = large.join(ids, "q_key").withColumnRenamed("q_ids", into)
     if check:
-        giant = decode(giant, into, "q_decoded", path, kind).withColumn(check, F.col("q_decoded") == F.replace(F.col(text), F.lit("▁"), F.lit(" ")))
-    return small.unionByName(giant.select(*keep, *new))
+        large = decode(large, into, "q_decoded", path, kind).withColumn(check, F.col("q_decoded") == F.replace(F.col(text), F.lit("▁"), F.lit(" ")))
+    return small.unionByName(large.select(*keep, *new))
 
 
 def encode_chunks(texts: DataFrame, path: str, chunk: int, kind: str) -> DataFrame:
@@ -289,24 +333,12 @@ def encode_chunks(texts: DataFrame, path: str, chunk: int, kind: str) -> DataFra
     What one text gathers in a task is its chunks' matrices (a few KB for each 65,536 characters) and, at the end,
     its ids, which make one value of the result.
     """
-    around = 64
-
-    def fragments(pdf: pd.DataFrame) -> Iterator[tuple]:
-        for key, text in zip(pdf.q_key, pdf.q_text, strict=True):
-            text = " " + text.replace("▁", " ")
-            cuts = cuts_of(text, chunk)
-            for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                left, right = max(0, a - around), min(len(text), b + around)
-                yield key, k, text[left:right], a - left, b - left, left == 0, right == len(text)
-
-    columns = ["q_key", "q_k", "q_part", "q_a", "q_b", "q_first", "q_last"]
-
     def split(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            for i in range(len(pdf)):
-                yield pd.DataFrame(list(fragments(pdf.iloc[i : i + 1])), columns=columns)
+            for key, text in zip(pdf.q_key, pdf.q_text, strict=True):
+                yield pd.DataFrame([(key, k, x.text, x.start, x.stop) for k, x in enumerate(fragments(text, chunk))], columns=["q_key", "q_k", "q_part", "q_a", "q_b"])
 
-    chunks = texts.mapInPandas(split, "q_key string, q_k int, q_part string, q_a int, q_b int, q_first boolean, q_last boolean")
+    chunks = texts.mapInPandas(split, "q_key string, q_k int, q_part string, q_a int, q_b int")
     chunks = chunks.repartition(F.col("q_key"), F.col("q_k"))
 
     def matrices(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
