@@ -3,7 +3,7 @@
 A document's histograms of character classes and of common words are held against a reference histogram for each
 language, by the Jensen-Shannon distance (square root of the divergence to base 2, 0 to 1). References are summed
 over all documents with a language; the languages are few, so the table of references has a bounded size:
-languages x (classes + common words), at most ``MOST_LANGUAGES`` languages by number of words. A document is kept
+languages x (classes + common words), under a kilobyte for each language. A document is kept
 if it passes the base rules and, by either histogram, comes near enough to some language's reference. Documents under ``LEAST_CHARS``
 characters or ``LEAST_WORDS`` words are too short for their histograms to say anything and pass the method.
 
@@ -40,7 +40,6 @@ COMMON_WORDS = {
 MOST_CHAR_DISTANCE, MOST_WORD_DISTANCE = 0.3, 0.6
 LEAST_CHARS, LEAST_WORDS = 200, 40
 LEAST_BASE_WORDS, MOST_REPEATED = 10, 20
-MOST_LANGUAGES = 256
 VOCABULARY = sorted({w for words in COMMON_WORDS.values() for w in words})
 
 
@@ -146,8 +145,7 @@ def references(found: DataFrame, lang: str = "lang") -> DataFrame:
     one = found.where(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).agg(F.sum("n_words").alias("total"), *sums("q_chars", N_CLASSES), *sums("q_words", len(VOCABULARY)))
     array = lambda c, n: F.array(*(F.col(f"{c}{i}") for i in range(n)))
     rows = one.select("lang", "total", shares(array("q_chars", N_CLASSES)).alias("chars"), shares(array("q_words", len(VOCABULARY)), F.col("total")).alias("words"))
-    top = rows.orderBy(F.desc("total"), "lang").limit(MOST_LANGUAGES)
-    return top.agg(F.array_sort(F.collect_list(F.struct("lang", "chars", "words"))).alias("refs"))
+    return rows.agg(F.array_sort(F.collect_list(F.struct("lang", "chars", "words"))).alias("refs"))
 
 
 def judge(found: DataFrame, refs: DataFrame) -> DataFrame:
