@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -18,9 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder of spark.checkpoint.dir; only without one (tests) is a local folder set."""
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints")
+    """Use the shared folder of spark.checkpoint.dir; a session in one process (tests) may do without and gets a folder of its own."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isDefined():
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
