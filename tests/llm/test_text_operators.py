@@ -245,6 +245,21 @@ def test_chunked_scan_is_whole(library):
         assert ids == library.encode(t)
 
 
+def test_scan_inside_a_batch(library):
+    """Texts of several chunks, of one, without a unit's end and null, together."""
+    encoder, rng = sentencepiece_scan.encoder(pieces.default_path()), random.Random(8)
+    texts = [*some_texts(9, 40), None, "", "thing" * 90, " " * 200, "a " * 300, *(" ".join(rng.choice(["the", "there", "ninth", "é", "日本", " "]) for _ in range(rng.randint(50, 400))) for _ in range(30))]
+    assert sum(t is not None and len(t) > 70 for t in texts) > 40
+    for chunk in (70, 130, 4096):
+        found = encoder.encode_scanned(texts, chunk)
+        assert [None if x is None else np.frombuffer(x, "<i4").tolist() for x in found] == [None if t is None else library.encode(t) for t in texts]
+
+
+def test_the_query_scans_an_ordinary_share_of_texts(spark):
+    long = [r.n for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.length("text").alias("n")).collect()]
+    assert sum(n > sentencepiece_scan.CHUNK for n in long) > 0.1 * len(long)
+
+
 def test_matrices_combine_associatively():
     encoder = sentencepiece_scan.encoder(pieces.default_path())
     t = " " + "internationalisation" * 20
@@ -262,10 +277,12 @@ def test_unigram_scan_has_the_best_score():
         assert encoder.encode(t) == sentencepiece_scan.encode_long(encoder, t, 70)
 
 
-def test_encode_table(spark, library):
+@pytest.mark.parametrize("giant", [10_000, 1_000_000])
+def test_encode_table(spark, library, giant):
+    """Long texts' chunks in many tasks, and in one."""
     texts = [*ODD, "long word " * 3000, "nospace" * 3000, "long word " * 3000]
     df = frame(spark, texts, ids=["clash"] * len(texts))
-    out = {r.doc_id: r for r in sentencepiece_scan.decode(sentencepiece_scan.encode(df, chunk=4000, check="same")).collect()}
+    out = {r.doc_id: r for r in sentencepiece_scan.decode(sentencepiece_scan.encode(df, chunk=4000, giant=giant, giant_chunk=4000, check="same")).collect()}
     for i, t in enumerate(texts):
         if t is None:
             assert out[i].ids is None and out[i].decoded is None and out[i].same is None
@@ -303,6 +320,47 @@ def test_gradient():
             assert abs((values[0] - values[1]) / 2e-2 - g[at]) < 1e-4
 
 
+def test_probabilities_are_brute_forces():
+    """Byte by byte, in plain Python, the gates written out."""
+    net = language_id.fit(["the cat and the dog " * 9, "der hund und die katze " * 9, "le chien et la chatte " * 9] * 20, ["en", "de", "fr"] * 20)
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+
+    def states(cell, data):
+        rows, weights, bias = (np.asarray(c, float) for c in cell)
+        n = weights.shape[1]
+        h, out = np.zeros(n), []
+        for b in data:
+            z = sigmoid(rows[:n, b] + weights[:n] @ h)
+            r = sigmoid(rows[n : 2 * n, b] + weights[n : 2 * n] @ h)
+            c = np.tanh(rows[2 * n :, b] + r * (weights[2 * n :] @ h + bias[:, 0]))
+            h = z * h + (1 - z) * c
+            out.append(h)
+        return out
+
+    def brute(text):
+        total = np.zeros(len(net.languages))
+        for a in range(0, len(text), language_id.STEPS):
+            part = text[a : a + language_id.STEPS]
+            window = part.ljust(language_id.STEPS)
+            both = [np.concatenate(x) for x in zip(states(net.cells[0], window), states(net.cells[1], window[::-1])[::-1], strict=True)]
+            for x in both[: len(part)]:
+                e = np.exp(net.out[0].astype(float) @ x + net.out[1][:, 0])
+                total += e / e.sum()
+        return total / len(text)
+
+    texts = [t.encode() for t in ("the", "und die Katze schläft " * 5, "x" * 48, "la chatte et le chien, " * 30, "é")]
+    assert np.allclose(net.probabilities(texts), [brute(t) for t in texts], atol=1e-4)
+
+
+def test_rare_languages_are_learned(spark):
+    """Languages that a sample of all rows would hardly hold, among them over 256 that have a row each."""
+    rows = [(i, "the cat and the dog " * 3, "en") for i in range(4000)] + [(10_000 + i, "der hund und die katze " * 3, "de") for i in range(150)]
+    net = language_id.train(spark.createDataFrame([*rows, (1, None, "none"), (2, "12 34", "digits")], "doc_id long, text string, lang string"))
+    assert net.languages == ["de", "en"] and net.probabilities([b"der hund und die katze"])[0].argmax() == 0
+    many = language_id.train(spark.createDataFrame([(i, f"text {i}", f"l{i:03}") for i in range(900)], "doc_id long, text string, lang string"))
+    assert len(many.languages) > 256
+
+
 def test_language_accuracy_and_odd_texts(spark):
     documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     net = language_id.train(documents)
@@ -382,6 +440,51 @@ def test_toxicity_of_odd_texts(spark):
     assert toxicity.fit(["a"], [0]).score("moron") == 0
 
 
+def test_scores_are_brute_forces():
+    """Every word against every term, by edit distance; the context by words before and after."""
+    rng, clean = random.Random(2), "plain words make a calm text about nothing much here today".split()
+    bad = ["moron", "worthless", "scumbag"]
+    texts = [" ".join(rng.choice(clean) for _ in range(20)) for _ in range(80)]
+    toxic = [f"{' '.join(rng.choice(clean) for _ in range(9))} {rng.choice(bad)} {rng.choice(['', 'said moron here', 'wortless', 'worhtless'])}" for _ in range(60)]
+    model = toxicity.fit([*texts, *toxic], [0] * 80 + [1] * 60)
+    assert set(bad) <= {*model.terms} and not model.stems
+
+    def brute(text):
+        counts, words = [0, 0, 0, 0], [*toxicity.TOKEN.finditer(text.lower())]
+        for m in words:
+            near = [d for t in model.terms if (d := distance(m[0], t)) <= (0 if t in model.exact else toxicity.edits(t))]
+            if not near or min(near) and m[0] in model.clean:
+                continue
+            counts[3 if toxicity.quoted(text.lower(), m.start(), m.end()) else 1 if min(near) else 0] += 1
+        x = [1.0, *np.log1p(counts), min(1.0, 20 * sum(counts[:3]) / max(1, text.count(" ") + 1))]
+        return 1 / (1 + np.exp(-np.clip(np.dot(model.weights, x), -30, 30)))
+
+    for t in [*texts[:5], *toxic[:20], "you wortless moron", "he said moron", "a « moron » here", "", "calm", "morons moronic mron MORON"]:
+        assert abs(model.score(t) - brute(t)) < 1e-9, t
+
+
+def test_lexicons_of_small_samples(spark):
+    """A few dozen toxic rows teach the terms; words that chance puts there are no terms."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(4, 6)))
+    common = [word() for _ in range(1500)]
+    text = lambda: " ".join(rng.choice(common) for _ in range(120))
+    bad = ["scoundrel", "villain", "wretch"]
+    terms, stems, *_ = toxicity.mine([*(text() for _ in range(300)), *(f"{text()} {rng.choice(bad)} {rng.choice(bad)}" for _ in range(36))], [False] * 300 + [True] * 36)
+    assert sorted(terms) == bad and not stems
+
+
+def test_bytes_sent_to_fit_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FIT_BYTES", 8000)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels: seen.append((texts, labels)))
+    rows = [(i, "x" * (5000 if i % 10 == 0 else 100), i % 4 == 0) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic boolean")
+    toxicity.train(df.select("doc_id", "text"), df.select("doc_id", F.col("toxic").cast("int").alias("toxic")))
+    ((texts, labels),) = seen
+    assert 4000 < sum(map(len, texts)) <= 8000 and max(map(len, texts)) == 100 and {*labels} == {0, 1}
+
+
 def test_quality_sql_gives_the_same_rows(spark):
     import duckdb
 
