@@ -339,12 +339,14 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     order = F.xxhash64(F.col("q_key").cast("string"))
     some = rows.where("q_label = 1").orderBy(order, "q_key").limit(FIT_TOXIC).unionByName(rows.where("q_label = 0").orderBy(order, "q_key").limit(FIT_CLEAN))
     found = documents.select(F.col(key).alias("q_key"), F.coalesce(F.col(text), F.lit("")).alias("q_text")).join(F.broadcast(some), "q_key").select("q_key", "q_text", "q_label")
-    # a text that alone is too long, and texts by turns of both labels after that many bytes, are left out; written once, the bound is read from lengths alone
+    # written once; the bound is found from lengths alone. A text that takes an eighth of it is left out
     found = checkpointed(found.withColumns({"q_size": F.octet_length("q_text"), "q_hash": F.xxhash64(F.col("q_key").cast("string"), "q_text")}))
     turns = found.select("q_label", "q_hash", "q_size").withColumn("q_turn", F.row_number().over(Window.partitionBy("q_label").orderBy("q_hash")))
     running = turns.where(F.col("q_size") <= FIT_BYTES // 8).withColumn("q_sum", F.sum("q_size").over(Window.orderBy("q_turn", "q_label").rowsBetween(Window.unboundedPreceding, 0)))
-    last = running.where(F.col("q_sum") <= FIT_BYTES).agg(F.max("q_turn").alias("n")).first()["n"] or 0
-    kept = found.withColumn("q_turn", F.row_number().over(Window.partitionBy("q_label").orderBy("q_hash"))).where((F.col("q_turn") <= last) & (F.col("q_size") <= FIT_BYTES // 8))
+    last = running.where(F.col("q_sum") <= FIT_BYTES).agg(F.max(F.struct("q_turn", "q_label")).alias("x")).first()["x"] or (0, 0)
+    # toxic and clean rows in turn, as far as the last that fits
+    inside = (F.col("q_turn") < last[0]) | (F.col("q_turn") == last[0]) & (F.col("q_label") <= last[1])
+    kept = found.withColumn("q_turn", F.row_number().over(Window.partitionBy("q_label").orderBy("q_hash"))).where(inside & (F.col("q_size") <= FIT_BYTES // 8))
     found = kept.select("q_key", "q_text", "q_label").toPandas()
     found = found.sort_values(["q_key", "q_label"])
     return fit(found.q_text.tolist(), found.q_label.tolist())
