@@ -3,10 +3,12 @@
 Markup is stripped into lines, one for each block element. Elements that can't hold the article (scripts, menus,
 headers, footers, sidebars, notices, adverts, forms, reader comments) become runs of empty lines. The lengths of
 the lines' unlinked text are summed over sliding windows; where the sums rise from zero a segment surges, where
-they fall back to zero it dives. Segments inside a page's article are kept; on pages without one, the segments
-with at least as much unlinked text as linked.
+they fall back to zero it dives. So ``WINDOW`` or more lines of links alone, marked or not, end a segment and are
+left out, fewer stay inside it; links in an article's paragraphs are its text. A segment is kept if enough of its text is unlinked. On a page with an article only
+the lines inside it have lengths: outside an article, class and id words of any kind name furniture; inside, only
+elements made for it and a few exact names do, as words like "related" or "discussion" may name its own sections.
 
-Null or empty pages, and pages without text, give an empty string. Every other column is left alone.
+Null or empty pages, and pages without unlinked text, give an empty string. Every other column is left alone.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ from framelake.llm.common import table
 from framelake.session import share_code
 
 WINDOW = 3
-#: On pages without an article element: least share of a segment's characters that are unlinked.
-LEAST_UNLINKED = 0.5
+#: Least share of a segment's characters that are unlinked, on pages without an article element and inside one.
+LEAST_UNLINKED, LEAST_INSIDE = 0.5, 0.25
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"'<]|"[^"<]*+"|'[^'<]*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?][^>]*+>""", re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(\bhidden\b)""")
@@ -32,8 +34,9 @@ RAW = frozenset({"script", "style", "textarea", "title", "noscript", "iframe", "
 DROPPED = RAW | frozenset({"nav", "footer", "aside", "form", "button", "select", "svg", "canvas", "object", "audio", "video", "map", "dialog", "menu"})
 MAIN = frozenset({"article", "main"})
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
-#: Their text counts as unlinked.
+#: Their text counts as unlinked, of the latter inside an article.
 HEADINGS = frozenset({"h1", "h2", "h3", "h4", "h5", "h6"})
+PROSE = frozenset({"p", "blockquote", "figcaption", "dd", "pre"})
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words of class and id that name page furniture, and the roles that do.
 FURNITURE = frozenset(
@@ -42,6 +45,11 @@ FURNITURE = frozenset(
     "share sharing social related recommended recommendations widget toolbar pagination pager login search copyright disclaimer".split()
 )
 TALK = frozenset("comment comments disqus discussion respond reply replies".split())
+#: Whole class names and ids that name furniture inside an article too.
+EXACT = frozenset(
+    "ad ads advert adverts advertisement adsbygoogle sponsored promo sidebar breadcrumb breadcrumbs cookie-notice cookie-banner newsletter newsletter-signup popup modal "
+    "share share-buttons social-share comments comment-list comment-form disqus_thread pagination".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 KEPT = frozenset({"html", "body", "main", "head"})
 
@@ -61,7 +69,11 @@ def _furniture(tag: str, attributes: str, inside: bool) -> bool:
     for name in ("class", "id"):
         for part in found.get(name, "").split():
             words = _words(part)
-            if not words & {"has", "with", "no", "without"} and words & (TALK if tag == "article" else FURNITURE | ({"header"} if not inside else set())):
+            if inside and tag != "article":
+                if part.lower() in EXACT:
+                    return True
+                continue
+            if not words & {"has", "with", "no", "without"} and words & (TALK if tag == "article" else FURNITURE | {"header"}):
                 return True
     return False
 
@@ -97,7 +109,7 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
     buffer: list[str] = []
     unlinked = 0
     link_until = heading_until = main_until = -1
-    gap = has_main = False
+    gap = has_main = prose = False
     at = k = 0
 
     def flush(inside: bool) -> None:
@@ -118,7 +130,7 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
 
     while k < len(spans):
         start, end, name, attributes, closing = spans[k]
-        take(page[at:start], heading_until < k <= link_until)
+        take(page[at:start], not prose and heading_until < k <= link_until)
         at = end
         if name:
             if not closing and name not in VOID and _furniture(name, attributes, k < main_until) and (k in close or name in RAW):
@@ -129,6 +141,7 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
                     at = spans[k][1]
             elif name in BLOCKS:
                 flush(k <= main_until)
+                prose = not closing and name in PROSE and k <= main_until
                 if not closing and name in HEADINGS:
                     heading_until = close.get(k, k)
                 if not closing and k >= main_until and (name in MAIN or re.search(r"""role\s*=\s*["']?main|articleBody""", attributes)):
@@ -143,7 +156,7 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool, bool]], bool]:
     return out, has_main
 
 
-def main_text(page: str | None, window: int = WINDOW, least_unlinked: float = LEAST_UNLINKED) -> str:
+def main_text(page: str | None, window: int = WINDOW, least_unlinked: float = LEAST_UNLINKED, least_inside: float = LEAST_INSIDE) -> str:
     """The page's main text, blocks joined by an empty line."""
     if not page:
         return ""
@@ -154,8 +167,7 @@ def main_text(page: str | None, window: int = WINDOW, least_unlinked: float = LE
         if gap:
             lengths += [0] * window
             back += [-1] * window
-        # an article's links are its text
-        lengths.append(len(text) if inside else 0 if has_main else unlinked)
+        lengths.append(unlinked if inside or not has_main else 0)
         back.append(i)
     sums = [sum(lengths[max(0, i - window + 1) : i + 1]) for i in range(len(lengths) + window)]
     segments, surge = [], None
@@ -167,10 +179,10 @@ def main_text(page: str | None, window: int = WINDOW, least_unlinked: float = LE
             surge = None
     if surge is not None:
         segments.append((surge, len(lengths) - 1))
-    kept = []
+    kept, least = [], least_inside if has_main else least_unlinked
     for surge, dive in segments:
         own = [found[back[i]] for i in range(surge, dive + 1) if back[i] >= 0]
-        if has_main or sum(x[1] for x in own) >= least_unlinked * sum(len(x[0]) for x in own):
+        if sum(x[1] for x in own) >= least * sum(len(x[0]) for x in own):
             kept += [x[0] for x in own if not has_main or x[3]]
     return "\n\n".join(kept)
 
