@@ -35,6 +35,55 @@ def test_article_without_furniture():
     assert html_extract.main_text(page) == "Head & tail\n\nOne two three.\n\nFour five six\n\nSeven."
 
 
+def brute_segments(lines, window, least):
+    """Of (text, linked) lines those between surges and dives, from the definition: a line is inside a segment if every window of lines that
+    has it, or lies between it and the segment's first line, has unlinked text."""
+    n = len(lines)
+    lengths = [0 if linked else len(text) for text, linked in lines]
+    full = [any(lengths[j] for j in range(max(0, i - window + 1), min(i + 1, n))) for i in range(n + window)]
+    out, i = [], 0
+    while i < n:
+        if not full[i]:
+            i += 1
+            continue
+        j = i
+        while j < len(full) and full[j]:
+            j += 1
+        own = range(i, min(j - window, n - 1) + 1)
+        if sum(lengths[k] for k in own) >= least * sum(len(lines[k][0]) for k in own):
+            out += [lines[k][0] for k in own]
+        i = j
+    return out
+
+
+@pytest.mark.parametrize("article", [True, False])
+def test_distribution_is_brute_forces(article):
+    """Unmarked paragraphs and link lines in any order: surges and dives alone tell them apart."""
+    rng, changed = random.Random(12), 0
+    for _ in range(300):
+        lines = []
+        for _ in range(rng.randint(0, 6)):
+            lines += [("link " * rng.randint(1, 9) + "end", True) for _ in range(rng.randint(0, 6))]
+            lines += [("some words " * rng.randint(1, 9) + "end", False) for _ in range(rng.randint(0, 3))]
+        body = "".join(f"<div>{f'<a href=x>{t}</a>' if linked else t}</div>" for t, linked in lines)
+        page = f"<html><body>{f'<article>{body}</article>' if article else body}</body></html>"
+        want = brute_segments(lines, html_extract.WINDOW, html_extract.LEAST_INSIDE if article else html_extract.LEAST_UNLINKED)
+        assert html_extract.main_text(page) == "\n\n".join(want)
+        changed += want != [t for t, _ in lines]
+    assert changed > 150  # without the distribution these would be other texts
+
+
+def test_sections_of_an_article_stay():
+    page = '<article><p>one</p><div class="related-work">two</div><section id="discussion">three</section><p class="notice-board">four</p><div class="ad">no</div><div id="comments">no</div><p>five</p></article>'
+    assert html_extract.main_text(page) == "one\n\ntwo\n\nthree\n\nfour\n\nfive"
+
+
+def test_unmarked_menus_inside_an_article_go():
+    menu = "".join(f"<div><a href={i}>Section {i}</a></div>" for i in range(5))
+    page = f"<article>{menu}<h1><a href=0>Title</a></h1><p>First <a href=1>linked words</a> and others.</p><div><a href=2>One linked line</a></div><p>Second.</p>{menu}</article>"
+    assert html_extract.main_text(page) == "Title\n\nFirst linked words and others.\n\nOne linked line\n\nSecond."
+
+
 def test_pages_without_article():
     page = '<body><ul id="menu"><li><a href=1>One</a><li><a href=2>Two</a></ul><div><p>This paragraph is long enough to be the text of the page, surely.</p><p>Short.</p></div><div class="ad">Buy now, a very long advert that says very little about a lot of things.</div></body>'
     assert html_extract.main_text(page) == "This paragraph is long enough to be the text of the page, surely.\n\nShort."
