@@ -8,7 +8,8 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 #: Words are runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -36,6 +37,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: A table is broadcast if it has been counted to hold so many values at most (some MB).
+MOST_BROADCAST = 500_000
+
+
+def counted(df: DataFrame, values: Column | None = None) -> DataFrame:
+    """``df`` written, and marked for broadcast if it is small: its rows, or the sum of ``values`` over them, are counted while it is written."""
+    told = Observation()
+    out = checkpointed(df.observe(told, F.coalesce(F.sum(F.lit(1) if values is None else values), F.lit(0)).alias("n")))
+    return F.broadcast(out) if told.get["n"] <= MOST_BROADCAST else out
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -11,8 +11,8 @@ linked if the probability Jaccard similarity or the plain Jaccard similarity of
 Copies (equal texts) are one text from the start, so a group of copies never meets itself. In a bucket every text is
 first held against one hub, the text with the least hash for that band; links make components. A small bucket that
 still has several components is then compared pair by pair across them. Texts of large buckets are held against the
-consensus of their crowd instead, see ``dense_links``: that leaves out no link between texts that share a bucket, and
-never forms all pairs of a group. Sketches of two 64-bit words, a bit for each register, drop pairs that are far from
+consensus of their crowd instead, see ``dense_links``: that leaves out no link between texts that share a bucket.
+Sketches of two 64-bit words, a bit for each register, drop pairs that are far from
 similar by both sets of registers before texts are fetched.
 
 Documents without words (null, empty, blank) have no shingles; each is a class of its own, as are rows without a key. A class is named by its
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelake.llm.common import WORD, checkpointed, release, slices, table
+from framelake.llm.common import WORD, checkpointed, counted, release, slices, table
 from framelake.session import share_code
 
 WORDS, SIMILAR = 5, 0.8
@@ -353,9 +353,12 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
       more. Pairs for which that would do are linked for sure; as it falls in m and n, holding each text against those
       of the crowd that no other beats in both joins all that such pairs join;
     - other similar texts share 0.8 n - j shingles beyond H at least. Any two sets in one order that share t elements
-      share one of their first size - t + 1: of a text's shingles beyond H the first 0.2 n + 1 will do;
+      share one of their first size - t + 1: of a text's shingles beyond H the first 0.2 n + 1 will do. The order is
+      that of the crowd, from the rarest shingle on, so that frequent ones hardly ever come among the first;
     - or they share none beyond H, then j is 0.8 n or more for both, and they lack m - (j' - 0.8 n') of H in common at
-      least: of the shingles that such a text lacks, the first 0.25 n + 1 will do.
+      least: of the shingles that such a text lacks, the first 0.25 n + 1 will do, from the one on that fewest lack.
+
+    Of the texts that meet by a shingle, those outside the largest component among them are held against the others.
 
     Weighted links need at least one text that repeats shingles; crowds without one are done. By weights, normalised to 1
     for each text, similar texts share 0.8 at least (the sum of the lesser weights). Shingles that over MOST_PAIRED texts of
@@ -367,7 +370,10 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
       same profile). It falls in a: a text linked so to any text of a profile is linked to the profile's text of least a.
       So each text is held against those alone; of the pairs, one text at least is outside the crowd's largest component.
 
-    Only where most texts of a crowd differ in profile and component does that come near all its pairs. Crowds are found over the buckets' stars, whatever their texts' similarity.
+    Only where most texts of a crowd differ in profile and component, or in component though they share their rarest
+    shingles, does that come near all its pairs. Crowds are found over the buckets' stars, whatever their texts'
+    similarity. What is known of a crowd (its size, consensus, front, largest component) is a row or a few: it is
+    broadcast where its counted size allows, so that a crowd's texts stay where they are; else Spark splits the join.
     """
     share_code(many.sparkSession)
     hubs = many.groupBy("key").agg(F.min("id").alias("hub"))
@@ -385,13 +391,20 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("crowd"), held, weights, repeats], names=["id", "crowd", "s", "w", "repeats"])
 
     held = checkpointed(texts.join(members.select("id", "crowd"), "id").mapInArrow(sets, "id long, crowd long, s array<long>, w array<int>, repeats boolean"))
-    sizes = held.groupBy("crowd").agg(F.count("*").alias("size"))
-    counted = held.select("crowd", F.explode("s").alias("g")).groupBy("crowd", "g").agg(F.count("*").alias("n"))
-    consensus = counted.join(sizes, "crowd").where("n * 2 >= size").groupBy("crowd").agg(F.array_sort(F.collect_list("g")).alias("c"))
-    facts = held.join(consensus, "crowd", "left").withColumn("c", F.coalesce("c", F.array().cast("array<bigint>")))
+    sizes = counted(held.groupBy("crowd").agg(F.count("*").alias("size")))
+    often = held.select("crowd", F.explode("s").alias("g")).groupBy("crowd", "g").agg(F.count("*").alias("n"))
+    often = checkpointed(often)
+    # shingles that half of the crowd has: few, and only these gather
+    core = often.join(sizes, "crowd").where("n * 2 >= size").groupBy("crowd").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "g")))["g"].alias("c"))
+    consensus = counted(core, F.size("c"))
+    none = F.array().cast("array<bigint>")
+    facts = held.join(consensus, "crowd", "left").withColumn("c", F.coalesce("c", none))
+    # what a text lacks stays in the order of c: first what most have
     facts = facts.select("id", "crowd", F.size("s").alias("n"), F.size("c").alias("h"), F.array_except("s", "c").alias("beyond"), F.array_except("c", "s").alias("lacks")).withColumns({"m": F.size("lacks"), "u": F.size("beyond"), "j": F.col("h") - F.size("lacks")})
+    facts = checkpointed(facts)
+    rare = facts.select("id", "crowd", F.explode("beyond").alias("g")).join(often, ["crowd", "g"]).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "g")))["g"].alias("rare"))
     first = lambda c, share: F.slice(c, F.lit(1), F.floor(F.col("n") / share).cast("int") + 1)
-    none = F.array().cast("array<bigint>")
+    facts = facts.drop("beyond").join(rare, "id", "left").withColumn("beyond", F.coalesce("rare", none))
     facts = facts.select("id", "crowd", "n", "h", "m", "u", first("beyond", 5).alias("beyond"), F.when(F.col("j") * 5 >= F.col("n") * 4, first("lacks", 4)).otherwise(none).alias("lacks")).join(members.drop("crowd"), "id")
     facts = checkpointed(facts)
 
@@ -402,12 +415,12 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
     # texts that no other beats in m and n: for each m the least n, if it is under those of all smaller m
     steps = facts.groupBy("crowd", "m").agg(F.min(F.struct("n", "id")).alias("x"))
     front = steps.withColumn("best", F.min("x.n").over(Window.partitionBy("crowd").orderBy("m").rowsBetween(Window.unboundedPreceding, -1))).where("best is null or x.n < best")
-    front = front.select("crowd", F.col("m").alias("m2"), F.col("x.n").alias("n2"), F.col("x.id").alias("b"))
+    front = counted(front.select("crowd", F.col("m").alias("m2"), F.col("x.n").alias("n2"), F.col("x.id").alias("b")))
     sure = facts.join(front, "crowd").where((F.col("id") != F.col("b")) & would_do(F.col("h") - F.col("m") - F.col("m2"), F.col("n"), F.col("n2"))).select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
-    weights = weighted_facts(held, counted)
+    weights = weighted_facts(held, often)
     # the same profile: 1 / (1 + (a + a2) / v) is above 0.8; just 0.8 is left to verification
     least = weights.where("a * 4 <= v").groupBy("crowd", "profile").agg(F.min(F.struct("a", "id", "repeats", "v")).alias("x"))
-    least = checkpointed(least.select("crowd", "profile", F.col("x.a").alias("a2"), F.col("x.id").alias("b"), F.col("x.repeats").alias("repeats2"), F.col("x.v").alias("v2")))
+    least = counted(least.select("crowd", "profile", F.col("x.a").alias("a2"), F.col("x.id").alias("b"), F.col("x.repeats").alias("repeats2"), F.col("x.v").alias("v2")))
     alike_on_h = weights.join(least, ["crowd", "profile"]).where("id <> b and (repeats or repeats2) and (a + a2) * 4 < v")
     sure = checkpointed(sure.unionByName(alike_on_h.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()))
     # what is linked for sure needs no more: components so far
@@ -415,9 +428,10 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
     facts = facts.join(joined.withColumnRenamed("root", "joined"), "id", "left").withColumn("root", F.coalesce("joined", "root")).drop("joined")
     mark = lambda c, kind: F.transform(c, lambda g, i: F.struct(g.alias("g"), F.lit(kind).alias("kind"), i.alias("at")))
     marks = facts.select("id", "crowd", "root", *SKETCH, "n", "h", "m", "u", F.explode(F.concat(mark("beyond", 1), mark("lacks", 0))).alias("x")).select("*", "x.g", "x.kind", "x.at").drop("x")
-    # only shingles that texts of two components have can link anything
+    # only shingles that texts of two components have can link anything; texts outside the largest of these are held against all
     marks = checkpointed(marks)
-    worth = marks.groupBy("crowd", "g", "kind").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("crowd", "g", "kind")
+    by_root = marks.groupBy("crowd", "g", "kind", "root").agg(F.count("*").alias("k"))
+    worth = by_root.groupBy("crowd", "g", "kind").agg(F.max(F.struct("k", "root"))["root"].alias("main"), F.count("*").alias("roots")).where("roots > 1").drop("roots")
     marks = checkpointed(marks.join(worth, ["crowd", "g", "kind"]))
     two = marks.select("crowd", "g", "kind", F.col("id").alias("i"), F.col("root").alias("r"), *(F.col(c).alias(f"o_{c}") for c in SKETCH), F.col("n").alias("n2"), F.col("m").alias("m2"), F.col("u").alias("u2"), F.col("at").alias("at2"))
     # so many shingles similar texts share, and so many of them beyond H, or lacked in common, must be shared; if a pair meets by the
@@ -426,17 +440,18 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
     due = F.when(F.col("kind") == 1, shared - F.col("h") + F.greatest("m", "m2")).otherwise(F.col("m") + F.col("m2") - F.col("h") + shared)
     after = F.when(F.col("kind") == 1, F.least(F.col("u") - F.col("at"), F.col("u2") - F.col("at2"))).otherwise(F.least(F.col("m") - F.col("at"), F.col("m2") - F.col("at2")))
     could = (after >= due) & ((F.col("kind") == 1) | would_do(F.col("h") - F.greatest("m", "m2"), F.col("n"), F.col("n2")))
-    maybe = marks.join(two, ["crowd", "g", "kind"]).where((F.col("i") < F.col("id")) & (F.col("r") != F.col("root")) & could & _near("o_", "p"))
+    once = (F.col("r") == F.col("main")) | (F.col("i") < F.col("id"))
+    maybe = marks.where("root <> main").join(two, ["crowd", "g", "kind"]).where(once & (F.col("r") != F.col("root")) & could & _near("o_", "p"))
     maybe = maybe.select(F.least("i", "id").alias("a"), F.greatest("i", "id").alias("b"))
     roots = facts.select("id", "root", "s0", "s1")
     return sure, maybe.unionByName(weighted_pairs(weights.join(roots, "id"), least.join(roots.withColumnsRenamed({"id": "b", "root": "r", "s0": "o_s0", "s1": "o_s1"}), "b"))).distinct()
 
 
-def weighted_facts(held: DataFrame, counted: DataFrame) -> DataFrame:
+def weighted_facts(held: DataFrame, often: DataFrame) -> DataFrame:
     """(id, crowd, repeats, a, v, profile, first) for crowds in which a text repeats shingles: its weights on cold and hot ones, a hash of the latter, and the first cold shingles."""
-    worth = held.where("repeats").select("crowd").distinct()
+    worth = counted(held.where("repeats").select("crowd").distinct())
     rows = held.join(worth, "crowd", "left_semi").select("id", "crowd", "repeats", F.explode(F.arrays_zip("s", "w")).alias("x")).select("id", "crowd", "repeats", F.col("x.s").alias("g"), F.col("x.w").alias("w"))
-    hot = counted.where(F.col("n") > MOST_PAIRED).select("crowd", "g", F.lit(True).alias("hot"))
+    hot = often.where(F.col("n") > MOST_PAIRED).select("crowd", "g", F.lit(True).alias("hot"))
     rows = rows.join(hot, ["crowd", "g"], "left")
     found = rows.groupBy("id", "crowd", "repeats").agg(
         F.sum(F.when(F.col("hot"), 0).otherwise(F.col("w"))).alias("a"), F.sum(F.when(F.col("hot"), F.col("w")).otherwise(0)).alias("v"),
@@ -459,7 +474,7 @@ def weighted_facts(held: DataFrame, counted: DataFrame) -> DataFrame:
 
 def weighted_pairs(weights: DataFrame, least: DataFrame) -> DataFrame:
     """Pairs (a, b) of two components that may be similar by weights, see ``dense_links``; both tables with root and weighted sketch."""
-    weights, least = checkpointed(weights), checkpointed(least)
+    weights, least = checkpointed(weights), counted(least)
     # share a cold shingle
     marks = weights.select("id", "crowd", "root", "s0", "s1", "repeats", F.explode("first").alias("g"))
     worth = marks.groupBy("crowd", "g").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("repeats").alias("any")).where("low <> high and any").select("crowd", "g")
@@ -468,7 +483,7 @@ def weighted_pairs(weights: DataFrame, least: DataFrame) -> DataFrame:
     meet = marks.join(two, ["crowd", "g"]).where(F.expr("id < b and root <> r and (repeats or repeats2)") & _near("o_", "s"))
     # share none
     light = weights.where("a * 4 <= v")
-    largest = light.groupBy("crowd", "root").agg(F.count("*").alias("n")).groupBy("crowd").agg(F.max(F.struct("n", "root"))["root"].alias("largest"))
+    largest = counted(light.groupBy("crowd", "root").agg(F.count("*").alias("n")).groupBy("crowd").agg(F.max(F.struct("n", "root"))["root"].alias("largest")))
     light, heads = light.join(largest, "crowd"), least.join(largest, "crowd").drop("profile")
     heads = heads.withColumnRenamed("largest", "head_largest")
     # a / v + a2 / v2 <= 1 / 4, in whole numbers
