@@ -50,7 +50,7 @@ def classes(documents: DataFrame, key: str = "doc_id", text: str = "text") -> tu
     a bucket in which these two differ (a hash collision) is grouped by its texts; ``q_digest`` is the SHA-512
     of their canonical text. Buckets without a key have no class.
     """
-    ids = documents.select(F.col(key).alias("q_id"), fingerprint(F.col(text)).alias("fingerprint"))
+    ids = checkpointed(documents.select(F.col(key).alias("q_id"), fingerprint(F.col(text)).alias("fingerprint")))
     shared = ids.groupBy("fingerprint").agg(F.count("*").alias("n_copies"), F.min("q_id").alias("class_id")).where("n_copies > 1 and class_id is not null")
     wanted = ids.join(shared.select("fingerprint"), "fingerprint").where("q_id is not null").select(F.col("q_id").alias(key)).distinct()
     rows = documents.select(key, text).join(wanted.hint("shuffle_hash"), key).select(F.col(key).alias("q_id"), canonical(F.col(text)).alias("q_text"))
