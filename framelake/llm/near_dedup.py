@@ -450,13 +450,16 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
 def weighted_facts(held: DataFrame, often: DataFrame) -> DataFrame:
     """(id, crowd, repeats, a, v, profile, first) for crowds in which a text repeats shingles: its weights on cold and hot ones, a hash of the latter, and the first cold shingles."""
     worth = counted(held.where("repeats").select("crowd").distinct())
-    rows = held.join(worth, "crowd", "left_semi").select("id", "crowd", "repeats", F.explode(F.arrays_zip("s", "w")).alias("x")).select("id", "crowd", "repeats", F.col("x.s").alias("g"), F.col("x.w").alias("w"))
-    hot = often.where(F.col("n") > MOST_PAIRED).select("crowd", "g", F.lit(True).alias("hot"))
-    rows = rows.join(hot, ["crowd", "g"], "left")
-    found = rows.groupBy("id", "crowd", "repeats").agg(
-        F.sum(F.when(F.col("hot"), 0).otherwise(F.col("w"))).alias("a"), F.sum(F.when(F.col("hot"), F.col("w")).otherwise(0)).alias("v"),
-        F.coalesce(F.bit_xor(F.when(F.col("hot"), F.xxhash64("g", "w"))), F.lit(0)).alias("profile"), F.array_sort(F.collect_list(F.when(F.col("hot").isNull(), F.struct("g", "w")))).alias("cold"),
-    )
+    some = held.join(worth, "crowd", "left_semi")
+    # a cold shingle stands in few texts, so only the cold ones' rows are joined; the rest of a text is hot
+    cold = often.where(F.col("n") <= MOST_PAIRED).select("crowd", "g")
+    rows = some.select("id", "crowd", F.explode(F.arrays_zip("s", "w")).alias("x")).select("id", "crowd", F.col("x.s").alias("g"), F.col("x.w").alias("w")).join(cold, ["crowd", "g"])
+    own = rows.groupBy("id").agg(F.sum("w").alias("a"), F.bit_xor(F.xxhash64("g", "w")).alias("x"), F.array_sort(F.collect_list(F.struct("g", "w"))).alias("cold"))
+    whole = F.aggregate("w", F.lit(0).cast("long"), lambda a, w: a + w)
+    # all shingles' hashes less the cold ones'
+    total = F.aggregate(F.arrays_zip("s", "w"), F.lit(0).cast("long"), lambda a, y: a.bitwiseXOR(F.xxhash64(y["s"], y["w"])))
+    found = some.select("id", "crowd", "repeats", whole.alias("whole"), total.alias("total")).join(own, "id", "left").withColumn("a", F.coalesce("a", F.lit(0)))
+    found = found.withColumns({"v": F.col("whole") - F.col("a"), "profile": F.col("total").bitwiseXOR(F.coalesce("x", F.lit(0)))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -468,8 +471,9 @@ def weighted_facts(held: DataFrame, often: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in names[:-1]), pa.array(out, pa.list_(pa.int64()))], names=names)
 
     names = ["id", "crowd", "repeats", "a", "v", "profile", "first"]
-    cold = found.select(*names[:-1], F.col("cold.g").alias("g"), F.col("cold.w").alias("w"), (F.col("a") + F.col("v")).alias("whole"))
-    return checkpointed(cold.mapInArrow(run, "id long, crowd long, repeats boolean, a long, v long, profile long, first array<long>"))
+    none = lambda kind: F.array().cast(f"array<{kind}>")
+    found = found.select(*names[:-1], F.coalesce("cold.g", none("bigint")).alias("g"), F.coalesce("cold.w", none("int")).alias("w"), "whole")
+    return checkpointed(found.mapInArrow(run, "id long, crowd long, repeats boolean, a long, v long, profile long, first array<long>"))
 
 
 def weighted_pairs(weights: DataFrame, least: DataFrame) -> DataFrame:
