@@ -23,12 +23,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelake.llm.common import slices, table
+from framelake.llm.common import counted, slices, table
 from framelake.session import share_code
 
 HIDDEN, STEPS = 8, 48
 #: The bounded sample: documents, and windows of each.
 FIT_ROWS, LEAST_OF_LANGUAGE, FIT_WINDOWS = 3000, 20, 4
+MARGIN = 8
 ROUNDS, BATCH, RATE = 500, 256, 0.02
 #: Windows that advance together; their states fit a core's cache.
 TOGETHER = 2048
@@ -205,11 +206,14 @@ def train(documents: DataFrame, key: str = "doc_id", text: str = "text", lang: s
     # of each text only so much as its windows need, from a place set by its hash
     at = F.pmod(F.xxhash64("q_text"), F.greatest(F.lit(1), F.length("q_text") - n)) + 1
     usable = documents.select(F.col(key).alias("q_key"), F.col(lang).alias("q_lang"), F.col(text).alias("q_text")).where(F.col("q_key").isNotNull() & F.col("q_lang").isNotNull() & ~held_out(F.col("q_key")))
+    sizes = counted(usable.groupBy(F.col("q_lang").alias("q_name")).agg(F.count("*").alias("q_n")))
+    most = max(LEAST_OF_LANGUAGE, FIT_ROWS // max(1, sizes.count()))
+    # of a large language, rows of low hash alone, MARGIN times as many as are wanted; so what meets in a task is bounded
+    h = F.xxhash64(F.col("q_key").cast("string"))
+    low = (h.cast("double") + 2.0**63) * F.col("q_n") < 2.0**64 * MARGIN * most
+    usable = usable.join(sizes, F.col("q_lang") == F.col("q_name")).where(low)
     usable = usable.select("q_key", "q_lang", F.substring("q_text", at.cast("int"), F.lit(n)).alias("q_part")).where(F.col("q_part").rlike(r"\p{L}"))
-    languages = documents.select(lang).where(F.col(lang).isNotNull()).distinct().count()
-    most = max(LEAST_OF_LANGUAGE, FIT_ROWS // max(1, languages))
-    # tasks keep the first of each language before anything is shuffled
-    order = Window.partitionBy("q_lang").orderBy(F.xxhash64(F.col("q_key").cast("string")), "q_key", "q_part")
+    order = Window.partitionBy("q_lang").orderBy(h, "q_key", "q_part")
     rows = sorted(usable.withColumn("q_rank", F.row_number().over(order)).where(F.col("q_rank") <= most).select("q_key", "q_part", "q_lang").collect())
     return fit([r["q_part"] for r in rows], [r["q_lang"] for r in rows])
 
