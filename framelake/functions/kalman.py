@@ -162,3 +162,129 @@ class AngleTracker:
                 angles[i], flips[i], done[i] = (angles[i] + 180) % 360, not flips[i], 2
             self.model.mean, self.model.cov = self.model.advance(self.model.mean, self.model.cov, self._pack(angles[i : i + 1])[0])
         return angles, flips, done
+
+
+class Stack:
+    """Independent models of one shape that advance together: ``Kalman`` for many series at once, padded to the longest.
+
+    Series are in falling order of length, so those that still run are the first ones.
+    """
+
+    def __init__(self, count: int, n: int, order: int = 3):
+        one = Kalman(n, order)
+        self.n, self.order, self.a, self.c = n, order, one.a, one.c
+        size = n * order
+        self.q, self.r = np.tile(np.eye(size), (count, 1, 1)), np.tile(np.eye(n), (count, 1, 1))
+        self.mean, self.cov = np.zeros((count, size)), np.tile(np.eye(size), (count, 1, 1))
+
+    def start(self, first: np.ndarray) -> None:
+        self.mean = np.zeros_like(self.mean)
+        self.mean[:, :: self.order] = np.where(np.isfinite(first), first, 0.0)
+
+    def _predict(self, mean: np.ndarray, cov: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return mean @ self.a.T, self.a @ cov @ self.a.T + self.q[: len(mean)]
+
+    def _update(self, mean: np.ndarray, cov: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        k = len(mean)
+        seen = np.isfinite(y).all(axis=1)
+        gain = np.linalg.solve(self.c @ cov @ self.c.T + self.r[:k], self.c @ cov).transpose(0, 2, 1)
+        off = np.where(seen[:, None], y, 0.0) - mean @ self.c.T
+        return np.where(seen[:, None], mean + (gain @ off[:, :, None])[:, :, 0], mean), np.where(seen[:, None, None], cov - gain @ self.c @ cov, cov)
+
+    def smooth(self, ys: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Smoothed means and covariances (steps first), and each step's covariance with the one before; ``ys`` is (series, steps, n)."""
+        count, steps, _ = ys.shape
+        size = self.mean.shape[1]
+        pm, pc = np.zeros((steps, count, size)), np.tile(np.eye(size), (steps, count, 1, 1))
+        fm, fc = np.zeros_like(pm), np.zeros_like(pc)
+        for t in range(steps):
+            k = int((lengths > t).sum())
+            m, v = (self.mean[:k], self.cov[:k]) if t == 0 else self._predict(fm[t - 1, :k], fc[t - 1, :k])
+            pm[t, :k], pc[t, :k] = m, v
+            fm[t, :k], fc[t, :k] = self._update(m, v, ys[:k, t])
+        m, v, back = fm.copy(), fc.copy(), np.zeros_like(fc)
+        for t in range(steps - 2, -1, -1):
+            k = int((lengths > t + 1).sum())
+            if not k:
+                continue
+            b = np.linalg.solve(pc[t + 1, :k], self.a @ fc[t, :k]).transpose(0, 2, 1)
+            m[t, :k] = fm[t, :k] + (b @ (m[t + 1, :k] - pm[t + 1, :k])[:, :, None])[:, :, 0]
+            v[t, :k] = fc[t, :k] + b @ (v[t + 1, :k] - pc[t + 1, :k]) @ b.transpose(0, 2, 1)
+            back[t, :k] = b
+        pairs = np.zeros_like(fc)
+        pairs[1:] = v[1:] @ back[:-1].transpose(0, 1, 3, 2)
+        return m, v, pairs
+
+    def learn(self, ys: np.ndarray, lengths: np.ndarray, rounds: int = 10) -> None:
+        """Each series' noise covariances and initial covariance; series of length 0 keep theirs."""
+        count, steps, _ = ys.shape
+        if not steps:
+            return
+        at = np.arange(steps)
+        inside = at[None, :] < lengths[:, None]
+        seen = inside & np.isfinite(ys).all(axis=2)
+        later = (inside & (at > 0)).T[:, :, None, None]
+        n_seen, some = seen.sum(axis=1), lengths > 0
+        for _ in range(rounds):
+            m, v, pairs = self.smooth(ys, lengths)
+            e = np.where(seen[:, :, None], ys, 0.0) - np.where(seen[:, :, None], (m @ self.c.T).transpose(1, 0, 2), 0.0)
+            seen_v = np.where(seen.T[:, :, None, None], v, 0.0).sum(axis=0)
+            r = (e.transpose(0, 2, 1) @ e + self.c @ seen_v @ self.c.T) / np.maximum(n_seen, 1)[:, None, None]
+            r = np.where((n_seen > 0)[:, None, None], r, self.r)
+            e = np.where(later[1:, :, :, 0], m[1:] - m[:-1] @ self.a.T, 0.0).transpose(1, 0, 2)
+            cross = np.where(later, pairs, 0.0).sum(axis=0) @ self.a.T
+            old, new = np.where(later[1:], v[:-1], 0.0).sum(axis=0), np.where(later[1:], v[1:], 0.0).sum(axis=0)
+            q = (e.transpose(0, 2, 1) @ e + self.a @ old @ self.a.T + new - cross - cross.transpose(0, 2, 1)) / np.maximum(lengths - 1, 1)[:, None, None]
+            q = np.where((lengths > 1)[:, None, None], q, self.q)
+            d = m[0] - self.mean
+            self.cov = np.where(some[:, None, None], v[0] + d[:, :, None] * d[:, None, :], self.cov)
+            self.q, self.r = np.where(some[:, None, None], (q + q.transpose(0, 2, 1)) / 2, self.q), np.where(some[:, None, None], (r + r.transpose(0, 2, 1)) / 2, self.r)
+
+
+def correct_together(series: list[tuple[np.ndarray, np.ndarray, np.ndarray]], chunk: int, order: int = 3, rounds: int = 10, least_alignment: float = 0.4, half_turn: float = 140.0) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``AngleTracker`` over many series (angles, alignments, flips) at once; each learns from its first ``chunk`` frames."""
+    if not series:
+        return []
+    pack = AngleTracker._pack
+    observed = [pack(a) for a, _, _ in series]
+    taught = [y[:chunk][np.isfinite(y[:chunk]).any(axis=1)] for y in observed]
+
+    def padded(parts: list[np.ndarray], by: np.ndarray, fill: float) -> np.ndarray:
+        out = np.full((len(parts), max((len(p) for p in parts), default=0), *parts[0].shape[1:]), fill)
+        for i, k in enumerate(by):
+            out[i, : len(parts[k])] = parts[k]
+        return out
+
+    n_taught = np.array([len(y) for y in taught])
+    by = np.argsort(-n_taught, kind="stable")
+    model = Stack(len(series), 2, order)
+    model.start(np.array([observed[k][0] for k in by]))
+    model.learn(padded(taught, by, np.nan), n_taught[by], rounds)
+
+    lengths = np.array([len(a) for a, _, _ in series])
+    to = np.argsort(-lengths, kind="stable")
+    place = np.empty(len(by), np.int64)
+    place[by] = np.arange(len(by))
+    for name in ("q", "r", "mean", "cov"):
+        setattr(model, name, getattr(model, name)[place[to]])
+    angles, alignment = padded([s[0].astype(float) for s in series], to, np.nan), padded([s[1].astype(float) for s in series], to, np.nan)
+    flips = padded([s[2].astype(float) for s in series], to, 0.0) > 0
+    done = np.zeros(angles.shape, np.int32)
+    mean, cov = model.mean, model.cov
+    for t in range(angles.shape[1]):
+        k = int((lengths > t).sum())
+        state = mean[:k, :: model.order]
+        expected = np.rad2deg(np.arctan2(state[:, 0], state[:, 1])) % 360
+        off = (angles[:k, t] - expected) % 360
+        off = np.where(off > 180, off - 360, off)
+        weak = alignment[:k, t] < least_alignment
+        turn = ~weak & (np.abs(off) > half_turn)
+        angles[:k, t] = np.where(weak, expected, np.where(turn, (angles[:k, t] + 180) % 360, angles[:k, t]))
+        flips[:k, t] ^= turn
+        done[:k, t] = np.where(weak, 1, np.where(turn, 2, 0))
+        mean, cov = model._update(*model._predict(mean[:k], cov[:k]), pack(angles[:k, t]))
+    out: list = [None] * len(series)
+    for i, k in enumerate(to):
+        n = lengths[k]
+        out[k] = (angles[i, :n], flips[i, :n], done[i, :n])
+    return out

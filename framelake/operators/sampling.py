@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from framelake.operators.temporal import keyed
 
+#: A list of so many indices at most is broadcast (some MB).
+MOST_BROADCAST = 100_000
+
 
 def draw(seed: int, *keys: str) -> Column:
     """The sort key of a random order."""
@@ -34,7 +37,7 @@ def uniform(df: DataFrame, k: int, by: str | list[str] = "session", order: str =
 def listed(df: DataFrame, indices: list[int], order: str = "frame_idx") -> DataFrame:
     """Rows at given indices, each as often as it is listed, with its ``place`` in the list."""
     wanted = df.sparkSession.createDataFrame([(i, int(x)) for i, x in enumerate(indices)], f"place int, {order} long")
-    return df.join(F.broadcast(wanted), order)
+    return df.join(F.broadcast(wanted) if len(indices) <= MOST_BROADCAST else wanted, order)
 
 
 def split(df: DataFrame, share: float, seed: int, *keys: str, into: str = "fold") -> DataFrame:

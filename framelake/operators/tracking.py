@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framelake.functions import kernels
+from framelake.functions.geometry import box_iou, distance
+from framelake.operators.batches import by_groups, starts_of
 from framelake.session import share_code
 
 FRAME = ["session", "frame_idx"]
@@ -24,16 +29,22 @@ def mask_iou(instances: DataFrame, mask: str = "mask", by: list[str] = FRAME) ->
 
 
 def suppressed(instances: DataFrame, mask: str = "mask", score: str = "score", threshold: float = 0.5, corrected: bool = False, by: list[str] = FRAME) -> DataFrame:
-    """Instances that stay after suppression by mask overlap, with their ``rank``; a frame is one group."""
+    """Instances that stay after suppression by mask overlap, with their ``rank``; a frame is one group, of which a batch has many."""
     share_code(instances.sparkSession)
     schema = T.StructType([*instances.schema.fields, T.StructField("rank", T.IntegerType())])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("instance", ignore_index=True)
-        kept = kernels.suppress(np.stack([np.asarray(m) for m in pdf[mask]]).astype(bool), pdf[score].to_numpy(float), threshold, corrected)
-        return pdf.iloc[kept].assign(rank=np.arange(1, len(kept) + 1, dtype=np.int32))
+    def run(t: pa.Table, ends: np.ndarray) -> pa.Table:
+        masks = t.column(mask).combine_chunks()
+        edges, values = masks.offsets.to_numpy(), masks.values.to_numpy(zero_copy_only=False)
+        scores, take, rank = t.column(score).to_numpy(zero_copy_only=False).astype(float), [], []
+        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            own = values[edges[a] : edges[b]].reshape(b - a, -1).astype(bool)
+            kept = kernels.suppress(own, scores[a:b], threshold, corrected)
+            take += [a + i for i in kept]
+            rank += range(1, len(kept) + 1)
+        return t.take(pa.array(take, pa.int64())).append_column("rank", pa.array(rank, pa.int32()))
 
-    return instances.groupBy(*by).applyInPandas(run, schema)
+    return by_groups(instances, by, ["instance"], run, schema)
 
 
 def oldest(tracks: DataFrame, k: int, age: str = "age", live: Column | None = None, by: list[str] = FRAME) -> DataFrame:
@@ -57,7 +68,7 @@ class Tracker:
 
     def step(self, points: list[tuple[float, float]]) -> list[tuple[int, int]]:
         """(track, age) for each detection."""
-        pairs = sorted((float(np.hypot(t[1] - x, t[2] - y)), i, j) for i, t in enumerate(self.tracks) for j, (x, y) in enumerate(points))
+        pairs = sorted((math.hypot(t[1] - x, t[2] - y), i, j) for i, t in enumerate(self.tracks) for j, (x, y) in enumerate(points))
         used_t, used_p, out = set(), {}, []
         for d, i, j in pairs:
             if d <= self.reach and i not in used_t and j not in used_p:
@@ -79,25 +90,44 @@ class Tracker:
 
 
 def tracked(detections: DataFrame, reach: float = 50.0, most_hits: int = 3, by: str = "session", order: str = "frame_idx") -> DataFrame:
-    """Detections (instance, x, y) with their track and its age in frames. State runs through a session, which is one group."""
+    """Detections (instance, x, y) with their track and its age in frames. State runs through a session; a batch has many sessions."""
     share_code(detections.sparkSession)
     schema = T.StructType([*detections.schema.fields, T.StructField("track", T.IntegerType()), T.StructField("age", T.IntegerType())])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        tracker, parts = Tracker(reach, most_hits), []
-        for _, frame in pdf.sort_values([order, "instance"], ignore_index=True).groupby(order, sort=True):
-            found = tracker.step(list(zip(frame["x"], frame["y"], strict=True)))
-            parts.append(frame.assign(track=np.array([t for t, _ in found], np.int32), age=np.array([a for _, a in found], np.int32)))
-        return pd.concat(parts)
+    def run(t: pa.Table, ends: np.ndarray) -> pa.Table:
+        x, y = (t.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("x", "y"))
+        frames = starts_of(t, [by, order]).tolist()
+        fresh, found = set(ends.tolist()), []
+        for a, b in zip(frames, [*frames[1:], t.num_rows], strict=True):
+            if a in fresh:
+                tracker = Tracker(reach, most_hits)
+            found += tracker.step(list(zip(x[a:b], y[a:b], strict=True)))
+        return t.append_column("track", pa.array([k for k, _ in found], pa.int32())).append_column("age", pa.array([n for _, n in found], pa.int32()))
 
-    return detections.groupBy(by).applyInPandas(run, schema)
+    return by_groups(detections, [by], [order, "instance"], run, schema)
 
 
-def instance_log(instances: DataFrame, keypoint_distance: Column | None = None, by: list[str] = FRAME) -> DataFrame:
-    """For each frame the overlap of its first two instances and all scores; frames with one instance have zeros."""
+def instance_log(instances: DataFrame, box: str | None = "box", points: str | None = "points", by: list[str] = FRAME) -> DataFrame:
+    """For each frame how alike its first two instances are, and all scores: box_iou, mask_jaccard and keypoint_distance.
+
+    ``box`` is (x0, y0, x1, y1) and ``points`` an array of structs (x, y) in one order; the distance is the sum over the
+    points. Frames with one instance have zeros; tables without boxes or points have none of that column.
+    """
+    use = {c: c in instances.columns for c in (box, points) if c}
+    two = instances.where("instance < 2").select(*by, "instance", *(c for c, there in use.items() if there))
+    side = lambda i, name: two.where(F.col("instance") == i).select(*by, *(F.col(c).alias(f"{name}_{c}") for c, there in use.items() if there))
     first = mask_iou(instances.where("instance < 2"), by=by).select(*by, F.col("iou").alias("mask_jaccard"))
+    new = {}
+    if use.get(box):
+        corner = lambda name: tuple(F.get(f"{name}_{box}", F.lit(k)) for k in range(4))
+        new["box_iou"] = box_iou(corner("a"), corner("b"))
+    if use.get(points):
+        apart = F.zip_with(f"a_{points}", f"b_{points}", lambda p, q: distance(p["x"], p["y"], q["x"], q["y"]))
+        new["keypoint_distance"] = F.aggregate(apart, F.lit(0.0), lambda s, v: s + v)
+    if new:
+        first = first.join(side(0, "a").join(side(1, "b"), by).select(*by, *(v.alias(k) for k, v in new.items())), by)
     scores = instances.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("instance", "score"))), lambda s: s["score"]).alias("scores"))
-    return scores.join(first, by, "left").withColumn("mask_jaccard", F.coalesce("mask_jaccard", F.lit(0.0)))
+    return scores.join(first, by, "left").withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("mask_jaccard", *new)})
 
 
 def smoothed(keypoints: DataFrame, parts: list[str], chunk: int = 1000, order_: int = 3, rounds: int = 10, keep: tuple[str, ...] = ("TailTip",), by: str = "session", order: str = "frame_idx") -> DataFrame:
@@ -125,19 +155,20 @@ def smoothed(keypoints: DataFrame, parts: list[str], chunk: int = 1000, order_:
 
 
 def corrected_angles(frames: DataFrame, angle: str = "angle", alignment: str = "score", flip: str = "flip", chunk: int = 1000, order_: int = 3, by: str = "session", order: str = "frame_idx") -> DataFrame:
-    """Angles corrected by a tracker that runs through each session, with flips and the kind of correction."""
-    from framelake.functions.kalman import AngleTracker
+    """Angles corrected by a tracker that runs through each session, with flips and the kind of correction.
+
+    The state runs through a session in frame order, so a session is in one task; a task's sessions advance together.
+    """
+    from framelake.functions.kalman import correct_together
 
     share_code(frames.sparkSession)
-    schema = f"{by} {frames.schema[by].dataType.simpleString()}, {order} long, angle_out double, flip_out boolean, intervention int"
+    schema = T.StructType([frames.schema[by], T.StructField(order, T.LongType()), T.StructField("angle_out", T.DoubleType()), T.StructField("flip_out", T.BooleanType()), T.StructField("intervention", T.IntegerType())])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, ignore_index=True)
-        tracker, parts = AngleTracker(order_), []
-        for a in range(0, len(pdf), chunk):
-            p = pdf.iloc[a : a + chunk]
-            angles, flips, done = tracker.correct(p[angle].to_numpy(float), p[alignment].to_numpy(float), p[flip].to_numpy(bool))
-            parts.append(pd.DataFrame({by: p[by].to_numpy(), order: p[order].to_numpy(), "angle_out": angles, "flip_out": flips, "intervention": done}))
-        return pd.concat(parts)
-
-    return frames.select(by, order, angle, alignment, flip).groupBy(by).applyInPandas(run, schema)
+    def run(t: pa.Table, ends: np.ndarray) -> pa.Table:
+        number = lambda c: t.column(c).to_numpy(zero_copy_only=False).astype(float)
+        a, s, f = number(angle), number(alignment), np.asarray(t.column(flip).to_numpy(zero_copy_only=False), bool)
+        found = correct_together([(a[x:y], s[x:y], f[x:y]) for x, y in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], chunk, order_)
+        columns = [np.concatenate([x[i] for x in found]) for i in range(3)]
+        return pa.table([t.column(by), t.column(order).cast(pa.int64()), *(pa.array(c) for c in columns)], names=schema.names)
+
+    return by_groups(frames.select(by, order, angle, alignment, flip), [by], [order], run, schema)

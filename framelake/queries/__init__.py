@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from framelake.queries import editing, images, joins, keypoints, labelling, models, sampling, series, statistics, streams
+from framelake.queries import editing, images, joins, keypoints, labelling, models, more, sampling, series, statistics, streams
 from framelake.queries.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "editing", "images", "joins", "keypoints", "labelling", "models", "sampling", "series", "statistics", "streams"]
+__all__ = ["QUERIES", "SQL", "editing", "images", "joins", "keypoints", "labelling", "models", "more", "sampling", "series", "statistics", "streams"]

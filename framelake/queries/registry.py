@@ -88,7 +88,7 @@ def heights(spark: SparkSession, sf_dir: str) -> DataFrame:
     from framelake.functions.arrays import prepare
 
     f = frames(spark, sf_dir)
-    return f.join(F.broadcast(background(f)), "session").select("session", "frame_idx", "px", "bg", prepare(F.col("px"), F.col("bg"), 5, 100).alias("h"))
+    return f.join(background(f), "session").select("session", "frame_idx", "px", "bg", prepare(F.col("px"), F.col("bg"), 5, 100).alias("h"))
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,7 +60,11 @@ def angle_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(temporal.filter_angles(trajectory(spark, sf_dir), "angle", "angle_out").select("session", "frame_idx", "angle_out"), "angle_out")
 
 
-@query()
+@query("WITH RECURSIVE " + T.removeprefix("WITH ") + """, k AS (SELECT 0 AS k, session, frame_idx, angle, angle AS a, true AS moved FROM t
+  UNION ALL SELECT k + 1, session, frame_idx, angle, b, bool_or(abs(b - a) > 1) OVER () FROM (SELECT *, CASE WHEN abs(a - m) > 120 AND abs(a - m) < 240 THEN a - 180 * sign(a - m) ELSE a END AS b
+    FROM (SELECT *, median(a) OVER (PARTITION BY session ORDER BY frame_idx ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS m FROM k WHERE moved AND k < 1001))),
+l AS (SELECT * FROM k WHERE k = (SELECT max(k) FROM k))
+SELECT session, frame_idx, round(angle, 6) + 0.0 AS angle, round(a, 6) + 0.0 AS angle_out, abs(abs(a - angle) - 180) < 0.01 AS flip FROM l""")
 def angle_filter_fixpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = trajectory(spark, sf_dir).select("session", "frame_idx", "angle")
     return rounded(temporal.filter_angles_to_rest(t, "angle"), "angle", "angle_out")

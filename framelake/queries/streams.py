@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +19,13 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared one."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints'}/stream-{uuid.uuid4().hex}"
+    """A new folder under the cluster's shared one; a session in one process may do without one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = tempfile.gettempdir()
+    return f"{folder}/stream-{uuid.uuid4().hex}"
 
 
 @query()
