@@ -395,17 +395,20 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
     often = held.select("crowd", F.explode("s").alias("g")).groupBy("crowd", "g").agg(F.count("*").alias("n"))
     often = checkpointed(often)
     # shingles that half of the crowd has: few, and only these gather
-    core = often.join(sizes, "crowd").where("n * 2 >= size").groupBy("crowd").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "g")))["g"].alias("c"))
+    core = often.join(sizes, "crowd").where("n * 2 >= size").groupBy("crowd").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "g"))).alias("c"))
+    # of a small crowd, part of the consensus is cold
+    core = core.select("crowd", F.col("c.g").alias("c"), F.filter("c", lambda x: -x["n"] <= MOST_PAIRED)["g"].alias("cold"))
     consensus = counted(core, F.size("c"))
     none = F.array().cast("array<bigint>")
-    facts = held.join(consensus, "crowd", "left").withColumn("c", F.coalesce("c", none))
+    facts = held.join(consensus, "crowd", "left").withColumns({"c": F.coalesce("c", none), "cold": F.coalesce("cold", none)})
     # what a text lacks stays in the order of c: first what most have
-    facts = facts.select("id", "crowd", F.size("s").alias("n"), F.size("c").alias("h"), F.array_except("s", "c").alias("beyond"), F.array_except("c", "s").alias("lacks")).withColumns({"m": F.size("lacks"), "u": F.size("beyond"), "j": F.col("h") - F.size("lacks")})
+    facts = facts.select("id", "crowd", F.size("s").alias("n"), F.size("c").alias("h"), F.array_except("s", "c").alias("beyond"), F.array_except("c", "s").alias("lacks"), F.array_intersect("s", "cold").alias("cold")).withColumns({"m": F.size("lacks"), "u": F.size("beyond"), "j": F.col("h") - F.size("lacks")})
     facts = checkpointed(facts)
-    rare = facts.select("id", "crowd", F.explode("beyond").alias("g")).join(often, ["crowd", "g"]).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "g")))["g"].alias("rare"))
+    rare = facts.select("id", "crowd", F.explode("beyond").alias("g")).join(often, ["crowd", "g"]).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "g"))).alias("rare"))
     first = lambda c, share: F.slice(c, F.lit(1), F.floor(F.col("n") / share).cast("int") + 1)
-    facts = facts.drop("beyond").join(rare, "id", "left").withColumn("beyond", F.coalesce("rare", none))
-    facts = facts.select("id", "crowd", "n", "h", "m", "u", first("beyond", 5).alias("beyond"), F.when(F.col("j") * 5 >= F.col("n") * 4, first("lacks", 4)).otherwise(none).alias("lacks")).join(members.drop("crowd"), "id")
+    facts = facts.drop("beyond").join(rare, "id", "left").withColumn("beyond", F.coalesce("rare.g", none))
+    facts = facts.withColumn("cold", F.concat("cold", F.coalesce(F.filter("rare", lambda x: x["n"] <= MOST_PAIRED)["g"], none)))
+    facts = facts.select("id", "crowd", "n", "h", "m", "u", "cold", first("beyond", 5).alias("beyond"), F.when(F.col("j") * 5 >= F.col("n") * 4, first("lacks", 4)).otherwise(none).alias("lacks")).join(members.drop("crowd"), "id")
     facts = checkpointed(facts)
 
     def would_do(shared, n1, n2):
@@ -417,7 +420,7 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
     front = steps.withColumn("best", F.min("x.n").over(Window.partitionBy("crowd").orderBy("m").rowsBetween(Window.unboundedPreceding, -1))).where("best is null or x.n < best")
     front = counted(front.select("crowd", F.col("m").alias("m2"), F.col("x.n").alias("n2"), F.col("x.id").alias("b")))
     sure = facts.join(front, "crowd").where((F.col("id") != F.col("b")) & would_do(F.col("h") - F.col("m") - F.col("m2"), F.col("n"), F.col("n2"))).select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
-    weights = weighted_facts(held, often)
+    weights = weighted_facts(held, facts.select("id", "cold"))
     # the same profile: 1 / (1 + (a + a2) / v) is above 0.8; just 0.8 is left to verification
     least = weights.where("a * 4 <= v").groupBy("crowd", "profile").agg(F.min(F.struct("a", "id", "repeats", "v")).alias("x"))
     least = counted(least.select("crowd", "profile", F.col("x.a").alias("a2"), F.col("x.id").alias("b"), F.col("x.repeats").alias("repeats2"), F.col("x.v").alias("v2")))
@@ -447,33 +450,34 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
     return sure, maybe.unionByName(weighted_pairs(weights.join(roots, "id"), least.join(roots.withColumnsRenamed({"id": "b", "root": "r", "s0": "o_s0", "s1": "o_s1"}), "b"))).distinct()
 
 
-def weighted_facts(held: DataFrame, often: DataFrame) -> DataFrame:
-    """(id, crowd, repeats, a, v, profile, first) for crowds in which a text repeats shingles: its weights on cold and hot ones, a hash of the latter, and the first cold shingles."""
+def weighted_facts(held: DataFrame, cold: DataFrame) -> DataFrame:
+    """(id, crowd, repeats, a, v, profile, first) for crowds in which a text repeats shingles: its weights on cold and hot ones, a hash of the latter, and the first cold shingles.
+
+    ``held`` has each text's shingles and weights, ``cold`` which of them few texts of the crowd have.
+    """
     worth = counted(held.where("repeats").select("crowd").distinct())
-    some = held.join(worth, "crowd", "left_semi")
-    # a cold shingle stands in few texts, so only the cold ones' rows are joined; the rest of a text is hot
-    cold = often.where(F.col("n") <= MOST_PAIRED).select("crowd", "g")
-    rows = some.select("id", "crowd", F.explode(F.arrays_zip("s", "w")).alias("x")).select("id", "crowd", F.col("x.s").alias("g"), F.col("x.w").alias("w")).join(cold, ["crowd", "g"])
-    own = rows.groupBy("id").agg(F.sum("w").alias("a"), F.bit_xor(F.xxhash64("g", "w")).alias("x"), F.array_sort(F.collect_list(F.struct("g", "w"))).alias("cold"))
-    whole = F.aggregate("w", F.lit(0).cast("long"), lambda a, w: a + w)
-    # all shingles' hashes less the cold ones'
-    total = F.aggregate(F.arrays_zip("s", "w"), F.lit(0).cast("long"), lambda a, y: a.bitwiseXOR(F.xxhash64(y["s"], y["w"])))
-    found = some.select("id", "crowd", "repeats", whole.alias("whole"), total.alias("total")).join(own, "id", "left").withColumn("a", F.coalesce("a", F.lit(0)))
-    found = found.withColumns({"v": F.col("whole") - F.col("a"), "profile": F.col("total").bitwiseXOR(F.coalesce("x", F.lit(0)))})
+    rows = held.join(worth, "crowd", "left_semi").join(cold, "id").select("id", "crowd", "repeats", "s", "w", "cold")
+    names = ["id", "crowd", "repeats", "a", "v", "profile", "first"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for g, w, whole in zip(batch.column("g"), batch.column("w"), batch.column("whole").to_pylist(), strict=True):
-                own = w.values.to_numpy().astype(np.int64)
+            out: list[list] = [[], [], [], []]
+            for s, w, cold in zip(batch.column("s"), batch.column("w"), batch.column("cold"), strict=True):
+                g, weight = s.values.to_numpy().view(np.uint64), w.values.to_numpy().astype(np.int64)
+                few = np.isin(g, cold.values.to_numpy().view(np.uint64))
+                own, light = g[few].view(np.int64), weight[few]
+                order = np.argsort(own)
+                own, light = own[order], light[order]
+                with np.errstate(over="ignore"):
+                    profile = np.bitwise_xor.reduce(mix(g[~few] + mix(weight[~few].astype(np.uint64))), initial=U(0))
                 # a shingle is among the first if those before it weigh 0.2 of the text at most
-                out.append(g.values.to_numpy()[(np.cumsum(own) - own) * 5 <= whole].tolist())
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in names[:-1]), pa.array(out, pa.list_(pa.int64()))], names=names)
+                first = own[(np.cumsum(light) - light) * 5 <= weight.sum()]
+                for column, value in zip(out, (int(light.sum()), int(weight.sum() - light.sum()), int(profile.view(np.int64)), first.tolist()), strict=True):
+                    column.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in names[:3]), *(pa.array(c, k) for c, k in zip(out, kinds, strict=True))], names=names)
 
-    names = ["id", "crowd", "repeats", "a", "v", "profile", "first"]
-    none = lambda kind: F.array().cast(f"array<{kind}>")
-    found = found.select(*names[:-1], F.coalesce("cold.g", none("bigint")).alias("g"), F.coalesce("cold.w", none("int")).alias("w"), "whole")
-    return checkpointed(found.mapInArrow(run, "id long, crowd long, repeats boolean, a long, v long, profile long, first array<long>"))
+    return checkpointed(rows.mapInArrow(run, "id long, crowd long, repeats boolean, a long, v long, profile long, first array<long>"))
 
 
 def weighted_pairs(weights: DataFrame, least: DataFrame) -> DataFrame:
