@@ -11,6 +11,7 @@ from framelake.functions.arrays import prepare
 from framelake.operators import keypoints as kp
 from framelake.operators import pixels, temporal, tracking
 from framelake.schema import BODY_PARTS, SCALARS, TRUE_DEPTH
+from framelake.session import written
 
 
 def prepared(frames: DataFrame, low: float, high: float, every: int = 1) -> DataFrame:
@@ -31,18 +32,19 @@ def extract(frames: DataFrame, keypoints: DataFrame, width: int, low: float = 10
     f = prepared(frames, low, high, every)
     f = clean(f) if clean else f
     features = pixels.moments(f, "h", width).where("cx is not null")
+    # all that comes from pixels, in one pass: what follows reads these slim rows, not frames
+    slim = written(pixels.scalars(features, "h", low, high, depth).select("session", "frame_idx", "cx", "cy", "orientation", *(c for c in SCALARS if c != "angle")))
     seen = tracking.smoothed(keypoints, BODY_PARTS) if smooth else keypoints.select("session", "frame_idx", "part", "x", "y")
     frame = ["session", "frame_idx"]
-    pose = features.select(*frame, "cx", "cy", F.pmod("orientation", F.lit(360.0)).alias("angle"))
+    pose = slim.select(*frame, "cx", "cy", F.pmod("orientation", F.lit(360.0)).alias("angle"))
     posed = seen.join(pose, frame)
     votes = kp.flip_votes(posed, length=length).select(*frame, "flip", "confidence")
     turned = F.when(F.col("flip"), F.pmod(F.col("angle") + 180, F.lit(360.0))).otherwise(F.col("angle"))
     aligned = kp.alignment(kp.turned(posed.join(votes, frame).withColumn("angle", turned)))
-    angles = pose.join(votes, frame).withColumn("angle", turned).join(aligned, frame)
+    angles = written(pose.join(votes, frame).withColumn("angle", turned).join(aligned, frame))
     if track:
         fixed = tracking.corrected_angles(angles)
     else:
         fixed = temporal.filter_angles_to_rest(angles, "angle", "angle_out", "q_f").select(*frame, "angle_out", (F.col("flip") != F.col("q_f")).alias("flip_out"), F.lit(0).alias("intervention"))
-    out = pixels.scalars(features, "h", low, high, depth).drop("angle")
-    out = out.join(angles.select(*frame, "confidence", F.col("score").alias("alignment")), frame).join(fixed, frame)
+    out = slim.join(angles.select(*frame, "confidence", F.col("score").alias("alignment")), frame).join(fixed, frame)
     return out.withColumn("angle", F.radians("angle_out")).select(*frame, *SCALARS, F.col("flip_out").alias("flip"), "confidence", "alignment", "intervention")

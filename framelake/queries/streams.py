@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake.queries.registry import query, table
+from framelake.session import shared_folder
 from framelake.streaming import trackers
 
 
@@ -18,26 +17,21 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", "true").parquet(sf_dir)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared one; a session in one process may do without one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        folder = tempfile.gettempdir()
-    return f"{folder}/stream-{uuid.uuid4().hex}"
+def state_folder(spark: SparkSession) -> str:
+    """A new folder under the cluster's shared one."""
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 @query()
 def stream_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of a user, each a detection, tracked by a stateful stream."""
     e = event_stream(spark, sf_dir).select(F.col("user_id").alias("session"), F.col("event_id").alias("frame_idx"), F.lit(0).cast("long").alias("instance"), F.col("value").alias("x"), F.get_json_object("props", "$.k").cast("double").alias("y"))
-    return trackers.replay(trackers.tracked(e), shared_folder(spark))
+    return trackers.replay(trackers.tracked(e), state_folder(spark))
 
 
 @query("SELECT epoch_ms(date_trunc('hour', ts)) AS start_ms, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts by hour of event time, from a stream run to its end."""
     e = event_stream(spark, sf_dir).withColumn("time", F.col("ts").cast("timestamp"))
-    out = trackers.replay(trackers.window_counts(e, "time", "event_type"), shared_folder(spark), "complete")
+    out = trackers.replay(trackers.window_counts(e, "time", "event_type"), state_folder(spark), "complete")
     return out.select(F.unix_millis("start").alias("start_ms"), "event_type", "n")

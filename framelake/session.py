@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -39,3 +41,19 @@ def share_code(spark: SparkSession) -> None:
     env["PYTHONPATH"] = os.pathsep.join(dict.fromkeys([ROOT, *filter(None, env.get("PYTHONPATH", "").split(os.pathsep))]))
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which driver and executors share; a session in one process may do without and gets a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return folder or tempfile.mkdtemp(prefix="checkpoints-")
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder, for tables that a plan reads several times; it survives lost executors."""
+    spark = df.sparkSession
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    return df.checkpoint(eager=True)

@@ -1,5 +1,6 @@
 """Small cases with known answers, and properties, of the series and range operators."""
 
+import itertools
 import math
 
 import numpy as np
@@ -16,23 +17,47 @@ def series(spark, values, name="v"):
     return spark.createDataFrame([("s", i, None if v is None else float(v)) for i, v in enumerate(values)], f"session string, frame_idx long, {name} double")
 
 
+def runs_of(values):
+    """(first, length) of the runs of consecutive numbers, one value at a time."""
+    out = []
+    for v in sorted(values):
+        if out and v == out[-1][0] + out[-1][1]:
+            out[-1] = (out[-1][0], out[-1][1] + 1)
+        else:
+            out.append((v, 1))
+    return out
+
+
 def test_collapse_consecutive(spark):
-    df = spark.createDataFrame([("s", v) for v in [0, 1, 2, 3, 10, 11, 12, 13, 21, 22, 23]], "session string, v long")
-    assert sorted(rows(temporal.collapse_runs(df, "v"), "start", "length")) == [(0, 4), (10, 4), (21, 3)]
+    rng = np.random.default_rng(8)
+    sets = {"many": sorted({int(x) for x in rng.integers(-30, 90, 70)}), "one": [5], "apart": [-7, 100, 1000]}
+    df = spark.createDataFrame([(k, v) for k, s in sets.items() for v in s], "session string, v long").orderBy(df_order())
+    found = rows(temporal.collapse_runs(df, "v"), "session", "start", "length")
+    assert sorted(found) == sorted((k, *r) for k, s in sets.items() for r in runs_of(s))
+    assert temporal.collapse_runs(df.limit(0), "v").count() == 0
+
+
+def df_order():
+    from pyspark.sql import functions as F
+
+    return F.md5(F.col("v").cast("string"))
 
 
 def test_collapse_equal(spark):
-    df = series(spark, [0, 1, 1, 1, 0, 0, 0, 3, 3, 2, 2])
-    found = sorted(rows(temporal.collapse_equal(df, "v"), "start", "v", "length"))
-    assert [(v, n) for _, v, n in found] == [(0, 1), (1, 3), (0, 3), (3, 2), (2, 2)]
+    values = [4, 4, 4, -2, 9, 9, -2, -2, 0.5]
+    found = sorted(rows(temporal.collapse_equal(series(spark, values), "v"), "start", "v", "length"))
+    assert [(v, n) for _, v, n in found] == [(v, len([*g])) for v, g in itertools.groupby(values)]
+    assert temporal.collapse_equal(series(spark, []), "v").count() == 0
 
 
 def test_expand_and_reduce(spark):
-    data, steps = [0, 1, 3, 4, 8, 9, 10], [None, 1, 2, 1, 4, 1, 1]
-    df = spark.createDataFrame([("s", i, float(v), n) for i, (v, n) in enumerate(zip(data, steps, strict=True))], "session string, frame_idx long, v double, steps long")
+    rng = np.random.default_rng(9)
+    gaps = [int(x) for x in rng.choice([1, 1, 1, 2, 5], 25)]
+    at = np.cumsum([2, *gaps]).tolist()
+    df = spark.createDataFrame([("s", i, float(v), n) for i, (v, n) in enumerate(zip(at, [None, *gaps], strict=True))], "session string, frame_idx long, v double, steps long")
     full = temporal.expand_missing(df, "steps", ["v"])
-    assert [v for _, v in sorted(rows(full, "step", "v"))] == [0, 1, None, 3, 4, None, None, None, 8, 9, 10]
-    assert [v for _, v in sorted(rows(temporal.reduce_missing(full), "step", "v"))] == data
+    assert [v for _, v in sorted(rows(full, "step", "v"))] == [v if v in at else None for v in range(at[0], at[-1] + 1)]
+    assert [v for _, v in sorted(rows(temporal.reduce_missing(full), "step", "v"))] == at
 
 
 def test_interpolation_holds_ends(spark):
