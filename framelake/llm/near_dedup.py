@@ -395,19 +395,17 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
     often = held.select("crowd", F.explode("s").alias("g")).groupBy("crowd", "g").agg(F.count("*").alias("n"))
     often = checkpointed(often)
     # shingles that half of the crowd has: few, and only these gather
-    core = often.join(sizes, "crowd").where("n * 2 >= size").groupBy("crowd").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "g"))).alias("c"))
-    # of a small crowd, part of the consensus is cold
-    core = core.select("crowd", F.col("c.g").alias("c"), F.filter("c", lambda x: -x["n"] <= MOST_PAIRED)["g"].alias("cold"))
+    core = often.join(sizes, "crowd").where("n * 2 >= size").groupBy("crowd").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "g")))["g"].alias("c"))
     consensus = counted(core, F.size("c"))
     none = F.array().cast("array<bigint>")
-    facts = held.join(consensus, "crowd", "left").withColumns({"c": F.coalesce("c", none), "cold": F.coalesce("cold", none)})
+    # each text's shingles with how many texts of the crowd have them, the rarest first
+    ranked = held.select("id", "crowd", F.explode("s").alias("g")).join(often, ["crowd", "g"]).groupBy("id", "crowd").agg(F.array_sort(F.collect_list(F.struct("n", "g"))).alias("q"))
+    facts = ranked.join(sizes, "crowd").join(consensus, "crowd", "left").withColumn("c", F.coalesce("c", none))
+    of = lambda where: F.filter("q", where)["g"]
+    facts = facts.select("id", "crowd", F.size("q").alias("n"), F.size("c").alias("h"), of(lambda x: x["n"] * 2 < F.col("size")).alias("beyond"), of(lambda x: x["n"] <= MOST_PAIRED).alias("cold"), F.array_except("c", of(lambda x: x["n"] * 2 >= F.col("size"))).alias("lacks"))
     # what a text lacks stays in the order of c: first what most have
-    facts = facts.select("id", "crowd", F.size("s").alias("n"), F.size("c").alias("h"), F.array_except("s", "c").alias("beyond"), F.array_except("c", "s").alias("lacks"), F.array_intersect("s", "cold").alias("cold")).withColumns({"m": F.size("lacks"), "u": F.size("beyond"), "j": F.col("h") - F.size("lacks")})
-    facts = checkpointed(facts)
-    rare = facts.select("id", "crowd", F.explode("beyond").alias("g")).join(often, ["crowd", "g"]).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "g"))).alias("rare"))
+    facts = facts.withColumns({"m": F.size("lacks"), "u": F.size("beyond"), "j": F.col("h") - F.size("lacks")})
     first = lambda c, share: F.slice(c, F.lit(1), F.floor(F.col("n") / share).cast("int") + 1)
-    facts = facts.drop("beyond").join(rare, "id", "left").withColumn("beyond", F.coalesce("rare.g", none))
-    facts = facts.withColumn("cold", F.concat("cold", F.coalesce(F.filter("rare", lambda x: x["n"] <= MOST_PAIRED)["g"], none)))
     facts = facts.select("id", "crowd", "n", "h", "m", "u", "cold", first("beyond", 5).alias("beyond"), F.when(F.col("j") * 5 >= F.col("n") * 4, first("lacks", 4)).otherwise(none).alias("lacks")).join(members.drop("crowd"), "id")
     facts = checkpointed(facts)
 
