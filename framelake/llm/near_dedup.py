@@ -42,6 +42,8 @@ MOST_BITS = 29
 SKETCH = ("s0", "s1", "p0", "p1")
 #: Buckets of so many texts at most are compared pair by pair where components differ: a bounded number for each text.
 MOST_PAIRED = 32
+#: Texts of a crowd, about, that tell its consensus.
+SAMPLED = 128
 #: Component rounds are bounded by the logarithm of the longest chain; this only stops an endless loop.
 MOST_ROUNDS = 60
 #: Edges whose components one task finds.
@@ -345,24 +347,24 @@ def links(found: DataFrame, texts_of) -> DataFrame:
 def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """For large buckets, rows (id, key, root, s0, s1, p0, p1): sure links and pairs still to verify, as (a, b).
 
-    Texts that share large buckets are a crowd. Its consensus H is the set of shingles that half of its texts have, so
-    it is at most twice as large as a text on average. A text s has n shingles, j of them in H, and lacks m = |H| - j.
+    Texts that share large buckets are a crowd. Its consensus H is the set of shingles that half of some of its texts
+    have (about SAMPLED, by a hash), so it is about twice as large as a text at most. What follows holds for any set as
+    H; a good one makes the rest of the texts small. A text s has n shingles, j of them in H, and lacks m = |H| - j.
     Similar texts share 0.8 n shingles at least, for the n of either. So
 
     - texts that share no shingle beyond H and lack none of H in common share exactly |H| - m - m' shingles, all others
       more. Pairs for which that would do are linked for sure; as it falls in m and n, holding each text against those
       of the crowd that no other beats in both joins all that such pairs join;
     - other similar texts share 0.8 n - j shingles beyond H at least. Any two sets in one order that share t elements
-      share one of their first size - t + 1: of a text's shingles beyond H the first 0.2 n + 1 will do. The order is
-      that of the crowd, from the rarest shingle on, so that frequent ones hardly ever come among the first;
+      share one of their first size - t + 1: of a text's shingles beyond H the first 0.2 n + 1 will do;
     - or they share none beyond H, then j is 0.8 n or more for both, and they lack m - (j' - 0.8 n') of H in common at
-      least: of the shingles that such a text lacks, the first 0.25 n + 1 will do, from the one on that fewest lack.
+      least: of the shingles that such a text lacks, the first 0.25 n + 1 will do, from the one on that most texts have.
 
     Of the texts that meet by a shingle, those outside the largest component among them are held against the others.
 
     Weighted links need at least one text that repeats shingles; crowds without one are done. By weights, normalised to 1
-    for each text, similar texts share 0.8 at least (the sum of the lesser weights). Shingles that over MOST_PAIRED texts of
-    the crowd have are hot, the others cold. V is a text's weight on hot ones, a that on cold ones. So
+    for each text, similar texts share 0.8 at least (the sum of the lesser weights). Shingles of H are hot, the others
+    cold. V is a text's weight on hot ones, a that on cold ones. So
 
     - similar texts that share a cold shingle share one of those that come first in one order, up to a weight of 0.2
       (hot ones last in that order);
@@ -370,8 +372,8 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
       same profile). It falls in a: a text linked so to any text of a profile is linked to the profile's text of least a.
       So each text is held against those alone; of the pairs, one text at least is outside the crowd's largest component.
 
-    Only where most texts of a crowd differ in profile and component, or in component though they share their rarest
-    shingles, does that come near all its pairs. Crowds are found over the buckets' stars, whatever their texts'
+    Only where most texts of a crowd differ in profile and component, or in component though they share
+    shingles beyond H, does that come near all its pairs. Crowds are found over the buckets' stars, whatever their texts'
     similarity. What is known of a crowd (its size, consensus, front, largest component) is a row or a few: it is
     broadcast where its counted size allows, so that a crowd's texts stay where they are; else Spark splits the join.
     """
@@ -392,17 +394,15 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
 
     held = checkpointed(texts.join(members.select("id", "crowd"), "id").mapInArrow(sets, "id long, crowd long, s array<long>, w array<int>, repeats boolean"))
     sizes = counted(held.groupBy("crowd").agg(F.count("*").alias("size")))
-    often = held.select("crowd", F.explode("s").alias("g")).groupBy("crowd", "g").agg(F.count("*").alias("n"))
-    often = checkpointed(often)
-    # shingles that half of the crowd has: few, and only these gather
-    core = often.join(sizes, "crowd").where("n * 2 >= size").groupBy("crowd").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "g")))["g"].alias("c"))
+    # any set would do as H; some texts of low hash tell well enough what most of a crowd have
+    some = held.join(sizes, "crowd").where((F.xxhash64("id").cast("double") + 2.0**63) * F.col("size") < 2.0**64 * SAMPLED).select("crowd", "s")
+    asked = some.groupBy("crowd").agg(F.count("*").alias("size"))
+    often = some.select("crowd", F.explode("s").alias("g")).groupBy("crowd", "g").agg(F.count("*").alias("n")).join(asked, "crowd").where("n * 2 >= size")
+    core = often.groupBy("crowd").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "g")))["g"].alias("c"))
     consensus = counted(core, F.size("c"))
     none = F.array().cast("array<bigint>")
-    # each text's shingles with how many texts of the crowd have them, the rarest first
-    ranked = held.select("id", "crowd", F.explode("s").alias("g")).join(often, ["crowd", "g"]).groupBy("id", "crowd").agg(F.array_sort(F.collect_list(F.struct("n", "g"))).alias("q"))
-    facts = ranked.join(sizes, "crowd").join(consensus, "crowd", "left").withColumn("c", F.coalesce("c", none))
-    of = lambda where: F.filter("q", where)["g"]
-    facts = facts.select("id", "crowd", F.size("q").alias("n"), F.size("c").alias("h"), of(lambda x: x["n"] * 2 < F.col("size")).alias("beyond"), of(lambda x: x["n"] <= MOST_PAIRED).alias("cold"), F.array_except("c", of(lambda x: x["n"] * 2 >= F.col("size"))).alias("lacks"))
+    facts = held.join(consensus, "crowd", "left").withColumn("c", F.coalesce("c", none))
+    facts = facts.select("id", "crowd", F.size("s").alias("n"), F.size("c").alias("h"), F.array_except("s", "c").alias("beyond"), F.array_except("c", "s").alias("lacks")).withColumn("cold", F.col("beyond"))
     # what a text lacks stays in the order of c: first what most have
     facts = facts.withColumns({"m": F.size("lacks"), "u": F.size("beyond"), "j": F.col("h") - F.size("lacks")})
     first = lambda c, share: F.slice(c, F.lit(1), F.floor(F.col("n") / share).cast("int") + 1)
@@ -451,7 +451,7 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
 def weighted_facts(held: DataFrame, cold: DataFrame) -> DataFrame:
     """(id, crowd, repeats, a, v, profile, first) for crowds in which a text repeats shingles: its weights on cold and hot ones, a hash of the latter, and the first cold shingles.
 
-    ``held`` has each text's shingles and weights, ``cold`` which of them few texts of the crowd have.
+    ``held`` has each text's shingles and weights, ``cold`` which of them are none of the crowd's consensus.
     """
     worth = counted(held.where("repeats").select("crowd").distinct())
     rows = held.join(worth, "crowd", "left_semi").join(cold, "id").select("id", "crowd", "repeats", "s", "w", "cold")

@@ -50,10 +50,11 @@ def brute_classes(texts):
     return [find(i) for i in range(len(texts))]
 
 
-@pytest.mark.parametrize("paired", [3, 1000])
-def test_classes_are_brute_forces(spark, monkeypatch, paired):
+@pytest.mark.parametrize(("paired", "sampled"), [(3, 128), (3, 4), (1000, 128)])
+def test_classes_are_brute_forces(spark, monkeypatch, paired, sampled):
     """With few pairs allowed all groups go the way of crowds."""
     monkeypatch.setattr(near_dedup, "MOST_PAIRED", paired)
+    monkeypatch.setattr(near_dedup, "SAMPLED", sampled)
     rng = random.Random(5)
     texts = [*copies(rng, 40, 150, 7), *copies(rng, 25, 40, 3), *copies(rng, 8, 12, 2), *(" ".join(words(rng, rng.randint(1, 60))) for _ in range(20))]
     texts += [texts[0], texts[0], "", None, "  ", "one two", "one two", "one  two"]
@@ -109,9 +110,10 @@ def repeated_lines(rng):
     return texts
 
 
-@pytest.mark.parametrize("paired", [3, 1000])
-def test_weighted_links_of_crowds(spark, monkeypatch, paired):
+@pytest.mark.parametrize(("paired", "sampled"), [(3, 128), (3, 4), (1000, 128)])
+def test_weighted_links_of_crowds(spark, monkeypatch, paired, sampled):
     monkeypatch.setattr(near_dedup, "MOST_PAIRED", paired)
+    monkeypatch.setattr(near_dedup, "SAMPLED", sampled)
     texts = repeated_lines(random.Random(6))
     out = {r.doc_id: r.class_id for r in near_dedup.classes(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()}
     assert [out[i] for i in range(len(texts))] == brute_classes(texts)
@@ -343,6 +345,18 @@ def test_stages(spark):
     assert last.count() == docs.count() and all(r.n_tokens == len(r.ids) for r in last.collect())
 
 
+def test_stages_take_odd_rows(spark):
+    """Null texts, sources and keys, empty texts and repeated rows through all stages; no rows at all."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    odd = spark.createDataFrame([(None, None, None, None, None), (None, "some text without a key", "en", "s", 23), (10**9, None, "en", None, None), (10**9 + 1, "", None, "s", 0), (10**9 + 1, "", None, "s", 0)], docs.schema)
+    rows = docs.limit(60).unionByName(docs.limit(5)).unionByName(odd)
+    for given in (rows, rows.limit(0)):
+        kept = given
+        for _, stage in corpus_pipeline.STAGES:
+            kept = stage(spark, kept, DATA).cache()
+        assert (kept.count() > 0) == (given.count() > 0) and kept.where("n_tokens <> size(ids)").count() == 0
+
+
 @pytest.mark.parametrize("at_once", [-1, 1000])
 def test_components(spark, monkeypatch, at_once):
     """In rounds and in one task: a chain, a star, a pair."""
