@@ -43,7 +43,7 @@ SKETCH = ("s0", "s1", "p0", "p1")
 #: Buckets of so many texts at most are compared pair by pair where components differ: a bounded number for each text.
 MOST_PAIRED = 32
 #: Texts of a crowd, about, that tell its consensus.
-SAMPLED = 128
+SAMPLED, MOST_HOT = 128, 4096
 #: Component rounds are bounded by the logarithm of the longest chain; this only stops an endless loop.
 MOST_ROUNDS = 60
 #: Edges whose components one task finds.
@@ -363,8 +363,8 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
     Of the texts that meet by a shingle, those outside the largest component among them are held against the others.
 
     Weighted links need at least one text that repeats shingles; crowds without one are done. By weights, normalised to 1
-    for each text, similar texts share 0.8 at least (the sum of the lesser weights). Shingles of H are hot, the others
-    cold. V is a text's weight on hot ones, a that on cold ones. So
+    for each text, similar texts share 0.8 at least (the sum of the lesser weights). Shingles of H, and MOST_HOT more
+    that two of the sampled texts have, are hot, the others cold: again any choice would do. V is a text's weight on hot ones, a that on cold ones. So
 
     - similar texts that share a cold shingle share one of those that come first in one order, up to a weight of 0.2
       (hot ones last in that order);
@@ -397,12 +397,13 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
     # any set would do as H; some texts of low hash tell well enough what most of a crowd have
     some = held.join(sizes, "crowd").where((F.xxhash64("id").cast("double") + 2.0**63) * F.col("size") < 2.0**64 * SAMPLED).select("crowd", "s")
     asked = some.groupBy("crowd").agg(F.count("*").alias("size"))
-    often = some.select("crowd", F.explode("s").alias("g")).groupBy("crowd", "g").agg(F.count("*").alias("n")).join(asked, "crowd").where("n * 2 >= size")
-    core = often.groupBy("crowd").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "g")))["g"].alias("c"))
-    consensus = counted(core, F.size("c"))
+    often = some.select("crowd", F.explode("s").alias("g")).groupBy("crowd", "g").agg(F.count("*").alias("n")).join(asked, "crowd").where("n >= 2")
+    core = often.groupBy("crowd").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "g", (F.col("n") * 2 >= F.col("size")).alias("most")))).alias("x"))
+    core = core.select("crowd", F.filter("x", lambda y: y["most"])["g"].alias("c"), F.col("x.g").alias("x"))
+    consensus = counted(core.select("crowd", "c", F.slice("x", F.lit(1), F.size("c") + MOST_HOT).alias("hot")), F.size("hot"))
     none = F.array().cast("array<bigint>")
-    facts = held.join(consensus, "crowd", "left").withColumn("c", F.coalesce("c", none))
-    facts = facts.select("id", "crowd", F.size("s").alias("n"), F.size("c").alias("h"), F.array_except("s", "c").alias("beyond"), F.array_except("c", "s").alias("lacks")).withColumn("cold", F.col("beyond"))
+    facts = held.join(consensus, "crowd", "left").withColumns({"c": F.coalesce("c", none), "hot": F.coalesce("hot", none)})
+    facts = facts.select("id", "crowd", F.size("s").alias("n"), F.size("c").alias("h"), F.array_except("s", "c").alias("beyond"), F.array_except("c", "s").alias("lacks"), F.array_except("s", "hot").alias("cold"))
     # what a text lacks stays in the order of c: first what most have
     facts = facts.withColumns({"m": F.size("lacks"), "u": F.size("beyond"), "j": F.col("h") - F.size("lacks")})
     first = lambda c, share: F.slice(c, F.lit(1), F.floor(F.col("n") / share).cast("int") + 1)
@@ -451,7 +452,7 @@ def dense_links(many: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame
 def weighted_facts(held: DataFrame, cold: DataFrame) -> DataFrame:
     """(id, crowd, repeats, a, v, profile, first) for crowds in which a text repeats shingles: its weights on cold and hot ones, a hash of the latter, and the first cold shingles.
 
-    ``held`` has each text's shingles and weights, ``cold`` which of them are none of the crowd's consensus.
+    ``held`` has each text's shingles and weights, ``cold`` which of them are not hot.
     """
     worth = counted(held.where("repeats").select("crowd").distinct())
     rows = held.join(worth, "crowd", "left_semi").join(cold, "id").select("id", "crowd", "repeats", "s", "w", "cold")
