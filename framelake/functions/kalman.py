@@ -1,6 +1,9 @@
 """Kalman filter, smoother and EM in numpy, and the trackers' state models.
 
 Observations with any missing component don't update the state, they only let it go on.
+
+Covariances are updated and smoothed as sums of squares and kept symmetric: with the shorter differences rounding errors grow
+with each step, and after some hundred steps covariances are no longer positive.
 """
 
 from __future__ import annotations
@@ -16,6 +19,10 @@ def transition(order: int, step: float = 1.0) -> np.ndarray:
     return np.array([[series[j - i] if j >= i else 0.0 for j in range(order)] for i in range(order)])
 
 
+def symmetric(a: np.ndarray) -> np.ndarray:
+    return (a + np.swapaxes(a, -1, -2)) / 2
+
+
 def block(part: np.ndarray, n: int) -> np.ndarray:
     return np.kron(np.eye(n), part)
 
@@ -37,13 +44,14 @@ class Kalman:
         self.mean[:: self.order] = np.where(np.isfinite(first), first, 0.0)
 
     def predict(self, mean: np.ndarray, cov: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self.a @ mean, self.a @ cov @ self.a.T + self.q
+        return self.a @ mean, symmetric(self.a @ cov @ self.a.T + self.q)
 
     def update(self, mean: np.ndarray, cov: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if not np.isfinite(y).all():
             return mean, cov, np.zeros((len(mean), self.n))
         gain = np.linalg.solve(self.c @ cov @ self.c.T + self.r, self.c @ cov).T
-        return mean + gain @ (y - self.c @ mean), cov - gain @ self.c @ cov, gain
+        rest = np.eye(len(mean)) - gain @ self.c
+        return mean + gain @ (y - self.c @ mean), symmetric(rest @ cov @ rest.T + gain @ self.r @ gain.T), gain
 
     def filter(self, ys: np.ndarray):
         """Predicted and filtered means and covariances, and the last gain."""
@@ -66,7 +74,8 @@ class Kalman:
         for t in range(len(ys) - 2, -1, -1):
             back[t] = np.linalg.solve(pc[t + 1], self.a @ fc[t]).T
             m[t] = fm[t] + back[t] @ (m[t + 1] - pm[t + 1])
-            v[t] = fc[t] + back[t] @ (v[t + 1] - pc[t + 1]) @ back[t].T
+            rest = np.eye(len(self.a)) - back[t] @ self.a
+            v[t] = symmetric(rest @ fc[t] @ rest.T + back[t] @ (v[t + 1] + self.q) @ back[t].T)
         pairs = np.zeros_like(fc)
         for t in range(1, len(ys)):
             pairs[t] = v[t] @ back[t - 1].T
@@ -89,7 +98,7 @@ class Kalman:
                 q = (e.T @ e + self.a @ v[:-1].sum(axis=0) @ self.a.T + v[1:].sum(axis=0) - cross - cross.T) / (len(ys) - 1)
             d = m[0] - self.mean
             self.cov = v[0] + np.outer(d, d)
-            self.q, self.r = (q + q.T) / 2, (r + r.T) / 2
+            self.q, self.r = symmetric(q), symmetric(r)
 
     def advance(self, mean: np.ndarray, cov: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One step of filtering from a filtered state."""
@@ -182,14 +191,16 @@ class Stack:
         self.mean[:, :: self.order] = np.where(np.isfinite(first), first, 0.0)
 
     def _predict(self, mean: np.ndarray, cov: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return mean @ self.a.T, self.a @ cov @ self.a.T + self.q[: len(mean)]
+        return mean @ self.a.T, symmetric(self.a @ cov @ self.a.T + self.q[: len(mean)])
 
     def _update(self, mean: np.ndarray, cov: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         k = len(mean)
         seen = np.isfinite(y).all(axis=1)
         gain = np.linalg.solve(self.c @ cov @ self.c.T + self.r[:k], self.c @ cov).transpose(0, 2, 1)
         off = np.where(seen[:, None], y, 0.0) - mean @ self.c.T
-        return np.where(seen[:, None], mean + (gain @ off[:, :, None])[:, :, 0], mean), np.where(seen[:, None, None], cov - gain @ self.c @ cov, cov)
+        rest = np.eye(mean.shape[1]) - gain @ self.c
+        less = symmetric(rest @ cov @ rest.transpose(0, 2, 1) + gain @ self.r[:k] @ gain.transpose(0, 2, 1))
+        return np.where(seen[:, None], mean + (gain @ off[:, :, None])[:, :, 0], mean), np.where(seen[:, None, None], less, cov)
 
     def smooth(self, ys: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Smoothed means and covariances (steps first), and each step's covariance with the one before; ``ys`` is (series, steps, n)."""
@@ -209,7 +220,8 @@ class Stack:
                 continue
             b = np.linalg.solve(pc[t + 1, :k], self.a @ fc[t, :k]).transpose(0, 2, 1)
             m[t, :k] = fm[t, :k] + (b @ (m[t + 1, :k] - pm[t + 1, :k])[:, :, None])[:, :, 0]
-            v[t, :k] = fc[t, :k] + b @ (v[t + 1, :k] - pc[t + 1, :k]) @ b.transpose(0, 2, 1)
+            rest = np.eye(size) - b @ self.a
+            v[t, :k] = symmetric(rest @ fc[t, :k] @ rest.transpose(0, 2, 1) + b @ (v[t + 1, :k] + self.q[:k]) @ b.transpose(0, 2, 1))
             back[t, :k] = b
         pairs = np.zeros_like(fc)
         pairs[1:] = v[1:] @ back[:-1].transpose(0, 1, 3, 2)
@@ -238,7 +250,7 @@ class Stack:
             q = np.where((lengths > 1)[:, None, None], q, self.q)
             d = m[0] - self.mean
             self.cov = np.where(some[:, None, None], v[0] + d[:, :, None] * d[:, None, :], self.cov)
-            self.q, self.r = np.where(some[:, None, None], (q + q.transpose(0, 2, 1)) / 2, self.q), np.where(some[:, None, None], (r + r.transpose(0, 2, 1)) / 2, self.r)
+            self.q, self.r = np.where(some[:, None, None], symmetric(q), self.q), np.where(some[:, None, None], symmetric(r), self.r)
 
 
 def correct_together(series: list[tuple[np.ndarray, np.ndarray, np.ndarray]], chunk: int, order: int = 3, rounds: int = 10, least_alignment: float = 0.4, half_turn: float = 140.0) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:

@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pytest
 
 from framelake.functions import kalman, kernels
 from framelake.operators.tracking import Tracker
@@ -142,6 +143,29 @@ def test_angle_tracker_undoes_half_turns():
     assert (done[10:] == 1).all() and np.isfinite(low).all()
 
 
+@pytest.mark.parametrize("kind", ["steady", "random", "two angles"])
+def test_long_series_keep_positive_covariances(kind):
+    # differences of covariances lose their sign after some hundred steps
+    n = 1200
+    a = {"steady": np.arange(n) / 2 % 360, "random": np.random.default_rng(4).uniform(0, 360, n), "two angles": np.where(np.arange(n) % 2, 0.0, 180.0)}[kind]
+    ys = kalman.AngleTracker._pack(a)
+    one, many = kalman.Kalman(2), kalman.Stack(2, 2)
+    one.start(ys[0])
+    many.start(ys[:2])
+    one.learn(ys[:1000])
+    many.learn(np.stack([ys[:1000], ys[1:1001]]), np.array([1000, 1000]))
+    for part in (one.q, one.r, one.cov, *many.q, *many.r, *many.cov):
+        assert np.linalg.eigvalsh(part)[0] > 0
+    assert np.allclose(one.r, many.r[0]) and one.r.max() < 2
+    for out, flips, done in kalman.correct_together([(a, np.ones(n), np.zeros(n, bool))], 1000):
+        assert np.allclose((out - a) % 360, np.where(flips, 180, 0)) and ((done == 2) == flips).all()
+
+
+def test_long_walks_are_smoothed():
+    walk = np.cumsum(np.random.default_rng(5).normal(size=(1000, 8, 2)), axis=0)
+    assert np.abs(kalman.PointTracker(8).smooth(walk) - walk).max() < 3
+
+
 def test_point_tracker_single_rows():
     t = kalman.PointTracker(1)
     first = t.smooth(np.column_stack([np.arange(20.0), np.arange(20.0)])[:, None, :])
