@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -98,7 +99,11 @@ def compile_lexicon(terms: list[str], stems: list[str], clean: Iterable[str] = (
             roots.add(node)
     alphabet = sorted({c for x in children for c in x})
 
-    def closed(pairs: dict[int, int]) -> frozenset[tuple[int, int]]:
+    # a state is its (node, edits) as packed numbers in order: there are thousands, and sets of pairs take ten times the room
+    def unpacked(state: bytes) -> list[tuple[int, int]]:
+        return [(x >> 3, x & 7) for x in array("I", state)]
+
+    def closed(pairs: dict[int, int]) -> bytes:
         queue = list(pairs.items())
         while queue:
             node, e = queue.pop()
@@ -108,15 +113,15 @@ def compile_lexicon(terms: list[str], stems: list[str], clean: Iterable[str] = (
                 if e + 1 <= reach[child] and pairs.get(child, 99) > e + 1:
                     pairs[child] = e + 1
                     queue.append((child, e + 1))
-        return frozenset(pairs.items())
+        return array("I", sorted(node << 3 | e for node, e in pairs.items())).tobytes()
 
     start = closed({0: 0})
-    names: dict[frozenset, int] = {frozenset(): 0, start: 1}
-    order, table_ = [frozenset(), start], []
+    names: dict[bytes, int] = {b"": 0, start: 1}
+    order, table_ = [b"", start], []
     stem_state: set[int] = set()
     at = 0
     while at < len(order):
-        state, row = order[at], []
+        state, row = unpacked(order[at]), array("i")
         for c in [*alphabet, None]:
             to: dict[int, int] = {}
             for node, e in state:
@@ -135,7 +140,7 @@ def compile_lexicon(terms: list[str], stems: list[str], clean: Iterable[str] = (
         table_.append(row)
         at += 1
     term, cost = np.full(len(order), -1, np.int32), np.zeros(len(order), np.int8)
-    for i, state in enumerate(order):
+    for i, state in enumerate(map(unpacked, order)):
         hits = [(e, ends[node]) for node, e in state if node in ends and e <= allowed[ends[node]]]
         if hits:
             cost[i], term[i] = min(hits)
@@ -266,14 +271,20 @@ def mine(texts: list[str], toxic: list[bool]) -> tuple[list[str], list[str], lis
         return {(w, False) for w in words} | {(w[:n], True) for w in words for n in STEMS if len(w) > n}
 
     toxic_n, clean_n = sum(toxic), sum(not x for x in toxic)
+    # most keys stand in a text or two: they are counted first, and only the others get sets of their texts
+    counts: Counter = Counter()
+    for text, is_toxic in zip(texts, toxic, strict=True):
+        if is_toxic:
+            counts.update(keys(text))
+    # a stem of whose documents one word has most is but that word
+    spent = {(w[:n], True) for (w, is_stem), v in counts.items() if not is_stem for n in STEMS if len(w) > n and counts[w[:n], True] >= LEAST_COVER and v > MOST_OF_STEM * counts[w[:n], True]}
+    cover = {k for k, v in counts.items() if v >= LEAST_COVER and k not in spent}
+    del counts, spent
     bad: dict[tuple[str, bool], set[int]] = defaultdict(set)
     for i, (text, is_toxic) in enumerate(zip(texts, toxic, strict=True)):
         if is_toxic:
-            for key in keys(text):
+            for key in keys(text) & cover:
                 bad[key].add(i)
-    # a stem of whose documents one word has most is but that word
-    spent = {(w[:n], True) for (w, is_stem), v in bad.items() if not is_stem for n in STEMS if len(w) > n and len(v) > MOST_OF_STEM * len(bad.get((w[:n], True), ()))}
-    bad = {k: v for k, v in bad.items() if len(v) >= LEAST_COVER and k not in spent}
     # clean texts are only asked for what is left, so nothing else of them is kept
     good: Counter = Counter()
     for text, is_toxic in zip(texts, toxic, strict=True):

@@ -541,3 +541,17 @@ def test_quality_sql_gives_the_same_rows(spark):
     theirs = {r[0]: r[1:] for r in duckdb.sql(f"SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, char_distance, word_distance FROM ({quality.oracle()})").fetchall()}
     ours = {r[0]: tuple(r)[1:] for r in quality.op2_quality_rules(spark, DATA).collect()}
     assert ours == theirs
+
+
+def test_rare_words_take_little_memory():
+    """Words of one text each, as most are: some hundred bytes for each of their stems, not a set."""
+    import tracemalloc
+
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
+    texts = [" ".join([word() for _ in range(600)] + ["scoundrel"] * (i < 40)) for i in range(80)]
+    tracemalloc.start()
+    terms, *_ = toxicity.mine(texts, [i < 40 for i in range(80)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert terms == ["scoundrel"] and peak < 80_000 * 300
