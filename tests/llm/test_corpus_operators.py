@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from framelake.llm import mixing, near_dedup, suffix_dedup
+from framelake.llm.common import checkpointed
 
 DATA = "/root/testdata/sf0.001"
 
@@ -211,6 +212,36 @@ def test_long_texts_in_pieces(monkeypatch):
     assert whole[1].tolist() == parts[1].tolist() and whole[2].tolist() == parts[2].tolist()
 
 
+def shuffled(spark, act):
+    """Bytes that the stages of ``act`` write for exchanges."""
+    context, group = spark.sparkContext, f"shuffled-{random.getrandbits(64)}"
+    context.setJobGroup(group, group)
+    try:
+        act()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    context._jsc.sc().listenerBus().waitUntilEmpty()
+    tracker, store = context.statusTracker(), context._jsc.sc().statusStore()
+    stages = {i for j in tracker.getJobIdsForGroup(group) for i in tracker.getJobInfo(j).stageIds}
+    return sum(x.shuffleWriteBytes() for x in map(store.lastStageAttempt, stages))
+
+
+@pytest.mark.parametrize("most", [512, 3])
+def test_texts_are_exchanged_once(spark, monkeypatch, most):
+    """Contexts of few and of hot anchors and the last join share one exchange of the whole texts."""
+    monkeypatch.setattr(suffix_dedup, "MOST_CONTEXTS", most)
+    rng = random.Random(12)
+    passage = rng.randbytes(300).hex()
+    texts = [rng.randbytes(900).hex() + (passage if i % 8 == 0 else "") + rng.randbytes(900).hex() for i in range(80)]
+    df = checkpointed(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(4))
+    whole = shuffled(spark, lambda: df.select(F.xxhash64("doc_id").alias("h"), "text").repartition("h").write.format("noop").mode("overwrite").save())
+    out = []
+    every = shuffled(spark, lambda: out.extend(suffix_dedup.cleaned(df).collect()))
+    want = brute_removal([t.encode() for t in texts], 400)
+    assert [(r.q_bytes, sum(x.b - x.a for x in r.q_spans)) for r in sorted(out, key=lambda r: r.q_key)] == [x[:2] for x in want]
+    assert whole < every < 2 * whole
+
+
 def test_equal_windows_have_equal_anchors():
     rng = np.random.default_rng(2)
     passage = bytes(rng.integers(97, 100, 400, dtype=np.uint8))
