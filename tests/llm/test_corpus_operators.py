@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from framelake.llm import mixing, near_dedup, suffix_dedup
-from framelake.llm.common import checkpointed
+from framelake.llm.common import checkpointed, checkpointed_alone, shuffles
 
 DATA = "/root/testdata/sf0.001"
 
@@ -242,6 +242,45 @@ def test_texts_are_exchanged_once(spark, monkeypatch, most):
     assert whole < every < 2 * whole
 
 
+def test_written_shuffles_go_at_once(spark):
+    """What an exchange wrote is gone once its result is written; rows whose own exchanges went are still there."""
+    tracker = spark.sparkContext._jsc.sc().env().mapOutputTracker()
+    rows = spark.sparkContext.parallelize([(i % 50, "x" * i) for i in range(200)], 4).groupByKey(3).mapValues(len)
+    df = spark.createDataFrame(rows, "k long, n long")
+    counted = lambda: df.join(df.groupBy("n").count(), "n").repartition(5, "k")
+    kept, alone = counted(), counted()
+    checkpointed(kept)
+    lineage = lambda x: shuffles(x._jdf.queryExecution().executedPlan().execute())
+    left = lineage(kept)
+    assert len(left) >= 3 and all(map(tracker.containsShuffle, left))
+    out = checkpointed_alone(alone)
+    gone = lineage(alone)
+    assert gone and not any(map(tracker.containsShuffle, gone))
+    assert out.count() == 50 and rows.count() == 50 and not shuffles(out._jdf.queryExecution().executedPlan().execute())
+
+
+def test_indexes_leave_few_files(spark):
+    """Of the exchanges before the texts', none is left when the last query runs, and spans go through theirs as numbers."""
+    texts = [random.Random(i // 2).randbytes(600).hex() for i in range(20)]
+    df = checkpointed(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(4))
+    tracker = spark.sparkContext._jsc.sc().env().mapOutputTracker()
+    first = spark.sparkContext._jsc.sc().newShuffleId()
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the shuffles of small broadcast sides stay
+    try:
+        _, found = suffix_dedup.spans(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    assert not any(map(tracker.containsShuffle, range(first, spark.sparkContext._jsc.sc().newShuffleId())))
+    assert dict(found.dtypes)["q_spans"] == "array<bigint>"
+
+
+@pytest.mark.parametrize(("spans", "runs"), [([(0, 400)], [(0, 400)]), ([(300, 900), (5, 405), (405, 500), (5, 450)], [(5, 900)]), ([(700, 1100), (0, 400), (10, 30)], [(0, 400), (700, 1000)])])
+def test_packed_spans_merge(spark, spans, runs):
+    numbers = [r[0] for r in spark.createDataFrame(spans, "a long, b long").select(suffix_dedup.packed(F.col("a"), F.col("b"))).collect()]
+    assert suffix_dedup.merged(np.array(numbers), 1000) == runs
+
+
 def test_equal_windows_have_equal_anchors():
     rng = np.random.default_rng(2)
     passage = bytes(rng.integers(97, 100, 400, dtype=np.uint8))
